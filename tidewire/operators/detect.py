@@ -74,11 +74,9 @@ def detect(
     )
     suspect, met = F.col("alert_triggered"), F.col("block_threshold_met")
     # Enforcing is never carried out, so a would-be enforced block is a dry run.
-    effective = mode
+    effective_mode = F.lit(mode)
     if mode == "enforce":
-        effective_mode = F.when(suspect & met, "dry_run").otherwise("enforce")
-    else:
-        effective_mode = F.lit(effective)
+        effective_mode = F.when(suspect & met, "dry_run").otherwise(mode)
     preview = rule_preview(
         F.col("src_ip"), F.col("dst_ip"), F.col("protocol"), F.col("src_port"), F.col("dst_port")
     )
