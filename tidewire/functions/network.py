@@ -44,6 +44,11 @@ def idle_timeout_us(protocol: Column, settings: Settings) -> Column:
     )
 
 
+def closes_flow() -> Column:
+    """Whether the packet ends its TCP flow."""
+    return (F.col("protocol") == "TCP") & ((F.col("fin") > 0) | (F.col("rst") > 0))
+
+
 def flow_timeout_us(flow: Column | None, settings: Settings) -> Column:
     """Idle timeout of a finished flow row: short for a TCP probe that carried nothing."""
 

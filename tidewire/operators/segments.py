@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.functions.network import idle_timeout_us
+from tidewire.functions.network import closes_flow, idle_timeout_us
 from tidewire.operators.elephants import cut_by_pointers
 from tidewire.plans.ordered import by_group_size
 from tidewire.schemas import FLOW_KEY
@@ -28,10 +28,6 @@ from tidewire.settings import Settings
 ORDER = ["ts_us", "seq"]
 
 
-def closes_flow() -> Column:
-    return (F.col("protocol") == "TCP") & ((F.col("fin") > 0) | (F.col("rst") > 0))
-
-
 def assign_flows(packets: DataFrame, settings: Settings) -> DataFrame:
     """Add ``flow_start_us``, ``flow_start_seq``, ``gap_us``, ``is_last`` to keyed packets.
 

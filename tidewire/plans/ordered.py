@@ -8,7 +8,7 @@ to a known size, and a dead end for a group that holds a third of the table. So:
 * in that branch :func:`lay_out` range-partitions on (group, order), which cuts one
   group into many slices of equal size, and checkpoints the result so that slice
   numbers can never change under a retry;
-* :func:`running_sum`, :func:`previous` and :func:`following` then work per slice and
+* :func:`running_sum`, :func:`previous`, :func:`latest` and :func:`following` then work per slice and
   add what crosses slice borders. At most one group crosses each border, so the
   table of carried values has at most two rows per slice and is broadcast.
 """
@@ -151,6 +151,37 @@ def previous(
     return local.withColumn(name, F.col(name)["v"])
 
 
+def latest(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    value: Column,
+    sliced: bool,
+) -> DataFrame:
+    """Last non-null ``value`` at or before the row, null when there is none."""
+    group = _group(keys, sliced)
+    window = (
+        Window.partitionBy(*group)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = df.withColumn(name, F.last(value, ignorenulls=True).over(window))
+    if sliced:
+        earlier = (
+            Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        ends = df.groupBy(*group).agg(
+            F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias(name)
+        )
+        carry = ends.withColumn(name, F.last(name, ignorenulls=True).over(earlier)).where(
+            F.col(name).isNotNull()
+        )
+        local = _carry_in(local, carry, keys, [name])
+        local = local.withColumn(name, F.coalesce(name, f"_carry_{name}")).drop(f"_carry_{name}")
+    return local
+
+
 def following(
     df: DataFrame,
     keys: Sequence[str],
