@@ -42,6 +42,11 @@ def aggregate_flows(packets: DataFrame) -> DataFrame:
         F.count_if(F.col("icmp_type") == 8).alias("icmp_echo_req_count"),
         F.count_if(F.col("icmp_type") == 0).alias("icmp_echo_reply_count"),
     )
+    return describe_flows(sums)
+
+
+def describe_flows(sums: DataFrame, *keep: str) -> DataFrame:
+    """Flow columns from integer totals, which a batch or a stream has summed up."""
     n = F.col("packet_count_total")
     forward_is_a = F.col("_first_from_a")
 
@@ -62,6 +67,7 @@ def aggregate_flows(packets: DataFrame) -> DataFrame:
     )
     return sums.select(
         *FLOW_KEY,
+        *keep,
         "flow_start_seq",
         "flow_last_seq",
         F.col("flow_start_us").alias("start_us"),

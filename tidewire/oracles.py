@@ -1165,3 +1165,21 @@ ORACLES["event_records"] = _WITH_RECORDS + "SELECT * FROM evts"
 ORACLES["alert_records"] = _WITH_RECORDS + "SELECT * FROM alerts"
 ORACLES["blocking_records"] = _WITH_RECORDS + "SELECT * FROM blocks"
 ORACLES["log_records"] = _WITH_RECORDS + "SELECT * FROM logs"
+ORACLES["impute_features"] = (
+    _with(
+        _CAPTURES,
+        _CAPTURE_FLOWS,
+        _SCORED,
+        """
+holes AS (
+  SELECT flow_id, CASE WHEN p_milli % 7 <> 0 THEN p_milli END AS p_milli, finalized_us, src_ip
+  FROM scored)""",
+    )
+    + """SELECT flow_id,
+  CAST(coalesce(p_milli, (SELECT median(p_milli) FROM holes)) AS DOUBLE) AS p_milli,
+  CAST(coalesce(finalized_us, (SELECT median(finalized_us) FROM holes)) AS DOUBLE)
+    AS finalized_us,
+  coalesce(src_ip, (SELECT src_ip FROM holes WHERE src_ip IS NOT NULL GROUP BY src_ip
+    ORDER BY count(*) DESC, src_ip LIMIT 1)) AS src_ip
+FROM holes"""
+)

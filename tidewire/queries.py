@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidewire.operators import (
     flows,
     labeling,
     metrics,
+    model,
     numbering,
     packets,
     profile,
@@ -24,7 +26,8 @@ from tidewire.operators import (
     splits,
     views,
 )
-from tidewire.schemas import FEATURES, TARGET
+from tidewire.plans.durable import durable
+from tidewire.schemas import FEATURES, SPLITS, TARGET
 from tidewire.settings import Settings
 from tidewire.sources import contract, tables
 from tidewire.sources import packets as packet_source
@@ -816,3 +819,81 @@ def blocking_records(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def log_records(spark: SparkSession, folder: str) -> DataFrame:
     return _logs(spark, folder)
+
+
+# --- models ----------------------------------------------------------------------------
+
+# A small forest: the query shows the operator, the contract's own size is for training.
+_SMALL = replace(
+    contract.DEFAULT_CONTRACT,
+    parameters={
+        "n_estimators": 20,
+        "max_depth": 5,
+        "min_samples_leaf": 1,
+        "max_features": "sqrt",
+    },
+)
+
+
+def _labelled_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Flows of forty captures with all features and a label the features can explain."""
+    source, settings = fx.packets(spark, folder, captures=40), Settings.from_session(spark)
+    finished = numbering.with_expiry_trigger(
+        flows.flow_table(source, settings), source, settings
+    )
+    numbered = numbering.with_flow_ids(finished, settings, source)
+    features = behaviour.with_behaviour(numbered, settings, source)
+    suspicious = (F.col("dst_port") == 22) | (F.col("syn_count") >= 2)
+    return durable(
+        features.select(
+            *features.columns, F.when(suspicious, "suspect").otherwise("normal").alias(TARGET)
+        )
+    )
+
+
+def _feature_splits(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The labelled flows split by capture, never by row."""
+    rows = _labelled_features(spark, folder)
+    listed = rows.select("capture_id").distinct().select(
+        "capture_id", F.lit("EVT").alias("campaign_id"), F.lit("X").alias("scenario_id")
+    )
+    plan = durable(splits.assign_splits(listed, splits.BY_SCENARIO, Settings.from_session(spark)))
+    return {name: splits.flows_of_split(rows, plan, name) for name in SPLITS}
+
+
+@query
+def train_rf(spark: SparkSession, folder: str) -> DataFrame:
+    trained = model.train(_feature_splits(spark, folder)["train"], _SMALL)
+    return model.feature_importances(spark, trained)
+
+
+@query
+def score_flows(spark: SparkSession, folder: str) -> DataFrame:
+    parts = _feature_splits(spark, folder)
+    trained = model.train(parts["train"], _SMALL)
+    return model.score(parts["test"], trained).select("flow_id", "raw_label", "probability")
+
+
+@query
+def model_eval(spark: SparkSession, folder: str) -> DataFrame:
+    """A forest against a weaker baseline, on all three splits."""
+    parts = _feature_splits(spark, folder)
+    stump = replace(_SMALL, parameters={**_SMALL.parameters, "n_estimators": 1, "max_depth": 1})
+    models = {
+        "candidate": model.train(parts["train"], _SMALL),
+        "baseline": model.train(parts["train"], stump),
+    }
+    return model.evaluate(models, parts, Settings.from_session(spark))
+
+
+@query
+def impute_features(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fx.scored_flows(spark, folder).select(
+        "flow_id",
+        F.when(F.col("p_milli") % 7 != 0, F.col("p_milli")).alias("p_milli"),
+        "finalized_us",
+        "src_ip",
+    )
+    return model.impute_features(
+        rows, ["p_milli", "finalized_us"], ["src_ip"], Settings.from_session(spark)
+    )
