@@ -72,6 +72,11 @@ def detect(
         F.coalesce(label == POSITIVE_LABEL, F.lit(False)).alias("alert_triggered"),
         D.meets_block_threshold(label, probability, block_threshold).alias("block_threshold_met"),
     )
+    return rows.withColumn("blocking", _blocking_decision(mode, threshold_source))
+
+
+def _blocking_decision(mode: str, threshold_source: str | None) -> Column:
+    """The decision struct, from the flow's label, alert flag and threshold result."""
     suspect, met = F.col("alert_triggered"), F.col("block_threshold_met")
     # Enforcing is never carried out, so a would-be enforced block is a dry run.
     effective_mode = F.lit(mode)
@@ -80,11 +85,11 @@ def detect(
     preview = rule_preview(
         F.col("src_ip"), F.col("dst_ip"), F.col("protocol"), F.col("src_port"), F.col("dst_port")
     )
-    decision = F.struct(
+    return F.struct(
         F.concat(F.lit("blk-"), F.md5(F.col("flow_id"))).alias("block_id"),
         (suspect & met).alias("triggered"),
         effective_mode.alias("mode"),
-        label.alias("predicted_label"),
+        F.col("predicted_label").alias("predicted_label"),
         F.col("confidence").alias("confidence"),
         F.lit(threshold_source).cast("string").alias("threshold_source"),
         D.block_reason(suspect, met, mode).alias("reason"),
@@ -96,7 +101,30 @@ def detect(
         F.col("decided_us").alias("created_us"),
         F.when(suspect, preview).alias("command_preview"),
     )
-    return rows.withColumn("blocking", decision)
+
+
+def evaluate_blocking(
+    requests: DataFrame, *, mode: str = "dry_run", decided_us: Column | None = None
+) -> DataFrame:
+    """Blocking decisions for labels that were decided elsewhere.
+
+    A missing confidence is looked up in the request's probabilities; no threshold
+    applies.
+    """
+    if mode not in BLOCKING_MODES:
+        raise ValueError(f"unknown blocking mode: {mode}")
+    decided = F.unix_micros(F.current_timestamp()) if decided_us is None else decided_us
+    label = F.col("predicted_label")
+    known = F.coalesce("confidence", D.confidence(F.col("probability"), label))
+    rows = _complete(requests).withColumns(
+        {
+            "confidence": known,
+            "decided_us": decided,
+            "alert_triggered": F.coalesce(label == POSITIVE_LABEL, F.lit(False)),
+            "block_threshold_met": F.lit(True),
+        }
+    )
+    return rows.withColumn("blocking", _blocking_decision(mode, None))
 
 
 def event_records(detected: DataFrame, family_hint: bool = True) -> DataFrame:

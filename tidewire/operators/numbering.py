@@ -6,17 +6,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.network import flow_timeout_us
-from tidewire.plans.ordered import by_group_size, following, lay_out, ranked
+from tidewire.plans.ordered import by_group_size, following, lay_out, running_sum
 from tidewire.schemas import CAPTURE, SESSION
 from tidewire.settings import Settings
 
 _SCOPE = [SESSION, CAPTURE]
+_EVENT_ORDER = ["_at", "_kind", "_tie"]
 
 
 def with_expiry_trigger(
     flows: DataFrame, packets: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Add the packet that finalised each flow.
+    """Add the packet that finalised each flow."""
+
+    def build(events: DataFrame, sliced: bool) -> DataFrame:
+        return _triggered(events, flows.columns, sliced)
+
+    events = _events(flows, packets, settings)
+    return by_group_size(events, _SCOPE, settings.max_group_rows, build, sizes=packets)
+
+
+def number_flows(flows: DataFrame, packets: DataFrame, settings: Settings) -> DataFrame:
+    """Add the finalising packet and number flows per capture in finalisation order.
+
+    Ids read ``<capture>__000000``. Packets bound the flows, so one count of packets
+    decides for both steps which captures are heavy.
+    """
+
+    def build(events: DataFrame, sliced: bool) -> DataFrame:
+        finished = _triggered(events, flows.columns, sliced)
+        return _numbered(finished, sliced)
+
+    events = _events(flows, packets, settings)
+    return by_group_size(events, _SCOPE, settings.max_group_rows, build, sizes=packets)
+
+
+def _events(flows: DataFrame, packets: DataFrame, settings: Settings) -> DataFrame:
+    """Packets and flow deadlines of a capture on one time line.
 
     A flow that closed itself (FIN/RST, or exactly the maximum duration) was finalised
     by its own last packet, in phase 1. Any other flow is finalised by the first packet
@@ -52,19 +78,17 @@ def with_expiry_trigger(
         F.struct("ts_us", "seq").alias("_packet"),
         F.lit(None).cast(marked.select(flow).schema[0].dataType).alias("_flow"),
     )
-    order = ["_at", "_kind", "_tie"]
+    return arrivals.unionByName(deadlines)
 
-    def build(rows: DataFrame, sliced: bool) -> DataFrame:
-        laid = lay_out(rows, _SCOPE, order, sliced)
-        found = following(laid, _SCOPE, order, "_next", F.col("_packet"), sliced)
-        return found.where("_kind = 1").select("_flow.*", "_next")
 
-    events = arrivals.unionByName(deadlines)
-    joined = by_group_size(events, _SCOPE, settings.max_group_rows, build, sizes=packets)
+def _triggered(events: DataFrame, columns: list[str], sliced: bool) -> DataFrame:
+    laid = lay_out(events, _SCOPE, _EVENT_ORDER, sliced)
+    found = following(laid, _SCOPE, _EVENT_ORDER, "_next", F.col("_packet"), sliced)
+    joined = found.where("_kind = 1").select("_flow.*", "_next")
     own = F.struct(F.col("end_us").alias("ts_us"), F.col("flow_last_seq").alias("seq"))
     trigger = F.when(F.col("_self"), own).otherwise(F.col("_next"))
     return joined.select(
-        *flows.columns,
+        *columns,
         F.col("_deadline").alias("deadline_us"),
         trigger["ts_us"].alias("trigger_us"),
         trigger["seq"].alias("trigger_seq"),
@@ -72,15 +96,12 @@ def with_expiry_trigger(
     )
 
 
-def with_flow_ids(
-    flows: DataFrame, settings: Settings, packets: DataFrame | None = None
-) -> DataFrame:
-    """Number flows per capture in finalisation order: ``<capture>__000000``."""
+def _numbered(flows: DataFrame, sliced: bool) -> DataFrame:
     open_ended = flows.withColumn("_open", F.col("trigger_us").isNull())
     order = ["_open", "trigger_us", "trigger_seq", "trigger_phase", "start_us", "flow_start_seq"]
-    numbered = ranked(open_ended, _SCOPE, order, "_n", settings.max_group_rows, packets)
+    laid = lay_out(open_ended, _SCOPE, order, sliced)
     index = F.col("_n") - 1
-    return numbered.select(
+    return running_sum(laid, _SCOPE, order, {"_n": F.lit(1)}, sliced).select(
         F.format_string("%s__%06d", F.col(CAPTURE), index).alias("flow_id"),
         *flows.columns,
         index.alias("flow_index"),

@@ -53,7 +53,7 @@ def cap_audit(flows: DataFrame, caps: dict[str, int]) -> DataFrame:
     )
 
 
-def balance_labels(flows: DataFrame, settings: Settings, digits: int = 4) -> DataFrame:
+def balance_labels(flows: DataFrame, settings: Settings, digits: int = 5) -> DataFrame:
     """Cut every label down to the smallest one, keeping the smallest ``md5(flow_id)``.
 
     There are two or three labels, so ranking inside a label would put half the table

@@ -39,7 +39,7 @@ def assign_flows(packets: DataFrame, settings: Settings) -> DataFrame:
     def build(rows: DataFrame, heavy: bool) -> DataFrame:
         return cut_by_pointers(rows, settings) if heavy else _cut_by_fold(rows, settings)
 
-    return by_group_size(packets, FLOW_KEY, settings.max_group_rows, build)
+    return by_group_size(packets, FLOW_KEY, settings.max_fold_rows, build)
 
 
 def _cut_by_fold(packets: DataFrame, settings: Settings) -> DataFrame:
@@ -80,7 +80,7 @@ def _cut_by_fold(packets: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _fold_segments(marked: DataFrame, carried: list[str], settings: Settings) -> DataFrame:
-    """Replay the few stateful segments; each is bounded by ``max_group_rows`` packets."""
+    """Replay the few stateful segments; each is bounded by ``max_fold_rows`` packets."""
     rest = [c for c in carried if c not in ORDER]
     lists = marked.groupBy(*FLOW_KEY, "_segment").agg(
         F.sort_array(

@@ -202,10 +202,12 @@ def event_kpis(view: DataFrame) -> DataFrame:
     )
 
 
-def runtime_status(
-    events: DataFrame, alerts: DataFrame, packets: DataFrame, rejects: DataFrame
-) -> DataFrame:
-    """Counters of a run and its latest label, confidence and times: one row."""
+def runtime_status(events: DataFrame, parsed_lines: DataFrame) -> DataFrame:
+    """Counters of a run and its latest label, confidence and times: one row.
+
+    One pass over the events and one over the parsed lines; the two one-row results
+    are stacked and folded into one row.
+    """
     newest = F.struct("event_us", "event_id")
     decided = events.agg(
         F.count(F.lit(1)).alias("finalized_flows"),
@@ -215,13 +217,15 @@ def runtime_status(
         F.max_by("prediction_label", newest).alias("last_predicted_label"),
         F.max_by("risk_score", newest).alias("last_confidence"),
         F.max("event_us").alias("last_event_us"),
-    ).withColumn("_one", F.lit(1))
-    alerted = alerts.agg(F.max("event_us").alias("last_alert_us")).withColumn("_one", F.lit(1))
-    seen = packets.agg(F.count(F.lit(1)).alias("packets_captured")).withColumn("_one", F.lit(1))
-    ignored = rejects.agg(F.count(F.lit(1)).alias("packets_ignored")).withColumn("_one", F.lit(1))
-    # Four one-row results side by side.
-    joined = decided.join(alerted, "_one").join(seen, "_one").join(ignored, "_one")
-    return joined.drop("_one")
+        F.max(F.when(F.col("alert_triggered"), F.col("event_us"))).alias("last_alert_us"),
+    )
+    usable = F.col("reject_reason").isNull()
+    lines = parsed_lines.agg(
+        F.count_if(usable).alias("packets_captured"),
+        F.count_if(~usable).alias("packets_ignored"),
+    )
+    both = decided.unionByName(lines, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def overview_kpis(status: DataFrame) -> DataFrame:

@@ -1183,3 +1183,14 @@ holes AS (
     ORDER BY count(*) DESC, src_ip LIMIT 1)) AS src_ip
 FROM holes"""
 )
+ORACLES["blocking_evaluation"] = (
+    _WITH_RECORDS
+    + f"""SELECT flow_id, raw_label = 'suspect' AS triggered,
+  CASE WHEN raw_label = 'suspect' THEN 'dry_run' ELSE 'enforce' END AS mode,
+  CASE WHEN p_milli % 2 = 0 THEN 0.5::DOUBLE WHEN raw_label = 'suspect' THEN p
+    ELSE 1::DOUBLE - p END AS confidence,
+  CASE WHEN raw_label = 'suspect' THEN '{D.REASON_NOT_ENFORCED}' ELSE '{D.REASON_NOT_SUSPECT}' END
+    AS reason,
+  CASE WHEN raw_label = 'suspect' THEN rule_text END AS command_preview
+FROM records"""
+)

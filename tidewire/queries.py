@@ -52,7 +52,7 @@ def _triggered(spark: SparkSession, folder: str) -> DataFrame:
 
 def _numbered(spark: SparkSession, folder: str) -> DataFrame:
     source, settings = fx.packets(spark, folder), Settings.from_session(spark)
-    return numbering.with_flow_ids(_triggered(spark, folder), settings, source)
+    return numbering.number_flows(flows.flow_table(source, settings), source, settings)
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
@@ -507,23 +507,21 @@ def _logs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _journal(spark: SparkSession, folder: str) -> DataFrame:
+    """All four record tables from decisions that are stored once, as a live run does."""
+    detected = durable(_detected(spark, folder))
+    events = detect.event_records(detected)
     return views.journal(
-        _events(spark, folder),
-        _alerts(spark, folder),
-        _blocks(spark, folder),
-        _logs(spark, folder),
+        events,
+        detect.alert_records(events, F.col("event_us") + 1_250),
+        detect.blocking_records(detected),
+        detect.log_records(detected, events),
     )
 
 
 @query
 def runtime_status(spark: SparkSession, folder: str) -> DataFrame:
     parsed = packet_source.parse_packet_lines(fx.packet_lines(spark, folder))
-    return views.runtime_status(
-        _events(spark, folder),
-        _alerts(spark, folder),
-        packet_source.accepted(parsed),
-        packet_source.rejected(parsed),
-    )
+    return views.runtime_status(_events(spark, folder), parsed)
 
 
 @query
@@ -838,10 +836,7 @@ _SMALL = replace(
 def _labelled_features(spark: SparkSession, folder: str) -> DataFrame:
     """Flows of forty captures with all features and a label the features can explain."""
     source, settings = fx.packets(spark, folder, captures=40), Settings.from_session(spark)
-    finished = numbering.with_expiry_trigger(
-        flows.flow_table(source, settings), source, settings
-    )
-    numbered = numbering.with_flow_ids(finished, settings, source)
+    numbered = numbering.number_flows(flows.flow_table(source, settings), source, settings)
     features = behaviour.with_behaviour(numbered, settings, source)
     suspicious = (F.col("dst_port") == 22) | (F.col("syn_count") >= 2)
     return durable(
@@ -897,3 +892,22 @@ def impute_features(spark: SparkSession, folder: str) -> DataFrame:
     return model.impute_features(
         rows, ["p_milli", "finalized_us"], ["src_ip"], Settings.from_session(spark)
     )
+
+
+@query
+def blocking_evaluation(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels decided elsewhere, some with their own confidence, in enforce mode."""
+    requests = fx.scored_flows(spark, folder).select(
+        "flow_id",
+        F.col("raw_label").alias("predicted_label"),
+        F.when(F.col("p_milli") % 2 == 0, F.lit(0.5)).alias("confidence"),
+        "probability",
+        "src_ip",
+        "dst_ip",
+        "src_port",
+        "dst_port",
+        "protocol",
+    )
+    decided = detect.evaluate_blocking(requests, mode="enforce", decided_us=F.lit(0))
+    wanted = ["triggered", "mode", "confidence", "reason", "command_preview"]
+    return decided.select("flow_id", *[f"blocking.{c}" for c in wanted])

@@ -23,8 +23,10 @@ class Settings:
     blocking_mode: str = "dry_run"
     history_limit: int = 250
     controller_host: str = "172.30.1.20"
-    # A group with more rows than this is spread over many tasks instead of one.
-    max_group_rows: int = 200_000
+    # A group with more rows than this is sorted by many tasks instead of one.
+    max_group_rows: int = 4_000_000
+    # A flow key with more packets than this is cut by pointers instead of being folded.
+    max_fold_rows: int = 200_000
 
     @classmethod
     def from_session(cls, spark: SparkSession) -> Settings:
