@@ -24,16 +24,19 @@ def keep_ip_traffic(packets: DataFrame) -> DataFrame:
 
 def with_flow_key(packets: DataFrame) -> DataFrame:
     """Both directions of a conversation get the same (a, b) endpoints."""
-    src = F.struct(F.col("src_ip").alias("ip"), F.col("src_port").alias("port"))
-    dst = F.struct(F.col("dst_ip").alias("ip"), F.col("dst_port").alias("port"))
-    low, high = F.least(src, dst), F.greatest(src, dst)
-    return packets.select(
+    forward = (F.col("src_ip") < F.col("dst_ip")) | (
+        (F.col("src_ip") == F.col("dst_ip")) & (F.col("src_port") <= F.col("dst_port"))
+    )
+
+    def pick(first: str, second: str) -> Column:
+        return F.when(F.col("from_a"), F.col(first)).otherwise(F.col(second))
+
+    return packets.withColumn("from_a", forward).select(
         "*",
-        low["ip"].alias("a_ip"),
-        low["port"].alias("a_port"),
-        high["ip"].alias("b_ip"),
-        high["port"].alias("b_port"),
-        (src == low).alias("from_a"),
+        pick("src_ip", "dst_ip").alias("a_ip"),
+        pick("src_port", "dst_port").alias("a_port"),
+        pick("dst_ip", "src_ip").alias("b_ip"),
+        pick("dst_port", "src_port").alias("b_port"),
     )
 
 

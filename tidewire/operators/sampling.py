@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.settings import Settings
+from tidewire.plans.durable import durable
 
 FLOW_ORDER = ["start_us", "end_us", "flow_id"]
 
@@ -53,49 +53,52 @@ def cap_audit(flows: DataFrame, caps: dict[str, int]) -> DataFrame:
     )
 
 
-def balance_labels(flows: DataFrame, settings: Settings, digits: int = 5) -> DataFrame:
+def balance_labels(flows: DataFrame, digits: int = 5) -> DataFrame:
     """Cut every label down to the smallest one, keeping the smallest ``md5(flow_id)``.
 
     There are two or three labels, so ranking inside a label would put half the table
-    into one task. Instead the flows are counted per leading hash digits; the counts
-    tell in which cell each label's quota ends. Cells before it are kept whole, and
-    only the flows of that one cell, one in 16**digits, are ranked.
+    into one task. Instead flows are counted per leading hash digits; the counts tell in
+    which cell each label's quota ends. Only the flows of that one cell, one in
+    16**digits, are ranked, and their cut-off is then a filter on the whole table.
     """
     hashed = flows.where(F.col("label_binary").isNotNull()).withColumn(
         "_hash", F.md5(F.col("flow_id"))
     )
     hashed = hashed.withColumn("_cell", F.substring("_hash", 1, digits))
-    cells = hashed.groupBy("label_binary", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    # At most labels x 16**digits rows, stored because three steps below read them.
+    cells = durable(hashed.groupBy("label_binary", "_cell").agg(F.count(F.lit(1)).alias("_n")))
+    totals = cells.groupBy("label_binary").agg(F.sum("_n").alias("_total"))
+    # One row per label: small enough for a window without partitions.
+    smallest = F.min("_total").over(Window.partitionBy())
+    quota = totals.select("label_binary", smallest.alias("_quota"))
     upto = (
         Window.partitionBy("label_binary")
         .orderBy("_cell")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    totals = cells.groupBy("label_binary").agg(F.sum("_n").alias("_total"))
-    # One row per label: small enough for a window without partitions.
-    quota = totals.select("label_binary", F.min("_total").over(Window.partitionBy()).alias("_quota"))
+    before = F.col("_upto") - F.col("_n")
     edge = (
         cells.withColumn("_upto", F.sum("_n").over(upto))
         .join(quota, "label_binary")
-        .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select(
-            "label_binary",
-            F.col("_cell").alias("_edge"),
-            (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"),
-        )
+        .where((F.col("_upto") >= F.col("_quota")) & (before < F.col("_quota")))
+        .select("label_binary", "_cell", (F.col("_quota") - before).alias("_left"))
     )
-    marked = hashed.join(F.broadcast(edge), "label_binary")
-    whole = marked.where(F.col("_cell") < F.col("_edge")).select(*flows.columns)
+    # One row per label on the broadcast side, here and below.
     order = Window.partitionBy("label_binary").orderBy("_hash", "flow_id")
-    partial = (
-        marked.where(F.col("_cell") == F.col("_edge"))
+    cutoff = (
+        hashed.select("label_binary", "_cell", "_hash", "flow_id")
+        .join(F.broadcast(edge), ["label_binary", "_cell"])
         .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= F.col("_left"))
+        .where(F.col("_rank") == F.col("_left"))
+        .select("label_binary", F.struct("_hash", "flow_id").alias("_cutoff"))
+    )
+    return (
+        hashed.join(F.broadcast(cutoff), "label_binary")
+        .where(F.struct("_hash", "flow_id") <= F.col("_cutoff"))
         .select(*flows.columns)
     )
-    return whole.unionByName(partial)
 
 
-def training_view(flows: DataFrame, caps: dict[str, int], settings: Settings) -> DataFrame:
-    """Cap, then balance."""
-    return balance_labels(cap_captures(flows, caps), settings)
+def training_view(flows: DataFrame, caps: dict[str, int]) -> DataFrame:
+    """Cap, store the capped flows, then balance."""
+    return balance_labels(durable(cap_captures(flows, caps)))

@@ -363,15 +363,14 @@ def top3_label_share(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def view_summary(spark: SparkSession, folder: str) -> DataFrame:
-    settings = Settings.from_session(spark)
     every = fx.labeled_flows(spark, folder)
     train = splits.flows_of_split(every, _plan(spark, folder), "train")
-    capped = sampling.cap_captures(train, fx.CAPS)
+    capped = durable(sampling.cap_captures(train, fx.CAPS))
     stages = {
         "all": every,
         "train_source": train,
         "train_capped": capped,
-        "train_balanced": sampling.balance_labels(capped, settings),
+        "train_balanced": sampling.balance_labels(capped),
     }
     return profile.stage_summary(stages)
 
@@ -609,9 +608,7 @@ def capture_cap_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def balance_labels(spark: SparkSession, folder: str) -> DataFrame:
-    kept = sampling.training_view(
-        fx.labeled_flows(spark, folder), fx.CAPS, Settings.from_session(spark)
-    )
+    kept = sampling.training_view(fx.labeled_flows(spark, folder), fx.CAPS)
     return kept.select("flow_id", "label_binary")
 
 

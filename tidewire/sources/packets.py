@@ -32,44 +32,56 @@ def parse_packet_lines(
     fields = F.from_csv(
         F.col(column), F.lit(_CSV_SCHEMA), {"mode": "PERMISSIVE", "nullValue": "\u0000"}
     )
-    row = lines.select(*rest, fields.alias("f"))
+    # A generator, because the optimizer would copy a plain parse into every use of it.
+    row = lines.select(*rest, F.inline(F.array(fields)))
+    field = F.col
 
-    def field(name: str) -> Column:
-        return F.col(f"f.{name}")
-
-    seconds = lenient_double(field("frame_time_epoch"), -1.0)
-    src, dst = F.trim(field("ip_src")), F.trim(field("ip_dst"))
     complete = reduce(
         lambda a, b: a & b, [field(n).isNotNull() for n in PACKET_LINE_FIELDS]
     )
-    reason = (
-        F.when(~complete, "short_line")
-        .when(seconds < 0, "bad_time")
-        .when((src == "") | (dst == ""), "blank_address")
+    ports = {
+        f"_{n}": lenient_int(field(n), 0)
+        for n in ("tcp_srcport", "udp_srcport", "tcp_dstport", "udp_dstport")
+    }
+    read = row.select(
+        *rest,
+        lenient_double(field("frame_time_epoch"), -1.0).alias("_seconds"),
+        F.trim(field("ip_src")).alias("src_ip"),
+        F.trim(field("ip_dst")).alias("dst_ip"),
+        *[c.alias(n) for n, c in ports.items()],
+        protocol_name(lenient_int(field("ip_proto"), -1)).alias("protocol"),
+        lenient_int(field("frame_len"), 0).alias("packet_length"),
+        *[
+            flag_value(field(source), strict_numeric_flags).alias(flag)
+            for flag, source in _FLAG_FIELDS.items()
+        ],
+        lenient_int(field("icmp_type"), -1).alias("icmp_type"),
+        complete.alias("_complete"),
     )
-    protocol = protocol_name(lenient_int(field("ip_proto"), -1))
 
     def port(side: str) -> Column:
         return (
-            F.when(protocol == "TCP", lenient_int(field(f"tcp_{side}port"), 0))
-            .when(protocol == "UDP", lenient_int(field(f"udp_{side}port"), 0))
+            F.when(F.col("protocol") == "TCP", F.col(f"_tcp_{side}port"))
+            .when(F.col("protocol") == "UDP", F.col(f"_udp_{side}port"))
             .otherwise(0)
         )
 
-    return row.select(
+    reason = (
+        F.when(~F.col("_complete"), "short_line")
+        .when(F.col("_seconds") < 0, "bad_time")
+        .when((F.col("src_ip") == "") | (F.col("dst_ip") == ""), "blank_address")
+    )
+    return read.select(
         *rest,
-        F.round(seconds * 1_000_000).cast("long").alias("ts_us"),
-        src.alias("src_ip"),
-        dst.alias("dst_ip"),
+        F.round(F.col("_seconds") * 1_000_000).cast("long").alias("ts_us"),
+        "src_ip",
+        "dst_ip",
         port("src").alias("src_port"),
         port("dst").alias("dst_port"),
-        protocol.alias("protocol"),
-        lenient_int(field("frame_len"), 0).alias("packet_length"),
-        *[
-            flag_value(field(source), strict_numeric_flags).alias(flag)
-            for flag, source in _FLAG_FIELDS.items()
-        ],
-        lenient_int(field("icmp_type"), -1).alias("icmp_type"),
+        "protocol",
+        "packet_length",
+        *PACKET_FLAGS,
+        "icmp_type",
         reason.alias("reject_reason"),
     )
 
