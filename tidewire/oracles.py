@@ -1194,3 +1194,21 @@ ORACLES["blocking_evaluation"] = (
   CASE WHEN raw_label = 'suspect' THEN rule_text END AS command_preview
 FROM records"""
 )
+ORACLES["stream_packets"] = (
+    _with(_packets(), _LINES)
+    + "SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS line_count FROM parsed GROUP BY 1"
+)
+ORACLES["stream_flows"] = ORACLES["flow_table"]
+ORACLES["stream_detection"] = (
+    _WITH_FLOWS
+    + """SELECT count(*) AS predictions, count(*) FILTER (m >= 950) AS alerts,
+  count(*) FILTER (m >= 990) AS block_decisions, count(*) FILTER (m >= 950) AS alert_records,
+  count(*) FILTER (m >= 500) AS block_records
+FROM (SELECT bytes % 1001 AS m FROM described)"""
+)
+ORACLES["stream_replay"] = (
+    _WITH_LABELED
+    + """SELECT CASE WHEN p_milli >= 500 THEN 'suspect' ELSE 'normal' END AS prediction_label,
+  CASE WHEN p_milli >= 500 THEN 'blocked' ELSE 'closed' END AS status, count(*) AS event_count
+FROM labeled GROUP BY ALL"""
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name on the shared storage."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read from there on."""
     checkpoint_dir(df.sparkSession)

@@ -26,15 +26,36 @@ from tidewire.operators import (
     splits,
     views,
 )
-from tidewire.plans.durable import durable
+from tidewire.plans.durable import durable, scratch_folder
 from tidewire.schemas import FEATURES, SPLITS, TARGET
 from tidewire.settings import Settings
 from tidewire.sources import contract, tables
 from tidewire.sources import packets as packet_source
+from tidewire.streaming import flows as stream_flows_
+from tidewire.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+FLOW_TABLE_COLUMNS = [
+    "flow_start_seq",
+    "flow_last_seq",
+    "protocol",
+    "src_ip",
+    "dst_ip",
+    "src_port",
+    "dst_port",
+    "start_time",
+    "end_time",
+    "duration_ms",
+    "packet_count_total",
+    "packet_count_fwd",
+    "packet_count_bwd",
+    "byte_count_total",
+    "byte_count_fwd",
+    "byte_count_bwd",
+]
+
 
 def query(build: Query) -> Query:
     QUERIES[build.__name__] = build
@@ -249,24 +270,7 @@ def split_family_flows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def flow_table(spark: SparkSession, folder: str) -> DataFrame:
-    return _flows(spark, folder).select(
-        "flow_start_seq",
-        "flow_last_seq",
-        "protocol",
-        "src_ip",
-        "dst_ip",
-        "src_port",
-        "dst_port",
-        "start_time",
-        "end_time",
-        "duration_ms",
-        "packet_count_total",
-        "packet_count_fwd",
-        "packet_count_bwd",
-        "byte_count_total",
-        "byte_count_fwd",
-        "byte_count_bwd",
-    )
+    return _flows(spark, folder).select(*FLOW_TABLE_COLUMNS)
 
 
 @query
@@ -908,3 +912,114 @@ def blocking_evaluation(spark: SparkSession, folder: str) -> DataFrame:
     decided = detect.evaluate_blocking(requests, mode="enforce", decided_us=F.lit(0))
     wanted = ["triggered", "mode", "confidence", "reason", "command_preview"]
     return decided.select("flow_id", *[f"blocking.{c}" for c in wanted])
+
+
+# --- streams ---------------------------------------------------------------------------
+
+
+def _packet_stream(spark: SparkSession, folder: str, where: str) -> DataFrame:
+    """The packets as files in time order, read one per micro-batch, then a drain row."""
+    source = durable(fx.packets(spark, folder))
+    last = source.agg(F.max("ts_us")).first()[0]
+    third = last // 3 + 1
+    for part in range(3):
+        rows = source.where(F.expr(f"ts_us div {third}") == part)
+        rows.coalesce(1).write.mode("append").parquet(f"{where}/packets")
+    # Far enough ahead to pass every deadline and the watermark delay.
+    drain = source.orderBy("seq").limit(1).withColumns(
+        {
+            "ts_us": F.lit(last + 600_000_000).cast("long"),
+            "protocol": F.lit(stream_flows_.CONTROL),
+        }
+    )
+    drain.coalesce(1).write.mode("append").parquet(f"{where}/packets")
+    return (
+        spark.readStream.schema(source.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{where}/packets")
+    )
+
+
+def _by_size(flows_: DataFrame) -> DataFrame:
+    """A stand-in classifier: the suspect probability follows from the byte count."""
+    p = (F.col("byte_count_total") % 1001) / 1000
+    return flows_.withColumns(
+        {
+            "raw_label": F.when(p >= 0.5, "suspect").otherwise("normal"),
+            "probability": F.create_map(F.lit("normal"), 1 - p, F.lit("suspect"), p),
+        }
+    )
+
+
+@query
+def stream_packets(spark: SparkSession, folder: str) -> DataFrame:
+    """Packet lines as a stream, with rejected lines as a table of their own."""
+    where = scratch_folder(spark, "stream-packets")
+    fx.packet_lines(spark, folder).select("value").repartition(3).write.text(f"{where}/lines")
+    parsed = packet_source.parse_packet_lines(
+        packet_source.packet_line_stream(spark, f"{where}/lines", "EVT")
+    )
+    kept = packet_source.accepted(live.observed_lines(parsed))
+    writer = kept.writeStream.format("parquet").option("checkpointLocation", f"{where}/check")
+    writer.trigger(availableNow=True).start(f"{where}/packets").awaitTermination()
+    live.write_rejects(
+        parsed, f"{where}/rejects", f"{where}/check-rejects", once=True
+    ).awaitTermination()
+    accepted = spark.read.parquet(f"{where}/packets").select(F.lit("accepted").alias("outcome"))
+    rejects = spark.read.parquet(f"{where}/rejects").select(
+        F.col("reject_reason").alias("outcome")
+    )
+    return accepted.unionByName(rejects).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("line_count")
+    )
+
+
+@query
+def stream_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """Flows cut on a stream: the same rows as the batch."""
+    where = scratch_folder(spark, "stream-flows")
+    source = _packet_stream(spark, folder, where)
+    finished = stream_flows_.flow_stream(source, Settings.from_session(spark))
+    writer = finished.writeStream.format("parquet").option("checkpointLocation", f"{where}/check")
+    writer.trigger(availableNow=True).start(f"{where}/flows").awaitTermination()
+    return spark.read.parquet(f"{where}/flows").select(*FLOW_TABLE_COLUMNS)
+
+
+@query
+def stream_detection(spark: SparkSession, folder: str) -> DataFrame:
+    """The live run: flows, features, decisions and records per micro-batch, then counters."""
+    where = scratch_folder(spark, "stream-detection")
+    source = _packet_stream(spark, folder, where)
+    settings = Settings.from_session(spark)
+    running = live.run_live(
+        source, f"{where}/out", f"{where}/check", _by_size, settings, once=True
+    )
+    running.awaitTermination()
+    events = live.read_history(spark, f"{where}/out", "events")
+    blocks = live.read_history(spark, f"{where}/out", "blocks")
+    alerts = live.read_history(spark, f"{where}/out", "alerts")
+    counts = events.agg(
+        F.count(F.lit(1)).alias("predictions"),
+        F.count_if("alert_triggered").alias("alerts"),
+        F.count_if("blocked").alias("block_decisions"),
+    )
+    stored = alerts.agg(F.count(F.lit(1)).alias("alert_records")).unionByName(
+        blocks.agg(F.count(F.lit(1)).alias("block_records")), allowMissingColumns=True
+    )
+    both = counts.unionByName(stored, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
+@query
+def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored split replayed file by file, without thresholds."""
+    where = scratch_folder(spark, "stream-replay")
+    rows = fx.scored_flows(spark, folder).drop("raw_label", "probability")
+    stored = rows.withColumn("byte_count_total", F.col("p_milli"))
+    stored.repartition(3).write.parquet(f"{where}/split")
+    live.replay_stream(
+        spark, f"{where}/split", f"{where}/events", f"{where}/check", _by_size
+    ).awaitTermination()
+    return spark.read.parquet(f"{where}/events").groupBy("prediction_label", "status").agg(
+        F.count(F.lit(1)).alias("event_count")
+    )

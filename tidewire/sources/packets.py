@@ -119,11 +119,18 @@ def read_packet_lines(spark: SparkSession, path: str, session_id: str) -> DataFr
     )
 
 
-def packet_line_stream(spark: SparkSession, path: str, session_id: str, files: int = 1) -> DataFrame:
-    """The same lines as a stream of new files, ``files`` per micro-batch."""
+def packet_line_stream(
+    spark: SparkSession, path: str, session_id: str, files: int = 1
+) -> DataFrame:
+    """The same lines as a stream of new files, ``files`` per micro-batch.
+
+    A stream has no position in the file. ``seq`` is a hash of the line instead: it
+    orders packets of the same microsecond, the same way on every attempt.
+    """
     lines = spark.readStream.option("maxFilesPerTrigger", files).text(path)
     return lines.select(
         "value",
         F.lit(session_id).alias("session_id"),
         F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("capture_id"),
+        F.xxhash64("value").alias("seq"),
     )

@@ -193,9 +193,15 @@ def timed_packets(packets: DataFrame, settings: Settings) -> DataFrame:
 def flow_stream(packets: DataFrame, settings: Settings) -> DataFrame:
     """Flows as they are finalised: the batch columns, ``flow_id`` and ``finalized_us``.
 
+    Keyed state with timers needs the RocksDB state store, which is chosen here.
+
     Ids come from the flow's identity, because a number in finalisation order would
     need all keys in one place.
     """
+    packets.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
     # The processor learns from the sign whether a flow has a probe timeout.
     idle = idle_timeout_us(F.col("protocol"), settings)
     signed = F.when(F.col("protocol") == "TCP", -idle).otherwise(idle)
