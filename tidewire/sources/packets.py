@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,17 +26,14 @@ def parse_packet_lines(
     blank address. Everything else is read leniently, with defaults.
     """
     rest = [c for c in lines.columns if c != column]
-    # The last field stays null, not blank, when the line is too short to hold it.
-    fields = F.from_csv(
-        F.col(column), F.lit(_CSV_SCHEMA), {"mode": "PERMISSIVE", "nullValue": "\u0000"}
-    )
+    fields = F.from_csv(F.col(column), F.lit(_CSV_SCHEMA), {"mode": "PERMISSIVE"})
+    # The parser gives null for a blank field and for an absent one, so commas are counted.
+    outside_quotes = F.regexp_replace(F.col(column), '"[^"]*"', "")
+    commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
     # A generator, because the optimizer would copy a plain parse into every use of it.
-    row = lines.select(*rest, F.inline(F.array(fields)))
+    row = lines.select(*rest, commas.alias("_commas"), F.inline(F.array(fields)))
     field = F.col
 
-    complete = reduce(
-        lambda a, b: a & b, [field(n).isNotNull() for n in PACKET_LINE_FIELDS]
-    )
     ports = {
         f"_{n}": lenient_int(field(n), 0)
         for n in ("tcp_srcport", "udp_srcport", "tcp_dstport", "udp_dstport")
@@ -46,8 +41,8 @@ def parse_packet_lines(
     read = row.select(
         *rest,
         lenient_double(field("frame_time_epoch"), -1.0).alias("_seconds"),
-        F.trim(field("ip_src")).alias("src_ip"),
-        F.trim(field("ip_dst")).alias("dst_ip"),
+        F.coalesce(F.trim(field("ip_src")), F.lit("")).alias("src_ip"),
+        F.coalesce(F.trim(field("ip_dst")), F.lit("")).alias("dst_ip"),
         *[c.alias(n) for n, c in ports.items()],
         protocol_name(lenient_int(field("ip_proto"), -1)).alias("protocol"),
         lenient_int(field("frame_len"), 0).alias("packet_length"),
@@ -56,7 +51,7 @@ def parse_packet_lines(
             for flag, source in _FLAG_FIELDS.items()
         ],
         lenient_int(field("icmp_type"), -1).alias("icmp_type"),
-        complete.alias("_complete"),
+        "_commas",
     )
 
     def port(side: str) -> Column:
@@ -67,7 +62,7 @@ def parse_packet_lines(
         )
 
     reason = (
-        F.when(~F.col("_complete"), "short_line")
+        F.when(F.col("_commas") < len(PACKET_LINE_FIELDS) - 1, "short_line")
         .when(F.col("_seconds") < 0, "bad_time")
         .when((F.col("src_ip") == "") | (F.col("dst_ip") == ""), "blank_address")
     )
