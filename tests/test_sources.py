@@ -67,7 +67,7 @@ def test_manifests_of_different_age(spark, tmp_path):
         "campaign_id,run_index,scenario_id,scenario_family,label_binary,pcap_name\n"
         "c2,3,S05,my_family,suspect,c.pcap\n"
     )
-    rows = tables.read_manifest(spark, str(old), str(new))
+    rows = tables.read_manifest(spark, str(tmp_path / "*.csv"))
     got = {r["capture_id"]: r for r in rows.collect()}
     assert got["a"]["status"] == "retried" and got["a"]["scenario_id"] == "N21"
     assert got["c"]["run_index"] == 3 and got["b"]["scenario_family"] is None

@@ -5,38 +5,57 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewire.operators.labeling import last_per_key
 from tidewire.schemas import CAPTURE_SUMMARY_COLUMNS, MANIFEST_COLUMNS, SPLITS
 
-_SUMMARY_TYPES = {"packet_count": T.LongType(), "flow_count": T.LongType()}
+_SUMMARY_COUNTS = ["packet_count", "flow_count"]
+# More columns than any manifest or summary has.
+_MAX_COLUMNS = 24
 
 
-def _read_csv(spark: SparkSession, path: str, wanted: Sequence[str]) -> DataFrame:
-    """CSV with header by column name: absent columns become null, order is free."""
-    raw = spark.read.csv(path, header=True, enforceSchema=False)
-    columns = [
-        (F.col(c) if c in raw.columns else F.lit(None).cast("string")).alias(c) for c in wanted
-    ]
-    where = F.struct(
+def read_csv_by_header(spark: SparkSession, path: str, wanted: Sequence[str]) -> DataFrame:
+    """CSV files whose headers differ, as one scan: columns by name, absent ones null.
+
+    ``path`` may be a glob over any number of files. The header of each file is its first
+    line; headers, one row per file, are joined back to the lines. ``_position`` orders
+    the lines of a file, and files by path.
+    """
+    fields = ", ".join(f"c{n} string" for n in range(_MAX_COLUMNS))
+    row = F.from_csv(F.col("value"), F.lit(fields))
+    lines = spark.read.text(path).select(
+        "value",
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("offset"),
-        F.monotonically_increasing_id().alias("row"),
+        F.struct(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("offset"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("_position"),
+    )
+    cells = F.array(*[F.col(f"parsed.c{n}") for n in range(_MAX_COLUMNS)])
+    lines = lines.where(F.length(F.trim("value")) > 0).select(
+        "path", "_position", row.alias("parsed")
+    ).select("path", "_position", cells.alias("cells"))
+    headers = lines.groupBy("path").agg(
+        F.min_by("cells", "_position").alias("names"), F.min("_position").alias("_first")
     )
-    return raw.select(*columns, where.alias("_position"))
+    body = lines.join(headers, "path").where(F.col("_position") > F.col("_first"))
+
+    def cell(name: str) -> Column:
+        place = F.array_position("names", F.lit(name)).cast("int")
+        return F.when(place > 0, F.get("cells", place - 1)).alias(name)
+
+    return body.select(*[cell(c) for c in wanted], "_position")
 
 
-def read_manifest(spark: SparkSession, *paths: str) -> DataFrame:
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest rows by capture file; a repeated file name keeps its last row.
 
-    Files of different age have different columns, so each path is read by its own
-    header and the rows are aligned by name.
+    Manifests of different age have different columns.
     """
-    frames = [_read_csv(spark, path, [*MANIFEST_COLUMNS, "severity"]) for path in paths]
-    rows = union_by_name(frames).withColumn(
+    rows = read_csv_by_header(spark, path, [*MANIFEST_COLUMNS, "severity"]).withColumn(
         "capture_id", F.regexp_replace("pcap_name", r"\.[^.]*$", "")
     )
     kept = last_per_key(rows, "pcap_name", ["_position"]).drop("_position")
@@ -45,11 +64,10 @@ def read_manifest(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
-def read_capture_summaries(spark: SparkSession, *paths: str) -> DataFrame:
+def read_capture_summaries(spark: SparkSession, path: str) -> DataFrame:
     """Capture summaries of several campaigns, columns aligned by name."""
-    frames = [_read_csv(spark, path, CAPTURE_SUMMARY_COLUMNS) for path in paths]
-    rows = union_by_name(frames).drop("_position")
-    return rows.withColumns({c: F.col(c).try_cast(t) for c, t in _SUMMARY_TYPES.items()})
+    rows = read_csv_by_header(spark, path, CAPTURE_SUMMARY_COLUMNS).drop("_position")
+    return rows.withColumns({c: F.col(c).try_cast("long") for c in _SUMMARY_COUNTS})
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -59,9 +77,9 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_flows(spark: SparkSession, *paths: str) -> DataFrame:
-    """Flow tables of several campaigns as one."""
-    return union_by_name([spark.read.parquet(path) for path in paths])
+def read_flows(spark: SparkSession, path: str) -> DataFrame:
+    """Flow tables of all campaigns under a glob, in one scan; columns may differ."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def write_splits(flows: DataFrame, path: str) -> None:
