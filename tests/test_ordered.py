@@ -26,6 +26,13 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k int, at int, v int")
 
 
+def test_heavy_groups_of_a_large_table(spark):
+    """Above a thousand rows the limit is checked on a sample."""
+    rows = spark.range(300_000).selectExpr("if(id % 3 = 0, 0, id) as k")
+    assert [r["k"] for r in heavy_groups(rows, ["k"], 50_000).collect()] == [0]
+    assert heavy_groups(rows, ["k"], 500_000) is None
+
+
 def test_heavy_groups(skewed):
     assert heavy_groups(skewed, ["k"], 10_000) is None
     assert [r["k"] for r in heavy_groups(skewed, ["k"], 150).collect()] == [0]

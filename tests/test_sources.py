@@ -157,6 +157,16 @@ def test_projection_checks_columns(spark):
         contract.project_features(bad).collect()
 
 
+def test_misfits_go_to_a_side_table(spark):
+    row = {name: "1" for name in FEATURES} | {"protocol": "TCP", "flow_id": "a"}
+    rows = [tuple(row.values()), tuple({**row, "src_port": "http", "flow_id": "b"}.values())]
+    rows.append(tuple({**row, "dst_port": None, "flow_id": "c"}.values()))
+    good, bad = contract.split_misfits(spark.createDataFrame(rows, [*row]))
+    assert {r["flow_id"] for r in good.collect()} == {"a", "c"}
+    assert dict(good.dtypes)["src_port"] == "bigint"
+    assert [r["src_port"] for r in bad.collect()] == ["http"]
+
+
 def test_drift_and_signature(spark):
     base = spark.createDataFrame([(1, "a")], "x int, y string")
     other = spark.createDataFrame([("a", 1, 2)], "y string, x long, z int")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewire.functions.network import iso_utc
 from tidewire.operators.packets import with_flow_key
 from tidewire.operators.segments import assign_flows
-from tidewire.schemas import FLOW_KEY
+from tidewire.schemas import FLOW_KEY, PACKET_FLAGS
 from tidewire.settings import Settings
 
 _FLOW_ID = [*FLOW_KEY, "flow_start_us", "flow_start_seq"]
@@ -37,7 +37,7 @@ def aggregate_flows(packets: DataFrame) -> DataFrame:
         F.sum(gap * gap).alias("_gap_sq"),
         *[
             F.sum(flag).cast("long").alias(f"{flag}_count")
-            for flag in ("syn", "ack", "rst", "fin", "psh")
+            for flag in PACKET_FLAGS
         ],
         F.count_if(F.col("icmp_type") == 8).alias("icmp_echo_req_count"),
         F.count_if(F.col("icmp_type") == 0).alias("icmp_echo_reply_count"),
@@ -106,5 +106,12 @@ def describe_flows(sums: DataFrame, *keep: str) -> DataFrame:
 
 
 def flow_table(packets: DataFrame, settings: Settings) -> DataFrame:
-    """Packets to flows: key, cut, aggregate."""
-    return aggregate_flows(assign_flows(with_flow_key(packets), settings))
+    """Packets to flows: key, cut, aggregate.
+
+    Only what the aggregation needs travels, the same in every branch of the cut, so the
+    branches share one shuffle.
+    """
+    keyed = with_flow_key(packets).select(
+        *FLOW_KEY, "ts_us", "seq", "from_a", "packet_length", *PACKET_FLAGS, "icmp_type"
+    )
+    return aggregate_flows(assign_flows(keyed, settings))

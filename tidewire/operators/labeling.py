@@ -114,10 +114,11 @@ def campaign_stats(captures: DataFrame) -> DataFrame:
 
 
 def usable_captures(captures: DataFrame) -> DataFrame:
-    """Without failed captures and throw-away campaigns."""
+    """Without failed captures and throw-away campaigns; a missing status is no failure."""
+    empty = F.lit("")
     return captures.where(
-        ~F.col("status").isin(*EXCLUDED_STATUSES)
-        & ~F.col("campaign_id").startswith(IGNORED_CAMPAIGN_PREFIX)
+        ~F.coalesce("status", empty).isin(*EXCLUDED_STATUSES)
+        & ~F.coalesce("campaign_id", empty).startswith(IGNORED_CAMPAIGN_PREFIX)
     )
 
 

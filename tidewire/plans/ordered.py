@@ -3,11 +3,11 @@
 A plain window puts one group into one task. That is the best plan for groups up
 to a known size, and a dead end for a group that holds a third of the table. So:
 
-* :func:`by_group_size` counts rows per group (map-side combined) and sends groups
-  above a limit down a second branch;
+* :func:`by_group_size` finds the groups above a limit and sends them down a second
+  branch;
 * in that branch :func:`lay_out` range-partitions on (group, order), which cuts one
-  group into many slices of equal size, and checkpoints the result so that slice
-  numbers can never change under a retry;
+  group into many slices of equal size, and stores the result so that slice numbers
+  can never change under a retry;
 * :func:`running_sum`, :func:`previous`, :func:`latest` and :func:`following` then work per slice and
   add what crosses slice borders. At most one group crosses each border, so the
   table of carried values has at most two rows per slice and is broadcast.
@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from tidewire.plans.durable import durable
 
 SLICE = "_slice"
+_SAMPLED_PER_HEAVY_GROUP = 1000
+_SEED = 17
+_MAX_LISTED_KEYS = 10_000
+_MAX_BROADCAST_KEYS = 1_000_000
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -33,13 +37,30 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys of groups with more than ``limit`` rows, or None when there are none.
-
-    There can be no more than rows/limit such keys, which bounds the broadcast.
+    """Keys of groups with about ``limit`` rows or more, or None when there are none.
+
+    Counting every group exactly would shuffle nearly as much as the work itself when
+    groups are many and small. So a thin sample is counted, large enough that a group of
+    ``limit`` rows shows up about a thousand times; half of that already counts as heavy,
+    which makes a miss practically impossible. The sample only picks the branch: both
+    branches are exact and keep every row. There are at most 2 x rows/limit such keys.
+    A short list comes back to the driver and becomes part of the plan, a longer one is
+    stored.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = durable(counts.where(F.col("_n") > limit).select(*(keys or ["_n"])))
-    return None if heavy.isEmpty() else heavy
+    fraction = min(1.0, _SAMPLED_PER_HEAVY_GROUP / limit)
+    rows = df.select(*keys)
+    threshold = limit
+    if fraction < 1.0:
+        rows = rows.sample(fraction, seed=_SEED)
+        threshold = _SAMPLED_PER_HEAVY_GROUP / 2
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counts.where(F.col("_n") > threshold).select(*(keys or ["_n"]))
+    listed = heavy.limit(_MAX_LISTED_KEYS + 1).collect()
+    if not listed:
+        return None
+    if len(listed) <= _MAX_LISTED_KEYS:
+        return df.sparkSession.createDataFrame(listed, heavy.schema)
+    return durable(heavy)
 
 
 def by_group_size(
@@ -59,9 +80,10 @@ def by_group_size(
         return build(df, False)
     if not keys:
         return build(df, True)
-    small = F.broadcast(heavy)
-    ordinary = df.join(small, null_safe(df, heavy, keys), "left_anti")
-    sliced = df.join(small, null_safe(df, heavy, keys), "left_semi")
+    # The bound above is checked, too: a longer list is joined without a broadcast.
+    listed = F.broadcast(heavy) if heavy.count() <= _MAX_BROADCAST_KEYS else heavy
+    ordinary = df.join(listed, null_safe(df, heavy, keys), "left_anti")
+    sliced = df.join(listed, null_safe(df, heavy, keys), "left_semi")
     return build(ordinary, False).unionByName(build(sliced, True))
 
 

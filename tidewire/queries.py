@@ -27,7 +27,7 @@ from tidewire.operators import (
     views,
 )
 from tidewire.plans.durable import durable, scratch_folder
-from tidewire.schemas import FEATURES, SPLITS, TARGET
+from tidewire.schemas import FEATURES, FLOW_KEY, SPLITS, TARGET
 from tidewire.settings import Settings
 from tidewire.sources import contract, tables
 from tidewire.sources import packets as packet_source
@@ -560,16 +560,23 @@ def overview_kpis(spark: SparkSession, folder: str) -> DataFrame:
 # --- windows and sequences -------------------------------------------------------------
 
 
+def _keyed(source: DataFrame) -> DataFrame:
+    """What cutting needs, and nothing else."""
+    return packets.with_flow_key(source).select(
+        *FLOW_KEY, *segments.ORDER, "psh", "fin", "rst"
+    )
+
+
 @query
 def flow_segments(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = packets.with_flow_key(fx.packets(spark, folder))
+    keyed = _keyed(fx.packets(spark, folder))
     cut = segments.assign_flows(keyed, Settings.from_session(spark))
     return cut.select("seq", "flow_start_seq", "flow_start_us", "gap_us", "is_last")
 
 
 @query
 def flow_segments_by_capture(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = packets.with_flow_key(fx.packets(spark, folder, captures=4))
+    keyed = _keyed(fx.packets(spark, folder, captures=4))
     cut = segments.assign_flows(keyed, Settings.from_session(spark))
     return cut.select("capture_id", "seq", "flow_start_seq")
 

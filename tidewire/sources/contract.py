@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,6 +146,21 @@ def project_features(
     return df.select(*keep, *_coerced(df, contract))
 
 
+def split_misfits(
+    df: DataFrame, contract: FeatureContract = DEFAULT_CONTRACT
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with the contract's types, and the rows with a value that does not fit.
+
+    For streams, where one bad value must not stop the query: both parts keep all
+    columns, and the second goes to a table of rejects.
+    """
+    _check_present(df, contract.inputs)
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in contract.struct()}
+    misfits = [F.col(name).isNotNull() & value.isNull() for name, value in typed.items()]
+    bad = reduce(lambda a, b: a | b, misfits)
+    return df.where(~bad).withColumns(typed), df.where(bad)
+
+
 def training_frame(df: DataFrame, contract: FeatureContract = DEFAULT_CONTRACT) -> DataFrame:
     """Inputs, target and whatever capture context the table has."""
     _check_present(df, [*contract.inputs, contract.target])
