@@ -1,4 +1,8 @@
-"""Compare registered queries with their SQL counterparts: ``python tests/oracle_check.py [names]``."""
+"""Compare registered queries with their SQL counterparts.
+
+``python tests/oracle_check.py [names]``; CHECK_SF_DIR picks the tables, and CHECK_LIMIT
+makes every group above that many rows take the branch for heavy groups.
+"""
 
 from __future__ import annotations
 
@@ -85,6 +89,9 @@ def main(names):
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if "CHECK_LIMIT" in os.environ:
+        for field in ("max_group_rows", "max_fold_rows"):
+            spark.conf.set(f"spark.tidewire.{field}", os.environ["CHECK_LIMIT"])
     connection = duck(folder)
     queries, oracles = contract.queries(), contract.oracle_sql()
     failed = []

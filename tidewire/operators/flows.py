@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.network import iso_utc
+from tidewire.functions.numbers import rounded_ratio
 from tidewire.operators.packets import with_flow_key
 from tidewire.operators.segments import assign_flows
 from tidewire.schemas import FLOW_KEY, PACKET_FLAGS
@@ -58,6 +59,9 @@ def describe_flows(sums: DataFrame, *keep: str) -> DataFrame:
     gap_mean = F.col("_gap_sum") / F.col("_gaps")
     gap_variance = F.greatest(F.lit(0.0), F.col("_gap_sq") / F.col("_gaps") - gap_mean * gap_mean)
 
+    # Milliseconds with six digits: a thousand steps to the microsecond.
+    gap_mean_ms = rounded_ratio(F.col("_gap_sum"), F.col("_gaps") * 1000, 6)
+
     def ms(micros: Column) -> Column:
         return F.round(F.coalesce(micros / 1000, F.lit(0.0)), 6)
 
@@ -89,11 +93,11 @@ def describe_flows(sums: DataFrame, *keep: str) -> DataFrame:
         (F.col("byte_count_total") - bytes_fwd).alias("byte_count_bwd"),
         "pkt_len_min",
         "pkt_len_max",
-        F.round(mean, 6).alias("pkt_len_mean"),
+        rounded_ratio(F.col("byte_count_total"), n, 6).alias("pkt_len_mean"),
         F.round(F.sqrt(variance), 6).alias("pkt_len_std"),
         ms(F.col("_gap_min")).alias("iat_min_ms"),
         ms(F.col("_gap_max")).alias("iat_max_ms"),
-        ms(gap_mean).alias("iat_mean_ms"),
+        F.coalesce(gap_mean_ms, F.lit(0.0)).alias("iat_mean_ms"),
         ms(F.sqrt(gap_variance)).alias("iat_std_ms"),
         "syn_count",
         "ack_count",

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewire.functions.numbers import rounded_ratio
+
 
 
 def _share(part: Column, whole: Column) -> Column:
-    return F.round(part / whole * 100, 2)
+    return rounded_ratio(part * 100, whole, 2)
 
 
 def label_distribution(flows: DataFrame, *by: str) -> DataFrame:
@@ -54,7 +56,9 @@ def capture_distribution(captures: DataFrame, *by: str) -> DataFrame:
     within = F.sum("capture_count").over(Window.partitionBy("label_binary"))
     return rows.select(
         "*",
-        F.round(F.col("flow_count") / F.col("capture_count"), 2).alias("avg_flows_per_capture"),
+        rounded_ratio(F.col("flow_count"), F.col("capture_count"), 2).alias(
+            "avg_flows_per_capture"
+        ),
         _share(F.col("capture_count"), within).alias("pct_captures_within_label"),
     )
 

@@ -93,7 +93,13 @@ members AS (
   SELECT s.*, w.start_us, w.start_seq, w.gap_us
   FROM walk w JOIN steps s ON s.kid = w.kid AND s.rn = w.rn)"""
 
-_FLOWS = """
+def _rounded(part: str, whole: str, digits: int) -> str:
+    """Half up on whole numbers."""
+    scale = 10**digits
+    return f"(({part}) * {2 * scale} + {whole}) // (({whole}) * 2) / {scale}"
+
+
+_FLOWS = f"""
 sums AS (
   SELECT capture_id, kid, protocol, start_us, start_seq, max(ts_us) AS end_us,
     arg_max(seq, rn) AS last_seq,
@@ -127,11 +133,11 @@ flows AS (
   FROM sums s JOIN forward USING (kid, start_seq)),
 described AS (
   SELECT *, round((end_us - start_us) / 1000, 3) AS duration_ms,
-    round(len_mean, 6) AS pkt_len_mean,
+    {_rounded('bytes', 'n', 6)} AS pkt_len_mean,
     round(sqrt(greatest(0.0::DOUBLE, len_mean_sq - len_mean * len_mean)), 6) AS pkt_len_std,
     round(coalesce(gap_min / 1000, 0), 6) AS iat_min_ms,
     round(coalesce(gap_max / 1000, 0), 6) AS iat_max_ms,
-    round(coalesce(gap_mean / 1000, 0), 6) AS iat_mean_ms,
+    coalesce({_rounded('gap_sum', 'nullif(gaps, 0) * 1000', 6)}, 0) AS iat_mean_ms,
     round(coalesce(sqrt(greatest(0.0::DOUBLE, gap_mean_sq - gap_mean * gap_mean)) / 1000, 0), 6)
       AS iat_std_ms,
     round(CASE WHEN protocol <> 'TCP' THEN 0 WHEN syn_count > 0 AND ack_count = 0 THEN 1
@@ -728,11 +734,12 @@ ORACLES["split_family_presence"] = (
 
 
 def _distribution(by: str, total: bool) -> str:
-    share = "round(n / sum(n) OVER () * 100, 2) AS pct_total, " if total else ""
+    share = f"{_rounded('n * 100', 'CAST(sum(n) OVER () AS BIGINT)', 2)} AS pct_total," if total else ""
+    within = "CAST(sum(n) OVER (PARTITION BY label_binary) AS BIGINT)"
     return (
         _WITH_LABELED
         + f"""SELECT label_binary, {by}, n AS flow_count, {share}
-  round(n / sum(n) OVER (PARTITION BY label_binary) * 100, 2) AS pct_within_label
+  {_rounded('n * 100', within, 2)} AS pct_within_label
 FROM (SELECT label_binary, {by}, count(*) AS n FROM labeled GROUP BY ALL)"""
     )
 
@@ -744,11 +751,12 @@ ORACLES["family_flow_distribution"] = _distribution("scenario_family", True)
 
 
 def _capture_distribution(by: str) -> str:
+    within = "CAST(sum(n) OVER (PARTITION BY label_binary) AS BIGINT)"
     return (
         _with(_CAPTURES, _CAPTURE_FLOWS, _COUNTS)
         + f"""SELECT label_binary, {by}, n AS capture_count, f AS flow_count, p AS packet_count,
-  round(f / n, 2) AS avg_flows_per_capture,
-  round(n / sum(n) OVER (PARTITION BY label_binary) * 100, 2) AS pct_captures_within_label
+  {_rounded('f', 'n', 2)} AS avg_flows_per_capture,
+  {_rounded('n * 100', within, 2)} AS pct_captures_within_label
 FROM (SELECT label_binary, {by}, count(*) AS n, CAST(sum(flow_count) AS BIGINT) AS f,
     CAST(sum(packet_count) AS BIGINT) AS p FROM capture_counts GROUP BY ALL)"""
     )
@@ -758,7 +766,9 @@ ORACLES["family_capture_distribution"] = _capture_distribution("scenario_family"
 ORACLES["scenario_capture_distribution"] = _capture_distribution("scenario_id, scenario_family")
 ORACLES["top3_label_share"] = (
     _WITH_LABELED
-    + """SELECT label_binary, round(sum(n) FILTER (r <= 3) / sum(n) * 100, 2) AS top3_share_pct
+    + f"""SELECT label_binary,
+  {_rounded('CAST(sum(n) FILTER (r <= 3) AS BIGINT) * 100', 'CAST(sum(n) AS BIGINT)', 2)}
+    AS top3_share_pct
 FROM (SELECT *, row_number() OVER (PARTITION BY label_binary ORDER BY n DESC, scenario_id) AS r
   FROM (SELECT label_binary, scenario_id, count(*) AS n FROM labeled GROUP BY ALL))
 GROUP BY label_binary"""
