@@ -581,7 +581,10 @@ _DUCK_TYPES = {"int64": "BIGINT", "float64": "DOUBLE", "string": "VARCHAR"}
 
 def _violation(name: str, dtype: str) -> str:
     if name not in _RAW_COLUMNS:
-        return f"SELECT '{name}' AS column_name, '{dtype}' AS expected_type, FALSE AS present, CAST(0 AS BIGINT) AS null_count, CAST(0 AS BIGINT) AS misfit_count"
+        return (
+            f"SELECT '{name}' AS column_name, '{dtype}' AS expected_type, FALSE AS present, "
+            "CAST(0 AS BIGINT) AS null_count, CAST(0 AS BIGINT) AS misfit_count"
+        )
     return (
         f"SELECT '{name}' AS column_name, '{dtype}' AS expected_type, TRUE AS present, "
         f"count(*) FILTER ({name} IS NULL) AS null_count, count(*) FILTER ({name} IS NOT NULL AND "
