@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -947,6 +948,18 @@ def _packet_stream(spark: SparkSession, folder: str, where: str) -> DataFrame:
     )
 
 
+@contextmanager
+def _one_state_partition_per_core(spark: SparkSession):
+    """A stream keeps its number of state partitions for life; cores bound what helps."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _by_size(flows_: DataFrame) -> DataFrame:
     """A stand-in classifier: the suspect probability follows from the byte count."""
     p = (F.col("byte_count_total") % 1001) / 1000
@@ -988,7 +1001,8 @@ def stream_flows(spark: SparkSession, folder: str) -> DataFrame:
     source = _packet_stream(spark, folder, where)
     finished = stream_flows_.flow_stream(source, Settings.from_session(spark))
     writer = finished.writeStream.format("parquet").option("checkpointLocation", f"{where}/check")
-    writer.trigger(availableNow=True).start(f"{where}/flows").awaitTermination()
+    with _one_state_partition_per_core(spark):
+        writer.trigger(availableNow=True).start(f"{where}/flows").awaitTermination()
     return spark.read.parquet(f"{where}/flows").select(*FLOW_TABLE_COLUMNS)
 
 
@@ -998,10 +1012,11 @@ def stream_detection(spark: SparkSession, folder: str) -> DataFrame:
     where = scratch_folder(spark, "stream-detection")
     source = _packet_stream(spark, folder, where)
     settings = Settings.from_session(spark)
-    running = live.run_live(
-        source, f"{where}/out", f"{where}/check", _by_size, settings, once=True
-    )
-    running.awaitTermination()
+    with _one_state_partition_per_core(spark):
+        running = live.run_live(
+            source, f"{where}/out", f"{where}/check", _by_size, settings, once=True
+        )
+        running.awaitTermination()
     events = live.read_history(spark, f"{where}/out", "events")
     blocks = live.read_history(spark, f"{where}/out", "blocks")
     alerts = live.read_history(spark, f"{where}/out", "alerts")
