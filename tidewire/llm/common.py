@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Texts are worked on in slices of about so many bytes; one longer text is a slice by itself.
 SLICE_BYTES = 1 << 20
@@ -67,3 +68,8 @@ def ascii_lower_aligned(text: str) -> str:
     if len(low) == len(text):
         return low
     return "".join(c if len(x := c.lower()) != 1 else x for c in text)
+
+
+def appended(schema: StructType, ddl: str) -> StructType:
+    """The schema with one more column, given as ``name type``."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
