@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,3 +74,15 @@ def ascii_lower_aligned(text: str) -> str:
 def appended(schema: StructType, ddl: str) -> StructType:
     """The schema with one more column, given as ``name type``."""
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with workers that look for this package where the driver found it."""
+    environment = df.sparkSession.sparkContext.environment
+    path = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in path:
+        environment["PYTHONPATH"] = os.pathsep.join([*path, _ROOT])
+    return df.mapInArrow(run, schema)

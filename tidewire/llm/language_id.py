@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import appended, crc_of_id, doc_columns, slices, strings, table
+from tidewire.llm.common import appended, crc_of_id, doc_columns, map_batches, slices, strings, table
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -134,7 +134,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 found = [dict(zip(("lang_pred", "score", "rejected"), own.classify(t))) for t in strings(part.column("text"))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, kind)], names=[*part.schema.names, "language_id"])
 
-    return docs.mapInArrow(run, appended(docs.schema, "language_id struct<lang_pred:string,score:double,rejected:boolean>"))
+    return map_batches(docs, run, appended(docs.schema, "language_id struct<lang_pred:string,score:double,rejected:boolean>"))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm.common import appended, doc_columns, flat, per_row, slices, strings, table
+from tidewire.llm.common import appended, doc_columns, flat, map_batches, per_row, slices, strings, table
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -244,7 +244,7 @@ def licenses(docs: DataFrame) -> DataFrame:
                     )
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, kind)], names=[*part.schema.names, "licenses"])
 
-    return docs.mapInArrow(run, appended(docs.schema, f"licenses {_TYPE}"))
+    return map_batches(docs, run, appended(docs.schema, f"licenses {_TYPE}"))
 
 
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,7 +19,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm.common import appended, ascii_lower_aligned, doc_columns, slices, strings, table
+from tidewire.llm.common import appended, ascii_lower_aligned, doc_columns, map_batches, slices, strings, table
 from tidewire.llm.secret_scan import span_digest
 
 BASE = ("email", "ip", "card", "phone")
@@ -140,7 +140,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
                 spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(t)] for t in strings(part.column("text"))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(spans, kind)], names=[*part.schema.names, "personal_data"])
 
-    return docs.mapInArrow(run, appended(docs.schema, "personal_data array<struct<kind:string,start:bigint,end:bigint>>"))
+    return map_batches(docs, run, appended(docs.schema, "personal_data array<struct<kind:string,start:bigint,end:bigint>>"))
 
 
 def op6_pii_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tidewire.llm.decontaminate import op8_decontaminate
 from tidewire.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidewire.llm.language_id import op10_language_id
 from tidewire.llm.license_scan import op3_license_scan
+from tidewire.llm.packing import op7_packing
 from tidewire.llm.pii_scan import op6_pii_scan
 from tidewire.llm.secret_scan import op9_secret_scan
 
@@ -12,6 +14,8 @@ QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_pii_scan": op6_pii_scan,
+    "op7_packing": op7_packing,
+    "op8_decontaminate": op8_decontaminate,
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
 }
