@@ -8,11 +8,15 @@ from tidewire.llm.language_id import op10_language_id
 from tidewire.llm.license_scan import op3_license_scan
 from tidewire.llm.packing import op7_packing
 from tidewire.llm.pii_scan import op6_pii_scan
+from tidewire.llm.quality import op1_quality
 from tidewire.llm.secret_scan import op9_secret_scan
+from tidewire.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_pii_scan": op6_pii_scan,
     "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
