@@ -6,6 +6,7 @@ from tidewire.llm.decontaminate import op8_decontaminate
 from tidewire.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidewire.llm.language_id import op10_language_id
 from tidewire.llm.license_scan import op3_license_scan
+from tidewire.llm.ngram_join import op2_ngram_join
 from tidewire.llm.packing import op7_packing
 from tidewire.llm.pii_scan import op6_pii_scan
 from tidewire.llm.quality import op1_quality
@@ -14,6 +15,7 @@ from tidewire.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_ngram_join": op2_ngram_join,
     "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
