@@ -71,6 +71,24 @@ def ascii_lower_aligned(text: str) -> str:
     return "".join(c if len(x := c.lower()) != 1 else x for c in text)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it new to ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame, *keys: str) -> DataFrame:
+    """Rows of ``docs`` whose ``keys`` are not among those of ``gone``; null equals null."""
+    names = [free_name(docs, f"gone_{i}") for i in range(len(keys))]
+    held = gone.select(*(F.col(k).alias(n) for k, n in zip(keys, names)))
+    same = F.lit(True)
+    for key, name in zip(keys, names):
+        same = same & F.col(key).eqNullSafe(F.col(name))
+    return docs.join(held, same, "left_anti")
+
+
 def appended(schema: StructType, ddl: str) -> StructType:
     """The schema with one more column, given as ``name type``."""
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import appended, doc_columns, map_batches, slices, strings, table
+from tidewire.llm.common import appended, doc_columns, free_name, map_batches, slices, strings, table
 
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -155,26 +155,32 @@ def _parts(items: DataFrame, settings: Settings) -> list[list[tuple[int, str]]]:
     return [[tuple(r) for r in rows.where(part == i).orderBy("item_id", "text").collect()] for i in range(count)]
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with a column ``leaks``: an array of (item_id, distance) by item."""
-    spark = docs.sparkSession
+def find_leaks(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), column: str = "leaks") -> DataFrame:
+    """``docs`` with an array of (item_id, distance) by item, which replaces any column of
+    that name."""
+    docs = docs.drop(column)
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int64())]))
-    out = docs.withColumn("leaks", F.expr("cast(array() as array<struct<item_id:bigint,distance:bigint>>)"))
-    for number, part in enumerate(_parts(items, settings)):
-        shared = spark.sparkContext.broadcast(Matcher(part, settings.error_share))
+    out, found = docs, []
+    for part in _parts(items, settings):
+        shared = docs.sparkSession.sparkContext.broadcast(Matcher(part, settings.error_share))
+        name = free_name(out, "leaks_of_part")
+        found.append(name)
 
-        def run(batches, shared=shared):
+        def run(batches, shared=shared, name=name):
             matcher = shared.value
             for batch in batches:
                 for rows in slices(batch):
-                    found = [[dict(zip(("item_id", "distance"), x)) for x in matcher.leaks(t)] for t in strings(rows.column("text"))]
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, kind)], names=[*rows.schema.names, "more_leaks"])
-
-        bare = out if number else out.drop("leaks")
-        mapped = map_batches(bare, run, appended(bare.schema, "more_leaks array<struct<item_id:bigint,distance:bigint>>"))
-        leaks = F.col("more_leaks") if not number else F.array_sort(F.concat("leaks", "more_leaks"))
-        out = mapped.select(*docs.columns, leaks.alias("leaks"))
-    return out
+                    leaks = [[dict(zip(("item_id", "distance"), x)) for x in matcher.leaks(t)] for t in strings(rows.column("text"))]
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(leaks, kind)], names=[*rows.schema.names, name])
+
+        out = map_batches(out, run, appended(out.schema, f"{name} array<struct<item_id:bigint,distance:bigint>>"))
+    return out.select(*docs.columns, F.array_sort(F.concat(*found)).alias(column))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Rows that leak no item."""
+    column = free_name(docs, "leaks")
+    return find_leaks(docs, items, settings, column).where(F.size(column) == 0).select(*docs.columns)
 
 
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

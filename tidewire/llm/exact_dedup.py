@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import doc_columns, table
+from tidewire.llm.common import doc_columns, free_name, table, without
 from tidewire.plans.durable import durable, scratch_folder
 
 # A digest with more than one in so many rows of a batch is joined by broadcast; there can
@@ -102,6 +102,22 @@ def fresh_index(spark: SparkSession) -> DigestIndex:
     return DigestIndex(spark, scratch_folder(spark, "digest-index"), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def kept_documents(docs: DataFrame, index: DigestIndex) -> DataFrame:
+    """Rows of ``docs`` that the index does not hold yet, one of each text."""
+    decided = durable(index.add(docs))
+    marks = {"digest": free_name(docs, "digest"), "chars": free_name(docs, "chars")}
+    marked = docs.withColumns({marks["digest"]: digest(F.col("text")), marks["chars"]: chars(F.col("text"))})
+    keys = ["doc_id", *marks.values()]
+    decided = decided.select("doc_id", "kept", *(F.col(k).alias(v) for k, v in marks.items()))
+    gone = durable(decided.where("not kept").select(*keys).distinct())
+    # The row that stays may stand several times; such ids are few or the input is odd.
+    often = durable(decided.where("kept").groupBy(*keys).count().where("count > 1").select(*keys))
+    left = without(marked, gone, *keys)
+    once = without(left, often, *keys)
+    again = left.join(often, keys, "left_semi").dropDuplicates(keys)
+    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     decided = fresh_index(spark).add(table(spark, folder, "documents"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import appended, crc_of_id, doc_columns, map_batches, slices, strings, table
+from tidewire.llm.common import appended, crc_of_id, doc_columns, free_name, map_batches, slices, strings, table
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -121,9 +121,10 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     return Model(dictionaries, settings)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a struct column ``language_id`` of (lang_pred, score, rejected)."""
-    spark = docs.sparkSession
+def identify(docs: DataFrame, model: Model, column: str = "language_id") -> DataFrame:
+    """``docs`` with a struct column of (lang_pred, score, rejected), which replaces any of
+    that name."""
+    spark, docs = docs.sparkSession, docs.drop(column)
     shared = spark.sparkContext.broadcast(model)
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
@@ -132,15 +133,22 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 found = [dict(zip(("lang_pred", "score", "rejected"), own.classify(t))) for t in strings(part.column("text"))]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, kind)], names=[*part.schema.names, "language_id"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, kind)], names=[*part.schema.names, column])
 
-    return map_batches(docs, run, appended(docs.schema, "language_id struct<lang_pred:string,score:double,rejected:boolean>"))
+    return map_batches(docs, run, appended(docs.schema, f"`{column}` struct<lang_pred:string,score:double,rejected:boolean>"))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(crc_of_id(4) != 2)
 
 
+def identified_documents(docs: DataFrame) -> DataFrame:
+    """Rows whose language the dictionaries tell; the model is trained on ``docs``."""
+    column = free_name(docs, "language_id")
+    found = identify(docs, train(training_rows(docs)), column)
+    return found.where(~F.col(f"{column}.rejected")).select(*docs.columns)
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = train(training_rows(documents))

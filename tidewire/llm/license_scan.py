@@ -224,11 +224,13 @@ _TYPE = "struct<n_words:bigint,base:array<struct<label:string,word:bigint>>,dete
 
 
 def licenses(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct column ``licenses``: n_words, base places, detections."""
+    """``docs`` with a struct column ``licenses``, in place of any of that name: n_words, base places, detections."""
     base = pa.struct([("label", pa.string()), ("word", pa.int64())])
     one = pa.struct([("label", pa.string()), ("first", pa.int64()), ("end", pa.int64()), ("weight", pa.float64())])
     kind = pa.struct([("n_words", pa.int64()), ("base", pa.list_(base)), ("detections", pa.list_(one))])
 
+    docs = docs.drop("licenses")
+
     def run(batches):
         for batch in batches:
             for part in slices(batch):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import doc_columns, flat, map_batches, slices, table
+from tidewire.llm.common import doc_columns, flat, map_batches, slices, table, without
 from tidewire.llm.components import components
 from tidewire.llm.shingles import shingle_sets, signatures
 from tidewire.plans.durable import durable
@@ -353,5 +353,11 @@ def similar_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     )
 
 
+def one_of_each_group(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Rows of ``docs`` with the smallest id of their group; rows of one id stay together."""
+    gone = similar_groups(docs, settings).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return without(docs, durable(gone.select("doc_id").distinct()), "doc_id")
+
+
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_groups(table(spark, folder, "documents"))

@@ -131,9 +131,11 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column ``personal_data``: an array of (kind, start, end)."""
+    """``docs`` with a column ``personal_data``, in place of any of that name: an array of (kind, start, end)."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
+    docs = docs.drop("personal_data")
+
     def run(batches):
         for batch in batches:
             for part in slices(batch):
