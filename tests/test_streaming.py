@@ -76,7 +76,7 @@ def test_live_run_writes_every_record_once(spark, tmp_path):
     # The context carries the source's rate from one micro-batch into the next.
     stored = live.read_history(spark, out, "flows")
     assert stored.agg(F.max("connections_per_5s")).first()[0] == 40
-    newest = live.recent(spark, out, "alerts", 5, SETTINGS)
+    newest = live.recent(spark, out, "alerts", 5)
     assert newest.count() == 5 and newest.first()["total_available"] == 40
     # A repeated micro-batch replaces its own records.
     batches = sorted(p.name for p in (tmp_path / "out" / "finished").iterdir())

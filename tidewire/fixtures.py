@@ -103,7 +103,9 @@ def packet_lines(spark: SparkSession, folder: str) -> DataFrame:
         return f"if(protocol = '{protocol}', cast({column} as string), '')"
 
     fields = [
-        f"case when seq % 83 = 0 then '-1.5' when seq % 79 = 0 then 'n/a' else {time} end",
+        "case when seq % 83 = 0 then '-1.5' when seq % 79 = 0 then 'n/a'"
+        " when seq % 101 = 0 then 'nan' when seq % 103 = 0 then 'Infinity'"
+        f" when seq % 107 = 0 then '1e300' else {time} end",
         "if(seq % 89 = 0, ' ', src_ip)",
         "dst_ip",
         only("TCP", "src_port"),
@@ -238,7 +240,7 @@ def evaluated_flows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_feature_rows(spark: SparkSession, folder: str) -> DataFrame:
+def raw_feature_rows(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     """Contract inputs as text, with nulls, garbage, one absent and one extra column."""
     return table(spark, folder, "lineitem").selectExpr(
         "if(l_linenumber = 7, null, if(l_returnflag = 'A', 'TCP', 'UDP')) as protocol",
@@ -248,4 +250,5 @@ def raw_feature_rows(spark: SparkSession, folder: str) -> DataFrame:
         "if(l_orderkey % 43 = 0, null, cast(l_linenumber as string)) as packet_count_total",
         "cast(l_quantity as string) as pkt_len_mean",
         "l_returnflag as unrelated",
+        *more,
     )

@@ -131,6 +131,18 @@ def latency_ms(start_us: Column, end_us: Column) -> Column:
     return F.round((end_us - start_us) / 1000, 3)
 
 
+def safe_int(value: Column, default: int = 0) -> Column:
+    """Whole number of a text or number, cut towards zero; the default for anything else."""
+    number = F.trim(value.cast("string")).try_cast("double").try_cast("long")
+    return F.coalesce(number, F.lit(default).cast("long"))
+
+
+def safe_float(value: Column, default: float = 0.0) -> Column:
+    """Finite or infinite number of a text or number; the default for anything else."""
+    number = F.trim(value.cast("string")).try_cast("double")
+    return F.coalesce(F.nanvl(number, F.lit(None).cast("double")), F.lit(default))
+
+
 def safe_text(value: Column, default: str | None = None) -> Column:
     text = F.nullif(F.trim(value.cast("string")), F.lit(""))
     return text if default is None else F.coalesce(text, F.lit(default))

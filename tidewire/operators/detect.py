@@ -13,9 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions import decisions as D
+from tidewire.functions import display
 from tidewire.functions.network import rule_preview, tcp_flags
+from tidewire.operators.sampling import FLOW_ORDER
 from tidewire.schemas import BLOCKING_MODES, POSITIVE_LABEL
 
+# Texts of records and logs.
+ALERT_TEXT = "Suspect flow detected from %s to %s over %s."
+DETECTION_TEXT = "Suspect flow detected from %s to %s (%s)."
+BLOCKING_TEXT = "Blocking decision triggered for %s to %s in %s mode."
+
 # Record columns a flow may lack, with the type its null gets.
 _OPTIONAL = {
     "src_ip": "string",
@@ -127,6 +134,27 @@ def evaluate_blocking(
     return rows.withColumn("blocking", _blocking_decision(mode, None))
 
 
+def _attack_type(family_hint: bool) -> Column:
+    nothing = F.lit(None).cast("string")
+    return D.attack_type(
+        F.col("scenario_family") if family_hint else nothing,
+        F.col("label_family") if family_hint else nothing,
+        F.col("protocol"),
+        F.col("predicted_label"),
+        F.col("syn_count"),
+        F.col("rst_count"),
+    )
+
+
+def attack_types(detected: DataFrame) -> DataFrame:
+    """The attack type of every flow, with and without what its families say."""
+    return _complete(detected).select(
+        F.col("flow_id").alias("event_id"),
+        _attack_type(True).alias("attack_type"),
+        _attack_type(False).alias("derived_type"),
+    )
+
+
 def event_records(detected: DataFrame, family_hint: bool = True) -> DataFrame:
     """One flat record per decided flow.
 
@@ -136,15 +164,6 @@ def event_records(detected: DataFrame, family_hint: bool = True) -> DataFrame:
     """
     df = _complete(detected)
     triggered, alert = F.col("blocking.triggered"), F.col("alert_triggered")
-    nothing = F.lit(None).cast("string")
-    attack = D.attack_type(
-        F.col("scenario_family") if family_hint else nothing,
-        F.col("label_family") if family_hint else nothing,
-        F.col("protocol"),
-        F.col("predicted_label"),
-        F.col("syn_count"),
-        F.col("rst_count"),
-    )
     flags = {n: F.col(f"{n.lower()}_count") for n in ("SYN", "ACK", "FIN", "RST", "PSH", "URG")}
     return df.select(
         F.col("flow_id").alias("event_id"),
@@ -162,7 +181,7 @@ def event_records(detected: DataFrame, family_hint: bool = True) -> DataFrame:
         F.col("raw_label").alias("raw_prediction_label"),
         F.col("confidence").alias("risk_score"),
         D.severity(F.col("severity"), F.col("confidence"), alert, triggered).alias("severity"),
-        attack.alias("attack_type"),
+        _attack_type(family_hint).alias("attack_type"),
         D.action_taken(triggered, alert, F.col("blocking.mode")).alias("action_taken"),
         D.event_status(triggered, alert).alias("status"),
         triggered.alias("blocked"),
@@ -185,9 +204,7 @@ def alert_records(events: DataFrame, created_us: Column | None = None) -> DataFr
         "severity",
         "src_ip",
         "dst_ip",
-        F.format_string(
-            "Suspect flow detected from %s to %s over %s.", "src_ip", "dst_ip", "protocol"
-        ).alias("description"),
+        F.format_string(ALERT_TEXT, "src_ip", "dst_ip", "protocol").alias("description"),
         F.lit(D.RECOMMENDATION).alias("recommendation"),
         "action_taken",
         F.when(F.col("blocked"), "escalated").otherwise("open").alias("status"),
@@ -240,23 +257,65 @@ def log_records(detected: DataFrame, events: DataFrame) -> DataFrame:
         "event_us",
         F.lit("WARNING").alias("level"),
         F.lit("detection_service").alias("component"),
-        F.format_string(
-            "Suspect flow detected from %s to %s (%s).", "src_ip", "dst_ip", "attack_type"
-        ).alias("message"),
+        F.format_string(DETECTION_TEXT, "src_ip", "dst_ip", "attack_type").alias("message"),
         F.lit("detection").alias("category"),
     )
     blocks = blocking_records(detected).where("triggered").select(
         "event_us",
         F.lit("WARNING").alias("level"),
         F.lit("blocking_service").alias("component"),
-        F.format_string(
-            "Blocking decision triggered for %s to %s in %s mode.", "src_ip", "dst_ip", "mode"
-        ).alias("message"),
+        F.format_string(BLOCKING_TEXT, "src_ip", "dst_ip", "mode").alias("message"),
         F.lit("blocking").alias("category"),
     )
     return alerts.select(*shape).unionByName(blocks.select(*shape))
 
 
+def journal_lines(detected: DataFrame) -> DataFrame:
+    """The journal of decided flows in one pass: up to five lines per flow.
+
+    The same lines as :func:`tidewire.operators.views.journal` makes of stored records.
+    """
+    df = _complete(detected)
+    alert, block = F.col("alert_triggered"), F.col("blocking.triggered")
+    src, dst = D.safe_text(F.col("src_ip"), "unknown"), D.safe_text(F.col("dst_ip"), "unknown")
+    protocol = D.safe_text(F.col("protocol"), "IP")
+    decided, blocked = F.col("decided_us"), F.col("blocking.created_us")
+    label = display.label(F.col("predicted_label"))
+
+    def line(at: Column, level: str | Column, kind: str, message: Column) -> Column:
+        shown = F.lit(level) if isinstance(level, str) else level
+        return F.struct(at.alias("event_us"), shown.alias("level"), F.lit(kind).alias("type"), message.alias("message"))
+
+    def text(form: str, *parts: Column) -> Column:
+        return F.format_string(form, *parts)
+
+    lines = F.array(
+        line(
+            decided,
+            F.when(label == "Normal", "NORMAL").otherwise("SUSPECT"),
+            "Prediction",
+            text("%s %s %s -> %s", label, display.protocol(protocol), src, dst),
+        ),
+        F.when(alert, line(decided, "WARNING", "Detection", text(DETECTION_TEXT, src, dst, _attack_type(True)))),
+        F.when(alert, line(decided, "ALERTE", "Detection", text(ALERT_TEXT, src, dst, protocol))),
+        F.when(
+            in_blocking_history(),
+            line(blocked, F.when(block, "BLOCAGE").otherwise("ACTION"), "Action", F.coalesce("blocking.reason", F.lit("-"))),
+        ),
+        F.when(
+            in_blocking_history() & block,
+            line(blocked, "WARNING", "Blocking", text(BLOCKING_TEXT, src, dst, F.col("blocking.mode"))),
+        ),
+    )
+    return df.select(F.inline(F.filter(lines, lambda x: x.isNotNull())))
+
+
+def replay_rows(flows: DataFrame, limit: int | None = None) -> DataFrame:
+    """Flows of a split in replay order; with ``limit``, the first so many of them."""
+    ordered = flows.orderBy(*FLOW_ORDER)
+    return ordered if limit is None else ordered.limit(limit)
+
+
 def replay_summary(detected: DataFrame) -> DataFrame:
     """Counters of a replayed split."""
     return detected.agg(

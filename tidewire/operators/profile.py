@@ -150,20 +150,26 @@ def categorical_profile(df: DataFrame, columns: list[str], top: int = 5) -> Data
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(c).alias("feature_name"), F.col(c).cast("string").alias("value"))
+                    F.struct(
+                        F.lit(c).alias("feature_name"),
+                        F.coalesce(F.col(c).cast("string"), F.lit("None")).alias("value"),
+                        F.col(c).isNull().cast("long").alias("null"),
+                    )
                     for c in columns
                 ]
             )
         )
     )
-    counts = pairs.groupBy("feature_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Nulls are shown as ``None`` and count together with that text.
+    counts = pairs.groupBy("feature_name", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("null").alias("nulls")
+    )
     totals = counts.groupBy("feature_name").agg(
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null_count"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
+        F.sum(F.col("n") - F.col("nulls")).alias("non_null_count"),
+        F.sum("nulls").alias("null_count"),
     )
-    shown = counts.withColumn("value", F.coalesce("value", F.lit("None")))
     order = Window.partitionBy("feature_name").orderBy(F.desc("n"), "value")
-    best = shown.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     entries = F.array_sort(F.collect_list(F.struct("rank", "value", "n")))
     listed = best.groupBy("feature_name").agg(
         F.to_json(
@@ -222,11 +228,37 @@ def schema_drift(tables: Mapping[str, DataFrame], reference: str) -> DataFrame:
 
 
 def table_signature(df: DataFrame) -> DataFrame:
-    """Row count and an order-free hash: equal tables give equal signatures."""
+    """Row count and an order-free hash: equal tables give equal signatures.
+
+    A row is its cells as text, nulls marked, in column order; the hash is the sum of
+    the first fifteen hexadecimal digits of the rows' MD5.
+    """
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in df.columns]
+    digits = F.substring(F.md5(F.concat_ws("|", *cells)), 1, 15)
+    number = F.conv(digits, 16, 10).cast("decimal(38,0)")
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.bit_xor(F.xxhash64(*df.columns)), F.lit(0)).alias("content_hash"),
-        F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).alias(
-            "content_sum"
-        ),
+        F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("content_sum"),
+    )
+
+
+def type_misfits(df: DataFrame, group: str, types: Mapping[str, str]) -> DataFrame:
+    """Per group and column: rows, nulls, and texts that are not of the wanted type.
+
+    Finds the campaign whose table drifted, by its values. One pass and one shuffle of a
+    row per group and task.
+    """
+
+    def cell(name: str, kind: str) -> Column:
+        held = F.col(name).isNotNull()
+        return F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(kind).alias("expected_type"),
+            F.count_if(~held).alias("null_count"),
+            F.count_if(held & F.col(name).try_cast(kind).isNull()).alias("misfit_count"),
+        )
+
+    counts = df.groupBy(group).agg(
+        F.count(F.lit(1)).alias("row_count"), F.array(*[cell(n, k) for n, k in types.items()]).alias("_cells")
     )
+    return counts.select(group, "row_count", F.inline("_cells"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions import display
@@ -15,12 +15,10 @@ def latest(records: DataFrame, n: int, at: str = "event_us", *ties: str) -> Data
     return records.orderBy(F.desc_nulls_last(at), *ties).limit(n)
 
 
-def latest_with_total(records: DataFrame, n: int, history: int, *ties: str) -> DataFrame:
-    """Newest ``n`` records of a bounded history, with the history's size."""
-    kept = latest(records, history, "event_us", *ties)
-    # At most ``history`` rows reach this window.
-    total = F.count(F.lit(1)).over(Window.partitionBy())
-    return latest(kept.withColumn("total_available", total), n, "event_us", *ties)
+def latest_with_total(records: DataFrame, n: int, *ties: str) -> DataFrame:
+    """Newest ``n`` records, with the number of all records."""
+    total = records.agg(F.count(F.lit(1))).scalar()
+    return latest(records, n, "event_us", *ties).withColumn("total_available", total)
 
 
 def events_view(events: DataFrame) -> DataFrame:
@@ -202,9 +200,13 @@ def event_kpis(view: DataFrame) -> DataFrame:
     )
 
 
-def runtime_status(events: DataFrame, parsed_lines: DataFrame) -> DataFrame:
+def runtime_status(
+    events: DataFrame, parsed_lines: DataFrame, running: bool = False, now_us: Column | None = None
+) -> DataFrame:
     """Counters of a run and its latest label, confidence and times: one row.
 
+    The run is up from its first event to its last, or to ``now_us`` while it is running.
+
     One pass over the events and one over the parsed lines; the two one-row results
     are stacked and folded into one row.
     """
@@ -218,6 +220,12 @@ def runtime_status(events: DataFrame, parsed_lines: DataFrame) -> DataFrame:
         F.max_by("risk_score", newest).alias("last_confidence"),
         F.max("event_us").alias("last_event_us"),
         F.max(F.when(F.col("alert_triggered"), F.col("event_us"))).alias("last_alert_us"),
+        uptime_seconds(
+            F.min("event_us"),
+            F.max("event_us"),
+            F.lit(running),
+            F.unix_micros(F.current_timestamp()) if now_us is None else now_us,
+        ).alias("uptime_seconds"),
     )
     usable = F.col("reject_reason").isNull()
     lines = parsed_lines.agg(

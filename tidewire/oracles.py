@@ -485,7 +485,8 @@ _WITH_VIEWS = _with(_CAPTURES, _CAPTURE_FLOWS, _SCORED, _DETECTED, _VIEWS)
 _LINES = """
 lines AS (
   SELECT seq, CASE WHEN seq % 97 = 0 THEN ['1.0', '10.0.0.1'] ELSE [
-    CASE WHEN seq % 83 = 0 THEN '-1.5' WHEN seq % 79 = 0 THEN 'n/a'
+    CASE WHEN seq % 83 = 0 THEN '-1.5' WHEN seq % 79 = 0 THEN 'n/a' WHEN seq % 101 = 0 THEN 'nan'
+      WHEN seq % 103 = 0 THEN 'Infinity' WHEN seq % 107 = 0 THEN '1e300'
       ELSE (ts_us // 1000000) || '.' || lpad(CAST(ts_us % 1000000 AS VARCHAR), 6, '0') END,
     CASE WHEN seq % 89 = 0 THEN ' ' ELSE src_ip END, dst_ip,
     CASE WHEN protocol = 'TCP' THEN CAST(src_port AS VARCHAR) ELSE '' END,
@@ -505,8 +506,9 @@ parsed AS (
   SELECT seq, f, coalesce(try_cast(f[1] AS DOUBLE), -1) AS seconds,
     CASE f[8] WHEN '1' THEN 'ICMP' WHEN '6' THEN 'TCP' WHEN '17' THEN 'UDP'
       ELSE 'IP_' || f[8] END AS protocol,
-    CASE WHEN len(f) < 15 THEN 'short_line' WHEN coalesce(try_cast(f[1] AS DOUBLE), -1) < 0
-      THEN 'bad_time' WHEN trim(f[2]) = '' OR trim(f[3]) = '' THEN 'blank_address' END AS reason
+    CASE WHEN len(f) < 15 THEN 'short_line'
+      WHEN NOT coalesce(try_cast(f[1] AS DOUBLE), -1) BETWEEN 0 AND 9e12 THEN 'bad_time'
+      WHEN trim(f[2]) = '' OR trim(f[3]) = '' THEN 'blank_address' END AS reason
   FROM lines)"""
 
 
@@ -523,7 +525,7 @@ def _flag(position: int) -> str:
 
 ORACLES["packets_parsed"] = (
     _with(_packets(), _LINES)
-    + f"""SELECT seq, CAST(round(seconds * 1000000) AS BIGINT) AS ts_us, trim(f[2]) AS src_ip,
+    + f"""SELECT seq, try_cast(round(seconds * 1000000) AS BIGINT) AS ts_us, trim(f[2]) AS src_ip,
   trim(f[3]) AS dst_ip,
   CASE protocol WHEN 'TCP' THEN {_int(4, 0)} WHEN 'UDP' THEN {_int(5, 0)} ELSE 0 END AS src_port,
   CASE protocol WHEN 'TCP' THEN {_int(6, 0)} WHEN 'UDP' THEN {_int(7, 0)} ELSE 0 END AS dst_port,
@@ -547,15 +549,24 @@ ORACLES["manifest_dedup"] = (
 )
 ORACLES["split_scan"] = (
     _WITH_PLAN
-    + """SELECT flow_id, capture_id, label_binary, start_us, end_us, protocol FROM labeled
-WHERE capture_id IN (SELECT capture_id FROM plan WHERE split = 'validation')"""
+    + """SELECT split, flow_id, capture_id, label_binary, start_us, end_us, protocol
+FROM labeled JOIN (SELECT capture_id, split FROM plan) USING (capture_id) WHERE split <> 'train'"""
 )
 ORACLES["campaign_union"] = (
     _WITH_CAPTURES
     + """SELECT capture_id, campaign_id, scenario_id, label_binary,
   CASE WHEN campaign_id <> 'camp_0' THEN scenario_family END AS scenario_family,
   CASE WHEN campaign_id <> 'camp_0' THEN c_custkey END AS run_index
-FROM captures WHERE starts_with(campaign_id, 'camp_')"""
+FROM captures"""
+)
+ORACLES["wide_manifest"] = (
+    _WITH_CAPTURES
+    + """SELECT * EXCLUDE (r) FROM (
+  SELECT 'run_' || lpad(CAST(c_custkey - c_custkey % 3 AS VARCHAR), 7, '0') || '.pcap' AS pcap_name,
+    campaign_id, scenario_id, label_binary, '172.30.1.' || (20 + c_custkey % 4) AS source_host,
+    c_custkey AS run_index, status,
+    row_number() OVER (PARTITION BY c_custkey - c_custkey % 3 ORDER BY c_custkey DESC) AS r
+  FROM captures) WHERE r = 1"""
 )
 _RAW = """
 raw AS (
@@ -597,10 +608,17 @@ ORACLES["contract_violations"] = _with(_RAW) + " UNION ALL ".join(
 )
 ORACLES["replay_summary"] = (
     _with(_CAPTURES, _CAPTURE_FLOWS, _PLAN)
-    + """SELECT count(*) AS processed_events, count(*) FILTER (p_milli < 500) AS normal_count,
+    + """SELECT split, replay_limit, count(*) AS processed_events,
+  count(*) FILTER (p_milli < 500) AS normal_count,
   count(*) FILTER (p_milli >= 500) AS suspect_count,
   count(*) FILTER (p_milli >= 500) AS block_decisions_count
-FROM labeled WHERE capture_id IN (SELECT capture_id FROM plan WHERE split = 'validation')"""
+FROM (SELECT split, p_milli, row_number() OVER (PARTITION BY split
+    ORDER BY start_us, end_us, flow_id) AS place
+  FROM labeled JOIN (SELECT capture_id, split FROM plan) USING (capture_id)
+  WHERE split IN ('validation', 'test'))
+JOIN (VALUES (NULL::INT), (100)) AS limits (replay_limit)
+  ON replay_limit IS NULL OR place <= replay_limit
+GROUP BY ALL"""
 )
 ORACLES["protocol_name"] = """SELECT protocol_number, CASE protocol_number WHEN 1 THEN 'ICMP'
   WHEN 6 THEN 'TCP' WHEN 17 THEN 'UDP' ELSE 'IP_' || protocol_number END AS protocol,
@@ -816,11 +834,69 @@ _PROFILE_COLUMNS = [
     "end_us",
     "finalized_us",
 ]
-ORACLES["split_profile"] = _WITH_SCORED + " UNION ALL ".join(
-    f"SELECT 'train' AS split, count(*) AS row_count, {len(_PROFILE_COLUMNS)} AS column_count, "
-    f"'{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM scored"
+_SPLIT_TYPES = {
+    **dict.fromkeys(["p_milli", "src_port", "dst_port", "packet_count_total", "byte_count_total"], "bigint"),
+    **dict.fromkeys(["syn_count", "ack_count", "rst_count", "start_us", "end_us", "finalized_us"], "bigint"),
+    **dict.fromkeys(["fin_count", "psh_count"], "int"),
+    "duration_ms": "double",
+}
+ORACLES["split_profile"] = _with(_CAPTURES, _CAPTURE_FLOWS, _PLAN, _SCORED) + " UNION ALL ".join(
+    f"SELECT split, count(*) AS row_count, {len(_PROFILE_COLUMNS)} AS column_count, "
+    f"'{c}' AS column_name, '{_SPLIT_TYPES.get(c, 'string')}' AS dtype, "
+    f"count(*) FILTER ({c} IS NULL) AS null_count FROM scored"
+    " JOIN (SELECT capture_id, split FROM plan) USING (capture_id) GROUP BY split"
     for c in _PROFILE_COLUMNS
 )
+ORACLES["schema_drift"] = (
+    """WITH raw AS (
+  SELECT 'camp_' || (l_orderkey % 5) AS campaign_id,
+    CAST(40000 + l_partkey % 100 AS VARCHAR) AS src_port,
+    CASE WHEN l_partkey % 31 = 0 THEN 'https' ELSE CAST(l_suppkey % 500 AS VARCHAR) END
+      AS dst_port,
+    CASE WHEN l_orderkey % 41 = 0 THEN 'n/a' ELSE CAST(l_discount AS VARCHAR) END AS duration_ms,
+    CASE WHEN l_orderkey % 43 <> 0 THEN CAST(l_linenumber AS VARCHAR) END AS packet_count_total
+  FROM lineitem)
+"""
+    + " UNION ALL ".join(
+        f"SELECT campaign_id, count(*) AS row_count, '{c}' AS column_name, '{t}' AS expected_type, "
+        f"count(*) FILTER ({c} IS NULL) AS null_count, "
+        f"count(*) FILTER ({c} IS NOT NULL AND try_cast({c} AS {t}) IS NULL) AS misfit_count "
+        "FROM raw GROUP BY campaign_id"
+        for c, t in (
+            ("src_port", "bigint"),
+            ("dst_port", "bigint"),
+            ("duration_ms", "double"),
+            ("packet_count_total", "bigint"),
+        )
+    )
+)
+ORACLES["safe_casts"] = """SELECT coalesce(CASE WHEN l_partkey % 31 <> 0 THEN l_suppkey % 500 END, -1)
+    AS dst_port,
+  CASE WHEN l_orderkey % 41 = 0 THEN -1 ELSE CAST(l_discount AS DOUBLE) END AS duration_ms,
+  count(*) AS row_count
+FROM lineitem GROUP BY ALL"""
+_SIGNED = [
+    "capture_id",
+    "flow_id",
+    "start_us",
+    "end_us",
+    "p_milli",
+    "protocol",
+    "o_orderkey",
+    "o_custkey",
+    "c_custkey",
+    "campaign_id",
+    "scenario_id",
+    "label_binary",
+    "scenario_family",
+    "status",
+]
+ORACLES["table_signature"] = (
+    _WITH_LABELED
+    + "SELECT count(*) AS row_count, CAST(coalesce(sum(CAST('0x' || substr(md5("
+    + " || '|' || ".join(f"coalesce('=' || {c}, '-')" for c in _SIGNED)
+    + "), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS content_sum FROM labeled"
+)
 ORACLES["label_distribution"] = (
     _WITH_SCORED
     + "SELECT coalesce(severity, 'nan') AS severity, count(*) AS row_count FROM scored GROUP BY 1"
@@ -842,16 +918,22 @@ ORACLES["feature_profile"] = _WITH_SCORED + " UNION ALL ".join(
 )
 ORACLES["categorical_top5"] = (
     _WITH_SCORED
-    + """SELECT feature_name, CAST(sum(n) FILTER (value IS NOT NULL) AS BIGINT) AS non_null_count,
-  CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS null_count,
-  round(coalesce(sum(n) FILTER (value IS NULL), 0) / sum(n), 6) AS null_rate,
+    + """SELECT feature_name, CAST(sum(n) - sum(gaps) AS BIGINT) AS non_null_count,
+  CAST(sum(gaps) AS BIGINT) AS null_count, round(sum(gaps) / sum(n), 6) AS null_rate,
   '{' || string_agg('"' || coalesce(value, 'None') || '":' || n, ',' ORDER BY r)
     FILTER (r <= 5) || '}' AS top_values
-FROM (SELECT *, row_number() OVER (PARTITION BY feature_name
-    ORDER BY n DESC, coalesce(value, 'None')) AS r FROM (
+FROM (SELECT *, CASE WHEN value IS NULL THEN n ELSE coalesce(hidden, 0) END AS gaps,
+  row_number() OVER (PARTITION BY feature_name ORDER BY n DESC, coalesce(value, 'None')) AS r FROM (
   SELECT 'protocol' AS feature_name, protocol AS value, count(*) AS n FROM scored GROUP BY ALL
   UNION ALL SELECT 'src_ip', src_ip, count(*) FROM scored GROUP BY ALL
-  UNION ALL SELECT 'scenario_id', scenario_id, count(*) FROM scored GROUP BY ALL))
+  UNION ALL SELECT 'scenario_id', scenario_id, count(*) FROM scored GROUP BY ALL
+  UNION ALL SELECT 'scenario_family', 'None', count(*) FROM scored
+    WHERE p_milli % 4 = 0 OR scenario_family IS NULL
+  UNION ALL SELECT 'scenario_family', scenario_family, count(*) FROM scored
+    WHERE p_milli % 4 <> 0 AND scenario_family IS NOT NULL GROUP BY ALL)
+  LEFT JOIN (SELECT 'scenario_family' AS feature_name, 'None' AS value,
+    count(*) FILTER (p_milli % 4 <> 0 AND scenario_family IS NULL) AS hidden FROM scored)
+    USING (feature_name, value))
 GROUP BY feature_name"""
 )
 ORACLES["protocol_histogram"] = (
@@ -985,6 +1067,7 @@ status_row AS (
       AS last_confidence,
     (SELECT max(event_us) FROM evts) AS last_event_us,
     (SELECT max(event_us) FROM alerts) AS last_alert_us,
+    (SELECT round((max(event_us) - min(event_us)) / 1000000, 3) FROM evts) AS uptime_seconds,
     (SELECT count(*) FROM parsed WHERE reason IS NULL) AS packets_captured,
     (SELECT count(*) FROM parsed WHERE reason IS NOT NULL) AS packets_ignored)"""
 _WITH_STATUS = _with(
@@ -1079,7 +1162,7 @@ ORACLES["flow_order"] = (
 )
 ORACLES["latest_alerts"] = (
     _WITH_RECORDS
-    + """SELECT alert_id, event_us, severity, least(250, count(*) OVER ()) AS total_available
+    + """SELECT alert_id, event_us, severity, count(*) OVER () AS total_available
 FROM alerts ORDER BY event_us DESC, alert_id LIMIT 100"""
 )
 ORACLES["overview_feed"] = (

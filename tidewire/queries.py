@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire import fixtures as fx
-from tidewire.functions import display
+from tidewire.functions import decisions, display
 from tidewire.functions import network as N
 from tidewire.operators import (
     behaviour,
@@ -105,23 +106,60 @@ def manifest_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def split_scan(spark: SparkSession, folder: str) -> DataFrame:
-    plan = _plan(spark, folder)
-    chosen = splits.flows_of_split(fx.labeled_flows(spark, folder), plan, "validation")
-    return chosen.select("flow_id", "capture_id", "label_binary", "start_us", "end_us", "protocol")
+    """All splits written, then two of them read back, each from its own folder."""
+    where = scratch_folder(spark, "splits")
+    rows = fx.labeled_flows(spark, folder).join(_plan(spark, folder).select("capture_id", "split"), "capture_id")
+    tables.write_splits(rows, where)
+    wanted = ["flow_id", "capture_id", "label_binary", "start_us", "end_us", "protocol"]
+    parts = [
+        tables.read_split(spark, where, name).select(F.lit(name).alias("split"), *wanted)
+        for name in ("validation", "test")
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query
 def campaign_union(spark: SparkSession, folder: str) -> DataFrame:
-    """The oldest campaign has no family column, the others a run index."""
+    """Campaign tables as CSV files of different columns, found and aligned by one scan.
+
+    The oldest campaign has no family column, the others a run index. Which campaigns
+    there are is for the data to say.
+    """
+    where = scratch_folder(spark, "campaigns")
     rows = fx.captures(spark, folder).select(
         "capture_id", "campaign_id", "scenario_id", "label_binary", "scenario_family", "c_custkey"
     )
-    first = rows.where(F.col("campaign_id") == "camp_0").drop("scenario_family", "c_custkey")
-    others = [
-        rows.where(F.col("campaign_id") == f"camp_{n}").withColumnRenamed("c_custkey", "run_index")
-        for n in range(1, 5)
-    ]
-    return tables.union_by_name([first, *others])
+    oldest = F.col("campaign_id") == "camp_0"
+    first = rows.where(oldest).drop("scenario_family", "c_custkey")
+    others = rows.where(~oldest).withColumnRenamed("c_custkey", "run_index")
+    for part in (first, others):
+        files = part.withColumn("campaign", F.col("campaign_id"))
+        files.write.mode("append").partitionBy("campaign").csv(where, header=True)
+    wanted = ["capture_id", "campaign_id", "scenario_id", "label_binary", "scenario_family", "run_index"]
+    found = tables.read_csv_by_header(spark, f"{where}/*/*.csv", wanted)
+    return found.select(*wanted[:-1], F.col("run_index").try_cast("long").alias("run_index"))
+
+
+@query
+def wide_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """A manifest of thirty columns through its reader; those it knows stand last."""
+    where = scratch_folder(spark, "manifest")
+    rows = fx.manifest_rows(spark, folder).select(
+        *[F.concat(F.lit("a, \""), F.col("position").cast("string")).alias(f"extra_{n}") for n in range(22)],
+        F.col("status"),
+        F.lit("x").alias("severity"),
+        "campaign_id",
+        "scenario_id",
+        "label_binary",
+        "source_host",
+        F.col("position").alias("run_index"),
+        "pcap_name",
+    )
+    # Sorted over several files; a later line, in file order, wins.
+    rows.orderBy("run_index").write.option("escape", '"').csv(f"{where}/m", header=True)
+    return tables.read_manifest(spark, f"{where}/m/*.csv").select(
+        "pcap_name", "campaign_id", "scenario_id", "label_binary", "source_host", "run_index", "status"
+    )
 
 
 @query
@@ -131,10 +169,16 @@ def contract_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def replay_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole validation split, without thresholds: the raw label decides."""
-    plan = _plan(spark, folder)
-    replayed = splits.flows_of_split(fx.scored_flows(spark, folder), plan, "validation")
-    return detect.replay_summary(detect.detect(replayed))
+    """Two splits replayed without thresholds, whole and up to a limit."""
+    plan, rows = _plan(spark, folder), fx.scored_flows(spark, folder)
+    done = []
+    for split in ("validation", "test"):
+        chosen = splits.flows_of_split(rows, plan, split)
+        for limit in (None, 100):
+            replayed = detect.replay_rows(chosen, limit)
+            counted = detect.replay_summary(detect.detect(replayed))
+            done.append(counted.select(F.lit(split).alias("split"), F.lit(limit).cast("int").alias("replay_limit"), "*"))
+    return reduce(DataFrame.unionByName, done)
 
 
 # --- projections and filters -----------------------------------------------------------
@@ -382,8 +426,10 @@ def view_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def split_profile(spark: SparkSession, folder: str) -> DataFrame:
+    plan = _plan(spark, folder)
     rows = fx.scored_flows(spark, folder).drop("probability")
-    return profile.split_profile(rows, "train").drop("dtype")
+    parts = [profile.split_profile(splits.flows_of_split(rows, plan, s), s) for s in SPLITS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -393,12 +439,10 @@ def label_distribution(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
-    base = fx.captures(spark, folder)
-    older = base.drop("scenario_family")
-    newer = base.withColumn("c_custkey", F.col("c_custkey").cast("string")).withColumn(
-        "run_index", F.lit(1)
-    )
-    return profile.schema_drift({"base": base, "older": older, "newer": newer}, "base")
+    """Values that do not fit the contract's types, campaign by campaign."""
+    held = fx.raw_feature_rows(spark, folder, "concat('camp_', cast(l_orderkey % 5 as string)) as campaign_id")
+    types = {"src_port": "bigint", "dst_port": "bigint", "duration_ms": "double", "packet_count_total": "bigint"}
+    return profile.type_misfits(held, "campaign_id", types)
 
 
 _PROFILED = [
@@ -419,9 +463,10 @@ def feature_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def categorical_top5(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.categorical_profile(
-        fx.scored_flows(spark, folder), ["protocol", "src_ip", "scenario_id"]
-    )
+    """One column holds nulls beside the text that stands for them."""
+    family = F.when(F.col("p_milli") % 4 == 0, "None").otherwise(F.col("scenario_family"))
+    rows = fx.scored_flows(spark, folder).withColumn("scenario_family", family)
+    return profile.categorical_profile(rows, ["protocol", "src_ip", "scenario_id", "scenario_family"])
 
 
 @query
@@ -511,15 +556,7 @@ def _logs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _journal(spark: SparkSession, folder: str) -> DataFrame:
-    """All four record tables from decisions that are stored once, as a live run does."""
-    detected = durable(_detected(spark, folder))
-    events = detect.event_records(detected)
-    return views.journal(
-        events,
-        detect.alert_records(events, F.col("event_us") + 1_250),
-        detect.blocking_records(detected),
-        detect.log_records(detected, events),
-    )
+    return detect.journal_lines(_detected(spark, folder))
 
 
 @query
@@ -648,7 +685,7 @@ def flow_order(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def latest_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return views.latest_with_total(_alerts(spark, folder), 100, 250, "alert_id").select(
+    return views.latest_with_total(_alerts(spark, folder), 100, "alert_id").select(
         "alert_id", "event_us", "severity", "total_available"
     )
 
@@ -728,10 +765,17 @@ def event_severity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def attack_type(spark: SparkSession, folder: str) -> DataFrame:
-    derived = detect.event_records(_detected(spark, folder), family_hint=False)
-    return _events(spark, folder).select("event_id", "attack_type").join(
-        derived.select("event_id", F.col("attack_type").alias("derived_type")), "event_id"
-    )
+    return detect.attack_types(_detected(spark, folder))
+
+
+@query
+def safe_casts(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts as numbers, with a default for what is none."""
+    rows = fx.raw_feature_rows(spark, folder)
+    return rows.groupBy(
+        decisions.safe_int(F.col("dst_port"), -1).alias("dst_port"),
+        decisions.safe_float(F.col("duration_ms"), -1.0).alias("duration_ms"),
+    ).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query
@@ -925,14 +969,18 @@ def blocking_evaluation(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------
 
 
+_FILES = 8
+
+
 def _packet_stream(spark: SparkSession, folder: str, where: str) -> DataFrame:
-    """The packets as files in time order, read one per micro-batch, then a drain row."""
+    """The packets as files in time order, a third per micro-batch, then a drain row."""
     source = durable(fx.packets(spark, folder))
     last = source.agg(F.max("ts_us")).first()[0]
     third = last // 3 + 1
+    # Each third is several files, and a micro-batch reads as many as a third has.
     for part in range(3):
         rows = source.where(F.expr(f"ts_us div {third}") == part)
-        rows.coalesce(1).write.mode("append").parquet(f"{where}/packets")
+        rows.repartition(_FILES).write.mode("append").parquet(f"{where}/packets")
     # Far enough ahead to pass every deadline and the watermark delay.
     drain = source.orderBy("seq").limit(1).withColumns(
         {
@@ -940,10 +988,10 @@ def _packet_stream(spark: SparkSession, folder: str, where: str) -> DataFrame:
             "protocol": F.lit(stream_flows_.CONTROL),
         }
     )
-    drain.coalesce(1).write.mode("append").parquet(f"{where}/packets")
+    drain.write.mode("append").parquet(f"{where}/packets")
     return (
         spark.readStream.schema(source.schema)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", _FILES)
         .parquet(f"{where}/packets")
     )
 

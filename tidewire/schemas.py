@@ -104,6 +104,7 @@ TARGET = "label_binary"
 POSITIVE_LABEL = "suspect"
 NEGATIVE_LABEL = "normal"
 
+# Columns of manifests and summaries, statuses, splits and modes.
 MANIFEST_COLUMNS = [
     "campaign_id",
     "run_index",

@@ -21,7 +21,6 @@ class Settings:
     alert_confidence_threshold: float = 0.95
     block_confidence_threshold: float = 0.99
     blocking_mode: str = "dry_run"
-    history_limit: int = 250
     controller_host: str = "172.30.1.20"
     # A group with more rows than this is sorted by many tasks instead of one.
     max_group_rows: int = 4_000_000

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewire.functions.network import flag_value, lenient_double, lenient_int, protocol_name
 from tidewire.schemas import PACKET_FLAGS, PACKET_LINE_FIELDS
 
-_CSV_SCHEMA = ", ".join(f"{name} string" for name in PACKET_LINE_FIELDS)
+_CSV_SCHEMA = ", ".join(f"{name} string" for name in [*PACKET_LINE_FIELDS, "_malformed"])
 _FLAG_FIELDS = dict(
     zip(
         PACKET_FLAGS,
@@ -26,13 +26,15 @@ def parse_packet_lines(
     blank address. Everything else is read leniently, with defaults.
     """
     rest = [c for c in lines.columns if c != column]
-    fields = F.from_csv(F.col(column), F.lit(_CSV_SCHEMA), {"mode": "PERMISSIVE"})
-    # The parser gives null for a blank field and for an absent one, so commas are counted.
-    outside_quotes = F.regexp_replace(F.col(column), '"[^"]*"', "")
-    commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    fields = F.from_csv(F.col(column), F.lit(_CSV_SCHEMA), options)
     # A generator, because the optimizer would copy a plain parse into every use of it.
-    row = lines.select(*rest, commas.alias("_commas"), F.inline(F.array(fields)))
+    row = lines.select(*rest, F.inline(F.array(fields)))
     field = F.col
+    # The parser gives null for a blank field and for an absent one, but hands back lines of
+    # another number of fields; only in those are commas counted.
+    outside_quotes = F.regexp_replace(field("_malformed"), '"[^"]*"', "")
+    commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
 
     ports = {
         f"_{n}": lenient_int(field(n), 0)
@@ -51,7 +53,10 @@ def parse_packet_lines(
             for flag, source in _FLAG_FIELDS.items()
         ],
         lenient_int(field("icmp_type"), -1).alias("icmp_type"),
-        "_commas",
+        F.when(field("_malformed").isNotNull(), commas < len(PACKET_LINE_FIELDS) - 1).alias("_short"),
+    ).withColumn(
+        # No time at all, or none that fits, for "nan", "Infinity" and "1e300".
+        "_micros", F.round(F.col("_seconds") * 1_000_000).try_cast("long")
     )
 
     def port(side: str) -> Column:
@@ -62,13 +67,13 @@ def parse_packet_lines(
         )
 
     reason = (
-        F.when(F.col("_commas") < len(PACKET_LINE_FIELDS) - 1, "short_line")
-        .when(F.col("_seconds") < 0, "bad_time")
+        F.when(F.col("_short"), "short_line")
+        .when((F.col("_seconds") < 0) | F.col("_micros").isNull(), "bad_time")
         .when((F.col("src_ip") == "") | (F.col("dst_ip") == ""), "blank_address")
     )
     return read.select(
         *rest,
-        F.round(F.col("_seconds") * 1_000_000).cast("long").alias("ts_us"),
+        F.col("_micros").alias("ts_us"),
         "src_ip",
         "dst_ip",
         port("src").alias("src_port"),

@@ -12,8 +12,19 @@ from tidewire.operators.labeling import last_per_key
 from tidewire.schemas import CAPTURE_SUMMARY_COLUMNS, MANIFEST_COLUMNS, SPLITS
 
 _SUMMARY_COUNTS = ["packet_count", "flow_count"]
-# More columns than any manifest or summary has.
-_MAX_COLUMNS = 24
+
+
+def csv_cells(line: Column) -> Column:
+    """Cells of one CSV line, however many; quotes are taken off, empty cells are null."""
+    # A comma ends a cell when an even number of quotes follows it.
+    parts = F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+
+    def cell(raw: Column) -> Column:
+        quoted = (F.length(raw) >= 2) & raw.startswith('"') & raw.endswith('"')
+        inner = F.replace(F.substring(raw, F.lit(2), F.length(raw) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(quoted, inner).otherwise(raw), F.lit(""))
+
+    return F.transform(parts, cell)
 
 
 def read_csv_by_header(spark: SparkSession, path: str, wanted: Sequence[str]) -> DataFrame:
@@ -23,8 +34,6 @@ def read_csv_by_header(spark: SparkSession, path: str, wanted: Sequence[str]) ->
     line; headers, one row per file, are joined back to the lines. ``_position`` orders
     the lines of a file, and files by path.
     """
-    fields = ", ".join(f"c{n} string" for n in range(_MAX_COLUMNS))
-    row = F.from_csv(F.col("value"), F.lit(fields))
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
@@ -34,10 +43,9 @@ def read_csv_by_header(spark: SparkSession, path: str, wanted: Sequence[str]) ->
             F.monotonically_increasing_id().alias("row"),
         ).alias("_position"),
     )
-    cells = F.array(*[F.col(f"parsed.c{n}") for n in range(_MAX_COLUMNS)])
     lines = lines.where(F.length(F.trim("value")) > 0).select(
-        "path", "_position", row.alias("parsed")
-    ).select("path", "_position", cells.alias("cells"))
+        "path", "_position", csv_cells(F.col("value")).alias("cells")
+    )
     headers = lines.groupBy("path").agg(
         F.min_by("cells", "_position").alias("names"), F.min("_position").alias("_first")
     )

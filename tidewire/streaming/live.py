@@ -57,7 +57,7 @@ def with_batch_context(
     """Window features of the new flows, given the recent ones, and the next context.
 
     The context is what a window can still reach: flows that started within 5.1 seconds
-    of the newest start.
+    of the newest start of their own capture, since captures have clocks of their own.
     """
     order = F.struct("finalized_us", "start_us", "flow_start_seq")
     rows = new.withColumn("_new", F.lit(True)).withColumn(
@@ -71,9 +71,10 @@ def with_batch_context(
         rows = old.unionByName(rows)
     described = behaviour.with_behaviour(rows, settings)
     fresh = described.where("_new").drop("_new", "flow_index")
-    newest = rows.agg(F.max("start_us")).first()[0]
-    kept = rows.where(F.col("start_us") >= newest - _CONTEXT_US).select(*columns)
-    return fresh, kept
+    capture = ["session_id", "capture_id"]
+    newest = rows.groupBy(*capture).agg(F.max("start_us").alias("_newest"))
+    kept = rows.join(newest, capture).where(F.col("start_us") >= F.col("_newest") - _CONTEXT_US)
+    return fresh, kept.select(*columns)
 
 
 def process_batch(
@@ -149,11 +150,11 @@ def read_history(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{table}").drop("batch_id")
 
 
-def recent(spark: SparkSession, path: str, table: str, n: int, settings: Settings) -> DataFrame:
-    """Newest records of a table, out of the bounded history."""
+def recent(spark: SparkSession, path: str, table: str, n: int) -> DataFrame:
+    """Newest records of a table, with the number of all of them."""
     ties = {"events": "event_id", "alerts": "alert_id", "blocks": "block_id", "logs": "message"}
     history = read_history(spark, path, table)
-    return views.latest_with_total(history, n, settings.history_limit, ties[table])
+    return views.latest_with_total(history, n, ties[table])
 
 
 def replay_stream(
