@@ -18,6 +18,7 @@ twice is packed twice; null ids stay null; an empty table gives no pieces.
 from __future__ import annotations
 
 import bisect
+import itertools
 import os
 import re
 from dataclasses import dataclass
@@ -44,6 +45,8 @@ class Settings:
 # --- ids ------------------------------------------------------------------------------------
 
 
+# Letters of ASCII and Latin-1, which make one word to this tokenizer.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 # Signs behind a letter up to white space are a word of their own to this tokenizer. An
 # apostrophe may be part of a short form, a bracket of a special token.
 _TAIL = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{-~]+)(?=[ \t-\r]|\Z)")
@@ -75,18 +78,22 @@ class Encoder:
         self.begins = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self, words: list[bytes]) -> None:
         if len(self.number) + len(words) > self.limit:
             self._forget()
-        simple = [w for w in words if w.isalpha()]  # of bytes: A to Z and a to z only
-        others = [w for w in words if not w.isalpha()]
+        simple, others = [], []
+        for word in words:
+            (simple if _LETTERS.fullmatch(word) else others).append(word)
         words = simple + others
-        # Plain words are encoded as one text; the last id of a word is marked as such.
-        ids = np.array(self.tokenizer.encode(b" ".join(simple).decode(), add_special_tokens=False).ids, np.uint32)
+        # Words of letters are encoded as texts of many; the last id of a word is marked as such.
+        texts = [b" ".join(simple[i : i + 200]).decode() for i in range(0, len(simple), 200)]
+        ids = np.fromiter((i for e in self._ids(texts) for i in e), np.uint32)
         ends = np.flatnonzero(self.is_last[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
-        lengths = np.diff(ends, prepend=0)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)]
-        lengths = np.concatenate([lengths, np.fromiter(map(len, found), np.int64, len(found))])
+        found = self._ids([w.decode() for w in others])
+        lengths = np.concatenate([np.diff(ends, prepend=0), np.fromiter(map(len, found), np.int64, len(found))])
         ids = np.concatenate([ids, np.fromiter((i for f in found for i in f), np.uint32)])
         first, stop = len(self.number), self.used + len(ids)
         while len(self.pool) < stop:
@@ -98,18 +105,21 @@ class Encoder:
         self.used = stop
         self.number.update(zip(words, range(first, first + len(words))))
 
+    def _look_up(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int64, len(words))
+
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id behind every text, and the number of ids per text."""
         # Case does not matter to the ids, except in the names of special tokens.
         split = [t.split() if b"<|" in t else _TAIL.sub(rb" \1", t.lower()).split() for t in texts]
         words = [w for s in split for w in s]
-        different = set(words)
-        missing = sorted(different.difference(self.number))
-        if missing:
-            self._learn(missing)
-            if again := sorted(different.difference(self.number)):
-                self._learn(again)
-        which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        which = self._look_up(words)
+        if (new := np.flatnonzero(which < 0)).size:
+            self._learn(sorted({words[i] for i in new}))
+            which = self._look_up(words)
+            if (which < 0).any():  # all were forgotten to make room
+                self._learn(sorted({words[i] for i in np.flatnonzero(which < 0)}))
+                which = self._look_up(words)
         begins = self.begins[which]
         lengths = self.begins[which + 1] - begins
         ends = np.concatenate([[0], np.cumsum(lengths)])
@@ -176,21 +186,22 @@ def combinations(bins: list[int], settings: Settings) -> list[tuple[int, ...]]:
     return out
 
 
-def nnls(matrix: np.ndarray, target: np.ndarray, rounds: int = 600) -> np.ndarray:
+def nnls(matrix: np.ndarray, target: np.ndarray, rounds: int = 300) -> np.ndarray:
     """x >= 0 with the least ||matrix x - target||, by the active-set method."""
-    gram, right = matrix.T @ matrix, matrix.T @ target
     x = np.zeros(matrix.shape[1])
     active = np.zeros(len(x), bool)
-    tolerance = 1e-9 * max(1.0, float(np.abs(right).max(initial=0)))
-    for _ in range(rounds):
-        gradient = np.where(active, -np.inf, right - gram @ x)
-        best = int(np.argmax(gradient)) if len(x) else 0
-        if not len(x) or gradient[best] <= tolerance:
+    tolerance = 1e-9 * max(1.0, float(np.abs(matrix.T @ target).max(initial=0)))
+    for _ in range(rounds if len(x) else 0):
+        gradient = np.where(active, -np.inf, matrix.T @ (target - matrix[:, active] @ x[active]))
+        best = int(np.argmax(gradient))
+        if gradient[best] <= tolerance:
             break
         active[best] = True
-        while True:
+        while active.any():
             own = np.flatnonzero(active)
-            step = np.linalg.lstsq(gram[np.ix_(own, own)], right[own], rcond=None)[0]
+            part = matrix[:, own]
+            # The little ridge keeps columns that say the same from being singular.
+            step = np.linalg.solve(part.T @ part + 1e-10 * np.eye(len(own)), part.T @ target)
             low = step <= 0
             if not low.any():
                 x[:] = 0
@@ -202,8 +213,6 @@ def nnls(matrix: np.ndarray, target: np.ndarray, rounds: int = 600) -> np.ndarra
             if not len(gone):
                 gone = own[low][:1]
             active[gone], x[gone] = False, 0
-            if not active.any():
-                break
     return x
 
 
