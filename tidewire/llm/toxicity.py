@@ -222,7 +222,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``toxicity``."""
+    """``docs`` with a column ``toxicity``, in place of any of that name."""
+    docs = docs.drop("toxicity")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
