@@ -1295,11 +1295,25 @@ ORACLES["stream_packets"] = (
     + "SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS line_count FROM parsed GROUP BY 1"
 )
 ORACLES["stream_flows"] = ORACLES["flow_table"]
+ORACLES["flow_segments_sliced"] = ORACLES["flow_table"]
+ORACLES["flow_features_sliced"] = ORACLES["flow_features"]
+ORACLES["written_tables"] = (
+    _WITH_CAPTURES
+    + """SELECT sink, scenario_id, capture_count
+FROM (SELECT scenario_id, count(*) AS capture_count FROM captures GROUP BY scenario_id),
+  (VALUES ('csv'), ('json'), ('history'), ('history')) AS sinks (sink)"""
+)
+ORACLES["stream_late_packets"] = (
+    _WITH_PACKETS
+    + """SELECT seq, ts_us FROM packets
+WHERE seq % 50 = 0 AND ts_us <= (SELECT (max(ts_us) // 1000 - 5000) * 1000 FROM packets)"""
+)
 ORACLES["stream_detection"] = (
     _WITH_FLOWS
     + """SELECT count(*) AS predictions, count(*) FILTER (m >= 950) AS alerts,
   count(*) FILTER (m >= 990) AS block_decisions, count(*) FILTER (m >= 950) AS alert_records,
-  count(*) FILTER (m >= 500) AS block_records
+  count(*) FILTER (m >= 500) AS block_records, count(*) AS total_flows,
+  count(*) FILTER (m >= 950) AS total_alerts
 FROM (SELECT bytes % 1001 AS m FROM described)"""
 )
 ORACLES["stream_replay"] = (

@@ -83,6 +83,11 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
     return behaviour.with_behaviour(_numbered(spark, folder), settings, source)
 
 
+def _small_limits(spark: SparkSession) -> Settings:
+    """Limits under which nearly every group of the driver tables takes the plan for huge ones."""
+    return replace(Settings.from_session(spark), max_group_rows=100, max_fold_rows=20)
+
+
 # --- sources ---------------------------------------------------------------------------
 
 
@@ -734,6 +739,47 @@ def blocking_history(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("flow_id", "raw_label", "predicted_label")
 
 
+# --- the same operators with every group as a huge one -----------------------------------
+
+
+@query
+def flow_segments_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """Flows cut by pointers instead of folds."""
+    return flows.flow_table(fx.packets(spark, folder), _small_limits(spark)).select(*FLOW_TABLE_COLUMNS)
+
+
+@query
+def flow_features_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbering and sliding windows by slices; all packets are of one capture here."""
+    settings, source = _small_limits(spark), fx.packets(spark, folder)
+    # Each step stands on a table, as in a job; one plan of all would only be hard to compile.
+    cut_flows = durable(flows.flow_table(source, settings))
+    numbered = durable(numbering.number_flows(cut_flows, source, settings))
+    found = behaviour.with_behaviour(numbered, settings, source)
+    return found.select("flow_id", "src_ip", "dst_ip", "start_us", *FEATURES)
+
+
+@query
+def written_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """What the writers write, read back: CSV, JSON summary, and history appended twice."""
+    where = scratch_folder(spark, "written")
+    counts = fx.captures(spark, folder).groupBy("scenario_id").agg(F.count(F.lit(1)).alias("capture_count"))
+    tables.write_csv(counts, f"{where}/csv")
+    tables.write_json_summary({"counts": counts}, f"{where}/json")
+    for _ in range(2):
+        tables.append_history(counts, f"{where}/history")
+    read = {
+        "csv": spark.read.csv(f"{where}/csv", header=True),
+        "json": spark.read.json(f"{where}/json/counts"),
+        "history": spark.read.parquet(f"{where}/history"),
+    }
+    shown = [
+        frame.select(F.lit(name).alias("sink"), "scenario_id", F.col("capture_count").cast("long").alias("capture_count"))
+        for name, frame in read.items()
+    ]
+    return reduce(DataFrame.unionByName, shown)
+
+
 # --- scalar functions ------------------------------------------------------------------
 
 
@@ -1076,10 +1122,30 @@ def stream_detection(spark: SparkSession, folder: str) -> DataFrame:
     stored = alerts.agg(F.count(F.lit(1)).alias("alert_records")).unionByName(
         blocks.agg(F.count(F.lit(1)).alias("block_records")), allowMissingColumns=True
     )
+    running_totals = live.totals(spark, f"{where}/out").select(
+        F.col("finalized_flows").alias("total_flows"), F.col("alerts").alias("total_alerts")
+    )
     both = counts.unionByName(stored, allowMissingColumns=True)
+    both = both.unionByName(running_totals, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
+@query
+def stream_late_packets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fiftieth packet comes once more after all others; most of these are too late."""
+    where = scratch_folder(spark, "stream-late")
+    source = durable(fx.packets(spark, folder))
+    last = source.agg(F.max("ts_us")).first()[0]
+    half = last // 2 + 1
+    for part in (0, 1):
+        source.where(F.expr(f"ts_us div {half}") == part).repartition(_FILES).write.mode("append").parquet(f"{where}/packets")
+    source.where("seq % 50 = 0").write.mode("append").parquet(f"{where}/packets")
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", _FILES).parquet(f"{where}/packets")
+    settings = Settings.from_session(spark)
+    live.write_late_packets(stream, f"{where}/out", f"{where}/check", settings, once=True).awaitTermination()
+    return live.read_history(spark, f"{where}/out", "late").select("seq", "ts_us")
+
+
 @query
 def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
     """A stored split replayed file by file, without thresholds."""

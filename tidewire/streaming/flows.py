@@ -3,7 +3,7 @@
 State is kept per flow key: packets the watermark has not passed yet, and the open
 flow. When the watermark passes a packet it is folded in event-time order, so input
 that arrives out of order by less than the watermark delay gives the batch result.
-Later packets are dropped and counted by Spark. An event-time timer closes a flow at
+Later packets are dropped here; ``live.write_late_packets`` keeps them. An event-time timer closes a flow at
 its deadline.
 """
 

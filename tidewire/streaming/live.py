@@ -117,6 +117,53 @@ def process_batch(
     }
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(_folder(path, name, batch_id))
+    _add_to_totals(stored, batch_id, path)
+
+
+def _add_to_totals(events: DataFrame, batch_id: int, path: str) -> None:
+    """Running counters of the live run, one row per micro-batch that finished flows."""
+    counted = events.agg(
+        F.lit(batch_id).cast("long").alias("batch"),
+        F.count(F.lit(1)).alias("finalized_flows"),
+        F.count(F.lit(1)).alias("predictions"),
+        F.count_if("alert_triggered").alias("alerts"),
+        F.count_if("blocked").alias("block_decisions"),
+    )
+    counted.write.mode("overwrite").parquet(_folder(path, "totals", batch_id))
+
+
+def totals(spark: SparkSession, path: str) -> DataFrame:
+    """Flows, predictions, alerts and block decisions of the run so far: one row."""
+    rows = read_history(spark, path, "totals").drop("batch")
+    return rows.agg(*[F.sum(c).alias(c) for c in rows.columns])
+
+
+def write_late_packets(
+    packets: DataFrame, path: str, checkpoint: str, settings: Settings, once: bool = False
+) -> StreamingQuery:
+    """Packets that come after the watermark has passed them, as a table of their own.
+
+    Flow cutting drops such packets. The watermark here follows the same rule: the newest
+    packet of all earlier micro-batches, less the delay. Each micro-batch leaves its newest
+    time in a folder of its own, so a repeated micro-batch gives the same rows again.
+    """
+    delay_ms = round(settings.watermark_seconds * 1000)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _folder(path, "clock", batch_id - 1)
+        newest = batch.agg(F.max("ts_us").alias("newest_us"))
+        if _exists(spark, before):
+            earlier = spark.read.parquet(before)
+            passed = (F.floor(F.col("newest_us") / 1000) - delay_ms) * 1000
+            limit = earlier.select(passed.alias("limit")).scalar()
+            late = batch.where(F.col("ts_us") <= limit)
+            late.write.mode("overwrite").parquet(_folder(path, "late", batch_id))
+            newest = newest.unionByName(earlier).agg(F.max("newest_us").alias("newest_us"))
+        newest.write.mode("overwrite").parquet(_folder(path, "clock", batch_id))
+
+    writer = packets.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def run_live(
