@@ -163,3 +163,32 @@ def test_uptime(spark):
     assert uptime(1_000_000, None, True, 3_500_000) == 2.5
     assert uptime(1_000_000, 2_000_000, False, 9_000_000) == 1.0
     assert uptime(None, None, False, 9_000_000) == 0.0
+
+
+def test_safe_numbers(spark):
+    rows = spark.createDataFrame([("12",), (" 7.9 ",), ("x",), (None,), ("nan",), ("",)], "v string")
+    got = rows.select(D.safe_int(F.col("v"), -1).alias("i"), D.safe_float(F.col("v"), 0.5).alias("f")).collect()
+    assert [r["i"] for r in got] == [12, 7, -1, -1, -1, -1]
+    assert [r["f"] for r in got] == [12.0, 7.9, 0.5, 0.5, 0.5, 0.5]
+
+
+def test_journal_in_one_pass(spark):
+    from tidewire import fixtures as fx
+
+    detected = detect.detect(fx.scored_flows(spark, "/root/testdata/sf0.001"))
+    events = detect.event_records(detected)
+    stored = views.journal(
+        events, detect.alert_records(events, F.col("event_us")), detect.blocking_records(detected), detect.log_records(detected, events)
+    )
+    got = detect.journal_lines(detected)
+    assert got.columns == stored.columns
+    # Decision times are the moment of the call for flows without one.
+    shown = ["level", "type", "message"]
+    assert got.select(shown).exceptAll(stored.select(shown)).count() == 0
+    assert got.count() == stored.count()
+
+
+def test_latest_counts_everything(spark):
+    rows = spark.range(700).select(F.col("id").alias("event_us"), F.col("id").alias("k"))
+    got = views.latest_with_total(rows, 3, "k").collect()
+    assert [(r["event_us"], r["total_available"]) for r in got] == [(699, 700), (698, 700), (697, 700)]

@@ -179,3 +179,35 @@ def test_drift_and_signature(spark):
     changed = spark.createDataFrame([(2, "b"), (1, "c")], "x int, y string")
     sign = lambda df: profile.table_signature(df).first()
     assert sign(two) == sign(turned) != sign(changed)
+
+
+def test_csv_of_any_width_and_order(spark, tmp_path):
+    wide = [f"c{n}" for n in range(40)]
+    (tmp_path / "a.csv").write_text(",".join([*wide, "name", "note"]) + "\n" + ",".join(["x"] * 40) + ',first,"a, ""b"""\n')
+    (tmp_path / "b.csv").write_text("note,name\n,second\n\n\"\",third\n")
+    rows = tables.read_csv_by_header(spark, f"{tmp_path}/*.csv", ["name", "note", "c39", "absent"])
+    got = {r["name"]: (r["note"], r["c39"], r["absent"]) for r in rows.collect()}
+    assert got == {"first": ('a, "b"', "x", None), "second": (None, None, None), "third": (None, None, None)}
+
+
+def test_times_that_are_none_are_rejected(spark):
+    rest = ",".join('"1"' for _ in range(14))
+    lines = [f'"{t}",{rest}' for t in ("1.5", "nan", "Infinity", "-Infinity", "1e300", "", "x")]
+    lines += ['"1.5","1"', f'"1.5",{rest},"one more"']
+    parsed = packets.parse_packet_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    got = [(r["ts_us"], r["reject_reason"]) for r in parsed.collect()]
+    assert got[0] == (1_500_000, None) and got[8] == (1_500_000, None)
+    assert [reason for _, reason in got[1:7]] == ["bad_time"] * 6
+    assert got[7][1] == "short_line"
+
+
+def test_nulls_count_with_their_text(spark):
+    rows = spark.createDataFrame([(None,), ("None",), ("a",), (None,)], "c string")
+    got = profile.categorical_profile(rows, ["c"]).first()
+    assert (got["non_null_count"], got["null_count"], got["top_values"]) == (2, 2, '{"None":3,"a":1}')
+
+
+def test_misfits_by_campaign(spark):
+    rows = spark.createDataFrame([("x", "1"), ("x", "b"), ("y", None)], "campaign string, port string")
+    got = {(r["campaign"], r["row_count"], r["null_count"], r["misfit_count"]) for r in profile.type_misfits(rows, "campaign", {"port": "bigint"}).collect()}
+    assert got == {("x", 2, 0, 1), ("y", 1, 1, 0)}

@@ -94,3 +94,29 @@ def test_replay_stream(spark, folder, tmp_path):
         spark, str(tmp_path / "split"), str(tmp_path / "out"), str(tmp_path / "check"), _by_size
     ).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == rows.count()
+
+
+def test_captures_have_clocks_of_their_own(spark):
+    """A capture whose clock is an hour ahead takes nothing from another's windows."""
+    from tidewire.operators import numbering
+
+    def finished(rows):
+        frame = spark.createDataFrame([tuple(r[c] for c in PACKETS.fieldNames()) for r in rows], PACKETS)
+        table = numbering.number_flows(flows.flow_table(frame, SETTINGS), frame, SETTINGS).drop("flow_index")
+        return table.withColumn("finalized_us", F.col("end_us"))
+
+    near = [packet(n, 1_000_000 + n * 200_000, sport=3000 + n, syn=1, rst=1) for n in range(3)]
+    far = {**packet(9, 3_600_000_000, sport=9, syn=1, rst=1), "capture_id": "ahead"}
+    _, context = live.with_batch_context(finished([*near[:2], far]), None, SETTINGS)
+    assert context.select("capture_id").distinct().count() == 2
+    described, _ = live.with_batch_context(finished(near[2:]), context, SETTINGS)
+    assert [r["connections_per_1s"] for r in described.collect()] == [3]
+
+
+def test_late_packets_are_kept(spark, tmp_path):
+    first = [packet(n, 20_000_000 + n * 1_000_000) for n in range(5)]
+    second = [packet(10, 18_000_000), packet(11, 19_000_000), packet(12, 23_000_000)]
+    source = files(spark, str(tmp_path / "in"), [first, second])
+    live.write_late_packets(source, str(tmp_path / "out"), str(tmp_path / "check"), SETTINGS, once=True).awaitTermination()
+    late = live.read_history(spark, str(tmp_path / "out"), "late")
+    assert sorted(r["seq"] for r in late.collect()) == [10, 11]
