@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from tidewire import schemas
-from tidewire.fixtures import CAPS
-from tidewire.functions import decisions as D
-from tidewire.functions import display
+from tidewire import oracle_values as V
 
 ORACLES: dict[str, str] = {}
 
@@ -276,7 +273,7 @@ manifest AS (
 
 _SCENARIOS = f"""
 scenarios(scenario_id, family, level) AS (
-  {_values([(s, f, v) for s, (f, v) in schemas.SCENARIOS.items()])})"""
+  {_values([(s, f, v) for s, (f, v) in V.SCENARIOS.items()])})"""
 
 _CAPTURE_PACKETS = """
 capture_packets AS (
@@ -299,7 +296,7 @@ capture_counts AS (
   FROM captures c LEFT JOIN capture_flows f USING (capture_id) GROUP BY ALL)"""
 
 _CAPS = f"""
-caps(scenario_id, cap) AS ({_values(list(CAPS.items()))}),
+caps(scenario_id, cap) AS ({_values(list(V.CAPS.items()))}),
 train AS (
   SELECT l.* FROM labeled l WHERE l.capture_id IN (SELECT capture_id FROM plan WHERE split = 'train'))"""
 
@@ -380,8 +377,8 @@ records AS (
       CASE WHEN ack_count > 0 THEN 'ACK' END, CASE WHEN fin_count > 0 THEN 'FIN' END,
       CASE WHEN rst_count > 0 THEN 'RST' END, CASE WHEN psh_count > 0 THEN 'PSH' END), '')
       AS flag_text,
-    CASE WHEN raw_label <> 'suspect' OR NOT alert_triggered THEN '{D.REASON_NOT_SUSPECT}'
-      WHEN NOT triggered THEN '{D.REASON_BELOW}' ELSE '{D.REASON_SUSPECT}' END AS reason
+    CASE WHEN raw_label <> 'suspect' OR NOT alert_triggered THEN '{V.REASON_NOT_SUSPECT}'
+      WHEN NOT triggered THEN '{V.REASON_BELOW}' ELSE '{V.REASON_SUSPECT}' END AS reason
   FROM detected),
 evts AS (
   SELECT flow_id AS event_id, event_us, coalesce(src_ip, 'unknown') AS src_ip,
@@ -397,7 +394,7 @@ alerts AS (
   SELECT 'alt-' || md5(event_id) AS alert_id, event_us, attack_type, severity, src_ip, dst_ip,
     'Suspect flow detected from ' || src_ip || ' to ' || dst_ip || ' over ' || protocol || '.'
       AS description,
-    '{D.RECOMMENDATION}' AS recommendation, action_taken,
+    '{V.RECOMMENDATION}' AS recommendation, action_taken,
     CASE WHEN blocked THEN 'escalated' ELSE 'open' END AS status, risk_score,
     start_us AS flow_started_us, end_us AS flow_ended_us, finalized_us AS flow_finalized_us,
     event_us AS prediction_done_us, event_us + 1250 AS alert_created_us,
@@ -432,19 +429,19 @@ def _named(names: dict[str, str], value: str, missing: str, otherwise: str) -> s
 
 
 def _label(value: str) -> str:
-    return _named(display.LABEL, value, display.MISSING["label"], value)
+    return _named(V.LABEL, value, V.MISSING["label"], value)
 
 
 def _severity(value: str) -> str:
-    return _named(display.SEVERITY, value, display.MISSING["severity"], value)
+    return _named(V.SEVERITY, value, V.MISSING["severity"], value)
 
 
 def _action(value: str) -> str:
-    return _named(display.ACTION, value, "-", value)
+    return _named(V.ACTION, value, "-", value)
 
 
 def _status(value: str) -> str:
-    return _named(display.EVENT_STATUS, value, "-", value)
+    return _named(V.EVENT_STATUS, value, "-", value)
 
 
 _TIME = "strftime(make_timestamp(event_us), '%H:%M:%S')"
@@ -604,7 +601,7 @@ def _violation(name: str, dtype: str) -> str:
 
 
 ORACLES["contract_violations"] = _with(_RAW) + " UNION ALL ".join(
-    _violation(name, dtype) for name, dtype in schemas.FEATURES.items()
+    _violation(name, dtype) for name, dtype in V.FEATURES.items()
 )
 ORACLES["replay_summary"] = (
     _with(_CAPTURES, _CAPTURE_FLOWS, _PLAN)
@@ -1241,7 +1238,7 @@ ORACLES["display_labels"] = (
     + f"""SELECT event_id, {_label('prediction_label')} AS label, {_severity('severity')} AS severity,
   {_action('action_taken')} AS action, {_status("' ' || upper(status)")} AS status,
   CASE WHEN protocol = 'UDP' THEN '-' ELSE protocol END AS protocol,
-  {_named(display.RUNTIME_STATUS, 'status', 'INCONNU', 'upper(status)')} AS runtime
+  {_named(V.RUNTIME_STATUS, 'status', 'INCONNU', 'upper(status)')} AS runtime
 FROM evts"""
 )
 ORACLES["alert_threshold"] = (
@@ -1285,7 +1282,7 @@ ORACLES["blocking_evaluation"] = (
   CASE WHEN raw_label = 'suspect' THEN 'dry_run' ELSE 'enforce' END AS mode,
   CASE WHEN p_milli % 2 = 0 THEN 0.5::DOUBLE WHEN raw_label = 'suspect' THEN p
     ELSE 1::DOUBLE - p END AS confidence,
-  CASE WHEN raw_label = 'suspect' THEN '{D.REASON_NOT_ENFORCED}' ELSE '{D.REASON_NOT_SUSPECT}' END
+  CASE WHEN raw_label = 'suspect' THEN '{V.REASON_NOT_ENFORCED}' ELSE '{V.REASON_NOT_SUSPECT}' END
     AS reason,
   CASE WHEN raw_label = 'suspect' THEN rule_text END AS command_preview
 FROM records"""
