@@ -30,8 +30,13 @@ from tidewire.sources.contract import DEFAULT_CONTRACT, FeatureContract
 
 
 def captured_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per capture file, empty files included; contents are not read."""
-    names = spark.read.format("binaryFile").load(path).select("path")
+    """One row per capture file, empty files included; contents are not read.
+
+    A scan of any kind skips empty files, so the names come from the file index that Spark
+    keeps on the driver for any file source.
+    """
+    found = [(name,) for name in spark.read.text(path).inputFiles()]
+    names = spark.createDataFrame(found, "path string")
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     return names.select(stem.alias("capture_id"))
 
