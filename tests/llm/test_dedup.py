@@ -71,7 +71,7 @@ def test_a_row_that_stays_is_kept_once(spark):
     assert exact_dedup.kept_documents(rows, exact_dedup.fresh_index(spark)).collect() == [(1, "x y")]
 
 
-SMALL_BLOCKS = ngram_join.Settings(block_classes=8, block_shingles=3_000, columns_at_once=64, common_kept=20, chunk_shingles=500, common_in_chunk=2)
+SMALL_BLOCKS = ngram_join.Settings(block_classes=8, block_shingles=3_000, columns_at_once=64, broadcast_rows=0, common_kept=20, chunk_shingles=500, common_in_chunk=2)
 
 
 @pytest.mark.parametrize("settings", [ngram_join.Settings(), SMALL_BLOCKS], ids=["whole", "blocks"])
@@ -117,9 +117,9 @@ def test_join_of_odd_rows(spark, odd, nothing):
 def test_product_counts_every_pair():
     pick = np.random.default_rng(1)
     sets = [np.unique(pick.integers(0, 60, 25)).astype(np.uint64) for _ in range(30)]
-    settings = ngram_join.Settings(columns_at_once=7)
+    settings, size = ngram_join.Settings(), np.array([len(s) for s in sets])
     linked = {(a, b) for a in range(30) for b in range(a) if settings.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))}
-    found = ngram_join.spanning_links(np.arange(30), sets, settings)
+    found = ngram_join.spanning_links(np.arange(30), sets, ngram_join.linked_sets(size, settings), 7)
     groups = [{i} for i in range(30)]
     for a, b in linked:
         one, two = next(g for g in groups if a in g), next(g for g in groups if b in g)
@@ -137,3 +137,19 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(names[:30], min(names[:30])), **dict.fromkeys(names[30:], min(names[30:]))}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bound_discards_no_link():
+    """Parts in the same order: what the bound discards is never linked."""
+    pick = np.random.default_rng(4)
+    settings = ngram_join.Settings()
+    for _ in range(40):
+        base = pick.permutation(400)[: pick.integers(5, 120)]
+        sets = [np.sort(np.setdiff1d(np.union1d(base, pick.integers(0, 400, pick.integers(0, 30))), pick.integers(0, 400, 30))) for _ in range(8)]
+        sets = [x for x in sets if len(x)]
+        size = np.array([len(x) for x in sets])
+        first = [x[:k] for x, k in zip(sets, settings.first(size))]
+        parts = np.array([[len(np.intersect1d(a, b)) for b in first] for a in first])
+        whole = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+        linked = ngram_join.linked_sets(size, settings)(whole)
+        assert not (linked & ~ngram_join.possibly_linked_sets(size, settings)(parts)).any()

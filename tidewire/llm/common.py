@@ -79,14 +79,24 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+# A table of keys of at most so many rows is sent to all tasks; a longer one is shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def sent(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``keys``, a stored table of a few short columns, broadcast when it is known to be short."""
+    return F.broadcast(keys) if keys.count() <= limit else keys
+
+
 def without(docs: DataFrame, gone: DataFrame, *keys: str) -> DataFrame:
-    """Rows of ``docs`` whose ``keys`` are not among those of ``gone``; null equals null."""
+    """Rows of ``docs`` whose ``keys`` are not among those of ``gone``, a stored table; null
+    equals null."""
     names = [free_name(docs, f"gone_{i}") for i in range(len(keys))]
     held = gone.select(*(F.col(k).alias(n) for k, n in zip(keys, names)))
     same = F.lit(True)
     for key, name in zip(keys, names):
         same = same & F.col(key).eqNullSafe(F.col(name))
-    return docs.join(held, same, "left_anti")
+    return docs.join(sent(held), same, "left_anti")
 
 
 def appended(schema: StructType, ddl: str) -> StructType:

@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import doc_columns, free_name, table, without
+from tidewire.llm.common import doc_columns, free_name, sent, table, without
 from tidewire.plans.durable import durable, scratch_folder
 
 # A digest with more than one in so many rows of a batch is joined by broadcast; there can
@@ -114,7 +114,7 @@ def kept_documents(docs: DataFrame, index: DigestIndex) -> DataFrame:
     often = durable(decided.where("kept").groupBy(*keys).count().where("count > 1").select(*keys))
     left = without(marked, gone, *keys)
     once = without(left, often, *keys)
-    again = left.join(often, keys, "left_semi").dropDuplicates(keys)
+    again = left.join(sent(often), keys, "left_semi").dropDuplicates(keys)
     return once.select(*docs.columns).unionByName(again.select(*docs.columns))
 
 

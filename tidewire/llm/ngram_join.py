@@ -3,21 +3,28 @@
 The incidence matrix of documents by shingles is never multiplied as a whole.
 
 1. Texts with the same set are one class, known by the hash of the set; only classes go on.
-2. Shingles are put in an order, rarest first. Two sets with a similarity of ``threshold`` or
+2. Shingles are put in an order, rarest first: by how often they stand, where that is much,
+   and by how often their words do. Two sets with a similarity of ``threshold`` or
    more share a shingle among the first ``size - ceil(threshold * size) + 1`` of each, so
    only these columns are laid out, in blocks of columns. Within a column, classes whose sizes
    are too far apart to be linked, with nothing in between, part ways.
 3. The classes of a column meet at one of them, the pivot, the one whose shingles are the most
    common; a large family of near copies so meets around its original, in most columns. The
-   sets of a pivot's classes are multiplied block by block: overlaps of all pairs in a block
-   are counted, and those below the bound from their sizes are discarded. A block returns a
-   spanning forest of its links and never a list of pairs.
-4. A pivot with more classes than a block holds is multiplied block against block, but only
-   for classes that are not yet connected with the pivot, against all others.
-
-Every link between different sets is found: its two ends share a column, hence a pivot, hence
-a pair of blocks, unless they are known to be connected already. The order of shingles decides
-on speed alone; it comes from counts that leave out what is rare within each task.
+   laid-out rows of a pivot's classes are multiplied, which accumulates overlaps of all pairs.
+   What two sets share beyond is bounded by what is left of the set whose laid-out part ends
+   first, and pairs that stay below the bound from their sizes even so are discarded. What
+   remains connects classes to families.
+4. The whole sets of a family are multiplied, and pairs below the bound are discarded again.
+
+Products go block by block of classes and return a spanning forest, never a list of pairs. A
+pivot or family with more classes than a block holds is multiplied block against block, but
+only for classes that are not yet connected with its first block's, against all others.
+
+Every link between different sets is found: its two ends share a column, hence a pivot, pass
+the bound, and so are of one family, where they are compared unless they are known to be
+connected already. The order of shingles decides on speed alone: it keeps unrelated texts
+from sharing a column by chance. It comes from counts that leave out what is rare within each
+task; tables of common shingles and words have at most ``common_kept`` rows.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing;
 repeated rows are linked with each other; null ids take part and come back as null; columns
@@ -34,9 +41,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import doc_columns, flat, map_batches, slices, table, without
+from tidewire.llm.common import BROADCAST_ROWS, doc_columns, flat, map_batches, sent, slices, table, without
 from tidewire.llm.components import components
-from tidewire.llm.shingles import shingle_sets, signatures
+from tidewire.llm.shingles import mix, shingle_sets, signatures, weighed_sets, word_hashes
 from tidewire.plans.durable import durable
 
 
@@ -51,9 +58,10 @@ class Settings:
     common_in_chunk: int = 4
     common_kept: int = 200_000
     block_postings: int = 1_500_000
-    block_classes: int = 1_024
+    block_classes: int = 512
     block_shingles: int = 2_000_000
     columns_at_once: int = 4_096
+    broadcast_rows: int = BROADCAST_ROWS
 
     def first(self, size: np.ndarray) -> np.ndarray:
         """How many of a set's first shingles must be laid out."""
@@ -66,52 +74,89 @@ class Settings:
 # --- classes and their rarest shingles ------------------------------------------------------
 
 
-def _common(docs: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles, ascending, and about how many texts hold each; at most ``common_kept``."""
+@dataclass(frozen=True)
+class Frequencies:
+    """How often common shingles and common words stand, by ascending hash."""
+
+    shingles: np.ndarray
+    shingle_counts: np.ndarray
+    words: np.ndarray
+    word_weights: np.ndarray
+
+    @staticmethod
+    def _found(known: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        if not len(known):
+            return np.zeros(len(wanted), np.int64)
+        place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+        return np.where(known[place] == wanted, values[place], 0)
+
+    def of_shingles(self, shingles: np.ndarray) -> np.ndarray:
+        return self._found(self.shingles, self.shingle_counts, shingles)
+
+    def of_words(self, words: np.ndarray) -> np.ndarray:
+        return self._found(self.words, self.word_weights, words)
+
+
+def _frequencies(docs: DataFrame, settings: Settings) -> Frequencies:
+    """The ``common_kept`` most common shingles and words, about as often as they are.
+
+    What stands less than ``common_in_chunk`` times in a chunk of a task does not count.
+    """
 
     def run(batches):
-        held, size = [], 0
+        held: tuple[list, list] = ([], [])
 
         def counted():
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= settings.common_in_chunk
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(times[often])], names=["shingle", "n"])
-
+            for kind in (0, 1):
+                values, times = np.unique(np.concatenate(held[kind]), return_counts=True)
+                often = times >= settings.common_in_chunk
+                values, times = values[often].view(np.int64), times[often]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), kind, np.int32)), pa.array(values), pa.array(times)], names=["kind", "hash", "n"])
+                held[kind].clear()
+
+        size = 0
         for batch in batches:
             for part in slices(batch):
-                sets, _ = shingle_sets(*flat(part.column("text")))
-                held.append(sets)
+                raw, offsets = flat(part.column("text"))
+                sets, _ = shingle_sets(raw, offsets)
+                held[0].append(sets)
+                held[1].append(word_hashes(raw, offsets)[0])
                 size += len(sets)
                 if size >= settings.chunk_shingles:
-                    yield counted()
-                    held, size = [], 0
-        if held:
-            yield counted()
+                    yield from counted()
+                    size = 0
+        if held[0]:
+            yield from counted()
+
+    often = map_batches(docs.select("text"), run, "kind int, hash bigint, n bigint").groupBy("kind", "hash").agg(F.sum("n").alias("n"))
+    often = durable(often)
+
+    def most(kind: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = often.where(F.col("kind") == kind).orderBy(F.desc("n"), "hash").limit(settings.common_kept).toPandas()
+        values, counts = rows["hash"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
+        order = np.argsort(values, kind="stable")
+        return values[order], counts[order]
 
-    often = map_batches(docs.select("text"), run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = often.orderBy(F.desc("n"), "shingle").limit(settings.common_kept).toPandas()
-    order = np.argsort(rows["shingle"].to_numpy(np.int64).view(np.uint64), kind="stable")
-    return rows["shingle"].to_numpy(np.int64).view(np.uint64)[order], rows["n"].to_numpy(np.int64)[order]
+    words, counts = most(1)
+    # Logarithms, so that their sum tells how often words like these meet by chance.
+    return Frequencies(*most(0), words, np.round(np.log2(np.maximum(counts, 1)) * 16).astype(np.int64))
 
 
 def _classes(docs: DataFrame, settings: Settings) -> DataFrame:
     """Per row: doc_id, n_shingles, class (null for an empty set), and, once per task and
     class, how common its shingles are and the ``first`` ones."""
-    shared = docs.sparkSession.sparkContext.broadcast(_common(docs, settings))
+    shared = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, settings))
 
     def run(batches):
-        common, counts = shared.value
+        known_counts = shared.value
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch):
-                sets, size = shingle_sets(*flat(part.column("text")))
+                sets, size, weight = weighed_sets(*flat(part.column("text")), known_counts.of_words)
                 names = signatures(sets, size).view(np.int64)
                 text = np.repeat(np.arange(len(size)), size)
-                times = np.zeros(len(sets), np.int64)
-                if len(common):
-                    place = np.minimum(np.searchsorted(common, sets), len(common) - 1)
-                    times = np.where(common[place] == sets, counts[place], 0)
-                order = np.lexsort((sets, times, text))
+                times = known_counts.of_shingles(sets)
+                order = np.lexsort((sets, weight, times, text))
                 ends = np.cumsum(size)
                 known = np.bincount(text, np.log1p(times), minlength=len(size)) / np.maximum(size, 1)
                 ranked, begins = sets[order], ends - size
@@ -135,20 +180,28 @@ def _classes(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _meetings(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(pivot, class): classes that share a laid-out column, by the pivot they meet at."""
+    """(pivot, class): classes that share a laid-out column, by the pivot they meet at.
+
+    Two classes that only ever meet alone have all their overlap counted across blocks, and
+    are discarded if it is below their bound. If they share another column with more classes
+    as well, they meet at its pivot too.
+    """
     spark = classes.sparkSession
     laid = classes.where(F.col("first").isNotNull()).select("class", "n_shingles", "common", "first")
     postings = (laid.agg(F.sum(F.length("first"))).first()[0] or 0) // 8
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), postings // settings.block_postings + 1)
 
     def lay_out(batches):
-        for batch in batches:
+        for batch in (b.slice(i, 1 << 15) for b in batches for i in range(0, b.num_rows, 1 << 15)):
             raw, offsets = flat(batch.column("first"))
             shingle = raw.view(np.uint64) if len(raw) else np.zeros(0, np.uint64)
             row = np.repeat(np.arange(batch.num_rows), np.diff(offsets) // 8)
             block = (shingle % np.uint64(blocks)).astype(np.int64)
+            # Half of a hash will do within a block: if two columns are taken for one, some
+            # classes meet that need not.
+            short = mix(shingle).astype("<u4")
             order = np.argsort(block, kind="stable")
-            block, shingle, row = block[order], shingle[order], row[order]
+            block, short, row = block[order], short[order], row[order]
             cuts = np.flatnonzero(np.diff(block, prepend=-1))
             name = np.asarray(batch.column("class"))
             size = np.asarray(batch.column("n_shingles")).astype("<u4")
@@ -156,18 +209,18 @@ def _meetings(classes: DataFrame, settings: Settings) -> DataFrame:
             columns: list[list] = [[], [], [], [], [], []]
             for a, b in zip(cuts, np.append(cuts[1:], len(block))):
                 own, local = np.unique(row[a:b], return_inverse=True)
-                blobs = (shingle[a:b], local.astype("<u4"), name[own], size[own], common[own])
+                blobs = (short[a:b], local.astype("<u2"), name[own], size[own], common[own])
                 for column, value in zip(columns, (int(block[a]), *(x.tobytes() for x in blobs))):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["block", "shingle", "local", "name", "size", "common"]
+                [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["block", "column", "local", "name", "size", "common"]
             )
 
     def meet(part: pa.Table) -> pa.Table:
         columns = {c: part.column(c).to_pylist() for c in part.column_names[1:]}
-        shingle = np.concatenate([np.frombuffer(x, "<u8") for x in columns["shingle"]])
+        shingle = np.concatenate([np.frombuffer(x, "<u4") for x in columns["column"]])
         owners = [(np.frombuffer(n, "<i8"), np.frombuffer(s, "<u4"), np.frombuffer(c, "<f4")) for n, s, c in zip(columns["name"], columns["size"], columns["common"])]
-        local = [np.frombuffer(x, "<u4") for x in columns["local"]]
+        local = [np.frombuffer(x, "<u2") for x in columns["local"]]
         name, size, common = (np.concatenate([o[k][i] for o, i in zip(owners, local)]) for k in range(3))
         size = size.astype(np.int64)
         order = np.lexsort((name, size, shingle))
@@ -180,66 +233,58 @@ def _meetings(classes: DataFrame, settings: Settings) -> DataFrame:
         fresh[1:] = (shingle[1:] != shingle[:-1]) | (settings.numerator * size[1:] > settings.denominator * size[:-1])
         column = np.cumsum(fresh) - 1
         several = np.bincount(column, minlength=1)[column] > 1 if len(column) else np.zeros(0, bool)
-        column, name, common = column[several], name[several], common[several]
+        column, name, common, size = column[several], name[several], common[several], size[several]
         order = np.lexsort((name, -common, column))
-        column, name = column[order], name[order]
-        head = np.ones(len(name), bool)
-        head[1:] = column[1:] != column[:-1]
-        pivot = name[np.flatnonzero(head)][np.cumsum(head) - 1] if len(name) else name
-        pairs = np.unique(np.stack([pivot, name], 1), axis=0) if len(name) else np.zeros((0, 2), np.int64)
-        return pa.table({"pivot": pairs[:, 0], "class": pairs[:, 1]})
-
-    blocked = map_batches(laid, lay_out, "block bigint, shingle binary, local binary, name binary, size binary, common binary")
-    return blocked.groupBy("block").applyInArrow(meet, "pivot bigint, class bigint").distinct()
-
-
-# --- blocks of sets -------------------------------------------------------------------------
-
-
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, set) of the ``wanted`` classes (doc_id of one text each, class), read anew."""
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch):
-                sets, size = shingle_sets(*flat(part.column("text")))
-                ends = np.cumsum(size)
-                own = signatures(sets, size).view(np.int64) == np.asarray(part.column("class"))
-                blobs = [sets[e - n : e].tobytes() for e, n in zip(ends, size)]
-                out = pa.RecordBatch.from_arrays([part.column("class"), pa.array(blobs, pa.binary())], names=["class", "set"])
-                yield out.filter(pa.array(own))
-
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("class", "text")
-    return map_batches(texts, run, "class bigint, set binary")
-
-
-def spanning_links(names: np.ndarray, sets: list[np.ndarray], settings: Settings, split: int | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the links among some sets, by a product over blocks of columns.
-
-    With ``split``, only links between the first ``split`` sets and the others count.
+        column, name, size = column[order], name[order], size[order]
+        heads = np.flatnonzero(np.diff(column, prepend=-1))
+        members = np.diff(heads, append=len(column))
+        head = np.repeat(heads, members)
+        # Two classes alone in a column: how many such columns they have is their overlap here.
+        alone = np.repeat(members, members) == 2
+        met = np.stack([name[head], name, size[head], size], 1)
+        pairs, times = np.unique(met[alone & (head != np.arange(len(name)))], axis=0, return_counts=True)
+        others = np.unique(met[~alone], axis=0)
+        rows = np.concatenate([pairs, others])
+        overlap = np.concatenate([times, np.full(len(others), -1, np.int64)])
+        return pa.table(dict(zip(("pivot", "class", "pivot_n", "n", "overlap"), (*rows.T, overlap))))
+
+    blocked = map_batches(laid, lay_out, "block bigint, column binary, local binary, name binary, size binary, common binary")
+    met = blocked.groupBy("block").applyInArrow(meet, "pivot bigint, class bigint, pivot_n bigint, n bigint, overlap bigint")
+    met = met.groupBy("pivot", "class", "pivot_n", "n").agg(F.sum("overlap").alias("overlap"), (F.min("overlap") < 0).alias("more"))
+    # The rest of the set whose laid-out part ends first bounds what two sets share beyond it.
+    rest = F.ceil(F.greatest("pivot_n", "n") * settings.numerator / settings.denominator) - 1
+    most = F.least(F.col("overlap") + rest, "pivot_n", "n")
+    return met.where(F.col("more") | settings.linked(most, F.col("pivot_n"), F.col("n"))).select("pivot", "class", "more")
+
+
+# --- products -------------------------------------------------------------------------------
+
+
+def spanning_links(names: np.ndarray, rows: list[np.ndarray], judge, columns_at_once: int, split: int | None = None) -> list[tuple[int, int]]:
+    """A spanning forest over some sets, by a product over blocks of columns.
+
+    ``judge`` says, for the matrix of overlaps, which pairs are to be connected. With
+    ``split``, only pairs of one of the first ``split`` sets and one of the others count.
     """
-    rows = len(sets)
-    size = np.fromiter(map(len, sets), np.int64, rows)
-    owner = np.repeat(np.arange(rows), size)
-    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    count = len(rows)
+    owner = np.repeat(np.arange(count), np.fromiter(map(len, rows), np.int64, count))
+    _, column, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
     shared = times[column] > 1
     owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
-    overlap = np.zeros((rows, rows), np.float32)
+    overlap = np.zeros((count, count), np.float32)
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    step = settings.columns_at_once
-    cuts = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + step, step)) if len(column) else []
+    cuts = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + columns_at_once, columns_at_once)) if len(column) else []
     for a, b in zip(cuts[:-1], cuts[1:]):
-        part = np.zeros((rows, min(step, int(column[b - 1] - column[a]) + 1)), np.float32)
+        part = np.zeros((count, int(column[b - 1] - column[a]) + 1), np.float32)
         part[owner[a:b], column[a:b] - column[a]] = 1
         overlap += part @ part.T
-    counted = overlap.astype(np.int64)
-    linked = settings.linked(counted, size[:, None], size[None, :])
+    linked = judge(overlap.astype(np.int64))
     if split is not None:
         linked[:split, :split] = False
         linked[split:, split:] = False
-    found, left = [], np.ones(rows, bool)
-    for start in range(rows):
+    found, left = [], np.ones(count, bool)
+    for start in range(count):
         if not left[start]:
             continue
         left[start] = False
@@ -252,6 +297,22 @@ def spanning_links(names: np.ndarray, sets: list[np.ndarray], settings: Settings
     return found
 
 
+def linked_sets(size: np.ndarray, settings: Settings):
+    """Judges overlaps of whole sets."""
+    return lambda overlap: settings.linked(overlap, size[:, None], size[None, :])
+
+
+def possibly_linked_sets(size: np.ndarray, settings: Settings):
+    """Judges overlaps of laid-out parts: False only for pairs that cannot be linked."""
+    rest = size - settings.first(size)
+
+    def judge(overlap: np.ndarray) -> np.ndarray:
+        most = np.minimum(overlap + np.maximum(rest[:, None], rest[None, :]), np.minimum(size[:, None], size[None, :]))
+        return (overlap > 0) & settings.linked(most, size[:, None], size[None, :])
+
+    return judge
+
+
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows with the same keys together, from batches sorted by them."""
     held: list[pa.RecordBatch] = []
@@ -278,20 +339,20 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def _multiply(units: DataFrame, settings: Settings) -> DataFrame:
-    """Links within each unit of (unit, side, class, set); with two sides, only across them."""
+def _multiply(units: DataFrame, judge_of, settings: Settings) -> DataFrame:
+    """Links within each unit of (unit, side, class, n, row); with two sides, only across."""
 
     def run(batches):
         for part in _runs(batches, ["unit"]):
-            side = np.asarray(part.column("side").to_pylist())
-            names = np.asarray(part.column("class").to_pylist())
-            sets = [np.frombuffer(x, "<u8") for x in part.column("set").to_pylist()]
-            _, once = np.unique(names * 2 + side, return_index=True)
-            once = once[np.argsort(side[once], kind="stable")]
+            side, names, size = (np.asarray(part.column(c).to_pylist(), np.int64) for c in ("side", "class", "n"))
+            rows = [np.frombuffer(x, "<u8") for x in part.column("row").to_pylist()]
+            _, once = np.unique(np.stack([side, names], 1), axis=0, return_index=True)
             if len(once) < 2:
                 continue
             split = int((side[once] == 0).sum())
-            found = spanning_links(names[once], [sets[i] for i in once], settings, split if split < len(once) else None)
+            found = spanning_links(
+                names[once], [rows[i] for i in once], judge_of(size[once], settings), settings.columns_at_once, split if split < len(once) else None
+            )
             if found:
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -300,41 +361,76 @@ def _multiply(units: DataFrame, settings: Settings) -> DataFrame:
     return map_batches(units.repartition(parts, "unit").sortWithinPartitions("unit"), run, "a bigint, b bigint")
 
 
-def _links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Enough links between classes to connect whatever links connect."""
-    meetings = durable(_meetings(classes, settings))
-    known = classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    wanted = durable(known.join(meetings.select("class").distinct(), "class"))
-    sets = durable(_sets(docs, wanted.select("doc_id", "class")).dropDuplicates(["class"]))
-    sized = meetings.join(wanted.select("class", "n"), "class")
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / settings.block_classes, F.sum("n") / settings.block_shingles)).cast("int")
-    groups = durable(sized.groupBy("pivot").agg(blocks.alias("blocks")))
-    # Block by block; the pivot is in every block, so that what it connects is known early.
+def _connect(members: DataFrame, fetch, judge_of, shingles_per_block: int, settings: Settings) -> DataFrame:
+    """Links that connect, within every group, whatever ``judge_of`` connects.
+
+    ``members``: group, class, doc_id (of one of its texts), n. ``fetch`` adds to rows with
+    these the ``row`` of the class.
+    """
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / settings.block_classes, F.sum("n") / shingles_per_block)).cast("int")
+    groups = durable(members.groupBy("group").agg(blocks.alias("blocks")))
     part = F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int")
-    numbered = meetings.join(groups, "pivot").withColumn(
-        "block", F.when(F.col("class") == F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(part))
-    )
-    inside = numbered.select("pivot", "class", F.explode("block").alias("block")).select(F.xxhash64("pivot", "block").alias("unit"), F.lit(0).alias("side"), "class")
-    links = durable(_multiply(inside.join(sets, "class"), settings))
-    large = groups.where("blocks > 1")
+    held = durable(members.join(groups, "group").withColumn("block", part))
+    columns = ["unit", "side", "class", "doc_id", "n"]
+
+    def product(units: DataFrame) -> DataFrame:
+        return durable(_multiply(fetch(sent(durable(units.select(*columns)), settings.broadcast_rows)), judge_of, settings))
+
+    inside = held.withColumns({"unit": F.xxhash64("group", "block"), "side": F.lit(0)})
+    links = product(inside)
+    large = held.where("blocks > 1")
     if large.isEmpty():
         return links
-    roots = durable(components(links))
-    of = meetings.join(large, "pivot").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-    of = durable(of.select("pivot", "class", "blocks", F.coalesce("root", "class").alias("root")))
-    centre = of.where("class = pivot").select("pivot", F.col("root").alias("centre"))
-    apart = durable(of.join(centre, "pivot").where("root <> centre").select("pivot", "class", "blocks"))
-    rest = apart.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / settings.block_classes).cast("int").alias("rests"))
-    rest = durable(rest.join(large, "pivot"))
+    roots = durable(components(links)).select(F.col("node").alias("class"), "root")
+    rooted = durable(large.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")))
+    # The component that holds most of the group's classes; it need not be compared with itself.
+    sizes = rooted.groupBy("group", "root").agg(F.count(F.lit(1)).alias("held"))
+    centre = durable(sizes.groupBy("group").agg(F.max_by("root", F.struct("held", "root")).alias("centre")))
+    apart = durable(rooted.join(centre, "group").where("root <> centre"))
+    rests = durable(apart.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / settings.block_classes).cast("int").alias("rests")))
     # Every block of those apart against every block of all.
-    left = apart.join(rest.select("pivot", "rests"), "pivot").select(
-        "pivot", F.pmod(F.xxhash64("class"), F.col("rests").cast("long")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "class"
-    )
-    right = of.join(rest.select("pivot", "rests"), "pivot").select(
-        "pivot", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("i"), part.alias("j"), F.lit(1).alias("side"), "class"
+    left = apart.join(rests, "group").withColumns(
+        {"i": F.pmod(F.xxhash64("class"), F.col("rests").cast("long")).cast("int"), "j": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "side": F.lit(0)}
     )
-    units = left.unionByName(right).select(F.xxhash64("pivot", "i", "j").alias("unit"), "side", "class")
-    return links.unionByName(durable(_multiply(units.join(sets, "class"), settings)))
+    right = rooted.join(rests, "group").withColumns({"i": F.explode(F.sequence(F.lit(0), F.col("rests") - 1)), "j": F.col("block"), "side": F.lit(1)})
+    keys = ["group", "i", "j", "side", "class", "doc_id", "n"]
+    units = left.select(*keys).unionByName(right.select(*keys)).withColumn("unit", F.xxhash64("group", "i", "j"))
+    return links.unionByName(product(units))
+
+
+def _links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """Enough links between classes to connect whatever links connect."""
+    laid = classes.where(F.col("first").isNotNull())
+    known = durable(laid.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")))
+    met = durable(_meetings(classes, settings))
+    # A pivot is a member of its own group.
+    met = met.select("pivot", "class").unionByName(met.select("pivot", F.col("pivot").alias("class"))).distinct()
+    meetings = durable(met.withColumnRenamed("pivot", "group").join(known, "class"))
+
+    def laid_out(units: DataFrame) -> DataFrame:
+        rows = laid.select(F.col("class").alias("c"), F.col("doc_id").alias("d"), F.col("first").alias("row"))
+        same = (F.col("c") == F.col("class")) & F.col("d").eqNullSafe(F.col("doc_id"))
+        return rows.join(units, same).select("unit", "side", "class", "n", "row")
+
+    def whole(units: DataFrame) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                for part in slices(batch):
+                    sets, size = shingle_sets(*flat(part.column("text")))
+                    ends = np.cumsum(size)
+                    own = signatures(sets, size).view(np.int64) == np.asarray(part.column("class"))
+                    blobs = [sets[e - n : e].tobytes() for e, n in zip(ends, size)]
+                    out = pa.RecordBatch.from_arrays(
+                        [*(part.column(c) for c in ("unit", "side", "class", "n")), pa.array(blobs, pa.binary())], names=["unit", "side", "class", "n", "row"]
+                    )
+                    yield out.filter(pa.array(own))
+
+        texts = docs.select(F.col("doc_id").alias("d"), "text").join(units, F.col("d").eqNullSafe(F.col("doc_id")))
+        return map_batches(texts.select("unit", "side", "class", "n", "text"), run, "unit bigint, side int, class bigint, n bigint, row binary")
+
+    may = _connect(meetings, laid_out, possibly_linked_sets, settings.block_shingles * 4, settings)
+    families = durable(components(may)).select(F.col("node").alias("class"), F.col("root").alias("group"))
+    return _connect(families.join(known, "class"), whole, linked_sets, settings.block_shingles, settings)
 
 
 def similar_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

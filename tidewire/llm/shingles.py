@@ -33,7 +33,7 @@ _SHORT = _series(3, WORDS)
 _BASE = np.uint64(0x2545F4914F6CDD1D)
 
 
-def _word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash per word, and the number of words per text."""
     texts = len(offsets) - 1
     inside = ~_SPACE[raw]
@@ -56,26 +56,38 @@ def _word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different shingles of every text, ascending within a text, and their number per text."""
-    words, count = _word_hashes(raw, offsets)
+    return weighed_sets(raw, offsets, lambda words: np.zeros(len(words), np.int64))[:2]
+
+
+def weighed_sets(raw: np.ndarray, offsets: np.ndarray, weigh) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``shingle_sets``, with the sum of its words' weights for every shingle.
+
+    ``weigh`` gives whole numbers for hashes of words, so a shingle has one weight in all texts.
+    """
+    words, count = word_hashes(raw, offsets)
     if not len(words):
-        return np.zeros(0, np.uint64), count
+        return np.zeros(0, np.uint64), count, np.zeros(0, np.int64)
+    weights = weigh(words)
+    weight = np.zeros(len(words), np.int64)
     ends = np.cumsum(count)
     text = np.repeat(np.arange(len(count)), count)
     left = np.repeat(ends, count) - np.arange(len(words))  # words from here to the text's end
     total = np.zeros(len(words), np.uint64)
     for k in range(WORDS):
-        total[: len(words) - k] += np.where(left[: len(words) - k] > k, words[k:] * _PLACE[k], np.uint64(0))
+        inside = left[: len(words) - k] > k
+        total[: len(words) - k] += np.where(inside, words[k:] * _PLACE[k], np.uint64(0))
+        weight[: len(words) - k] += np.where(inside, weights[k:], 0)
     # Whole windows, and the only window of a short text, marked by its number of words.
     size = count[text]
     first = left == size
     total += np.where(size < WORDS, _SHORT[np.minimum(size, WORDS) - 1], np.uint64(0))
     taken = (left >= WORDS) | (first & (size < WORDS))
-    text, total = text[taken], mix(total[taken])
+    text, total, weight = text[taken], mix(total[taken]), weight[taken]
     order = np.lexsort((total, text))
-    text, total = text[order], total[order]
+    text, total, weight = text[order], total[order], weight[order]
     fresh = np.ones(len(text), bool)
     fresh[1:] = (text[1:] != text[:-1]) | (total[1:] != total[:-1])
-    return total[fresh], np.bincount(text[fresh], minlength=len(count))
+    return total[fresh], np.bincount(text[fresh], minlength=len(count)), weight[fresh]
 
 
 def signatures(sets: np.ndarray, count: np.ndarray) -> np.ndarray:
