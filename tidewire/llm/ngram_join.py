@@ -277,7 +277,8 @@ def spanning_links(names: np.ndarray, rows: list[np.ndarray], judge, columns_at_
     cuts = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + columns_at_once, columns_at_once)) if len(column) else []
     for a, b in zip(cuts[:-1], cuts[1:]):
         part = np.zeros((count, int(column[b - 1] - column[a]) + 1), np.float32)
-        part[owner[a:b], column[a:b] - column[a]] = 1
+        # Added, since half hashes of one set may be equal; that, too, only raises overlaps.
+        np.add.at(part, (owner[a:b], column[a:b] - column[a]), 1)
         overlap += part @ part.T
     linked = judge(overlap.astype(np.int64))
     if split is not None:
@@ -340,12 +341,16 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
 
 
 def _multiply(units: DataFrame, judge_of, settings: Settings) -> DataFrame:
-    """Links within each unit of (unit, side, class, n, row); with two sides, only across."""
+    """Links within each unit of (unit, side, class, n, row); with two sides, only across.
+
+    A row holds whole hashes, or halves of them, as its column ``half`` says.
+    """
 
     def run(batches):
         for part in _runs(batches, ["unit"]):
             side, names, size = (np.asarray(part.column(c).to_pylist(), np.int64) for c in ("side", "class", "n"))
-            rows = [np.frombuffer(x, "<u8") for x in part.column("row").to_pylist()]
+            kinds = ["<u4" if half else "<u8" for half in part.column("half").to_pylist()]
+            rows = [np.frombuffer(x, kind) for x, kind in zip(part.column("row").to_pylist(), kinds)]
             _, once = np.unique(np.stack([side, names], 1), axis=0, return_index=True)
             if len(once) < 2:
                 continue
@@ -361,6 +366,10 @@ def _multiply(units: DataFrame, judge_of, settings: Settings) -> DataFrame:
     return map_batches(units.repartition(parts, "unit").sortWithinPartitions("unit"), run, "a bigint, b bigint")
 
 
+_UNIT_COLUMNS = ["unit", "side", "class", "n", "row", "half"]
+_UNIT_SCHEMA = "unit bigint, side int, class bigint, n bigint, row binary, half boolean"
+
+
 def _connect(members: DataFrame, fetch, judge_of, shingles_per_block: int, settings: Settings) -> DataFrame:
     """Links that connect, within every group, whatever ``judge_of`` connects.
 
@@ -407,10 +416,21 @@ def _links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame
     met = met.select("pivot", "class").unionByName(met.select("pivot", F.col("pivot").alias("class"))).distinct()
     meetings = durable(met.withColumnRenamed("pivot", "group").join(known, "class"))
 
+    def halve(batches):
+        # Taking two columns for one can only raise an overlap, and what is bounded here is
+        # the most that two sets may share.
+        for batch in batches:
+            raw, offsets = flat(batch.column("row"))
+            short = mix(raw.view(np.uint64)).astype("<u4") if len(raw) else np.zeros(0, "<u4")
+            blobs = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(offsets // 2), pa.py_buffer(short)])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], blobs.cast(pa.binary()), pa.array(np.ones(batch.num_rows, bool))], names=_UNIT_COLUMNS
+            )
+
     def laid_out(units: DataFrame) -> DataFrame:
         rows = laid.select(F.col("class").alias("c"), F.col("doc_id").alias("d"), F.col("first").alias("row"))
         same = (F.col("c") == F.col("class")) & F.col("d").eqNullSafe(F.col("doc_id"))
-        return rows.join(units, same).select("unit", "side", "class", "n", "row")
+        return map_batches(rows.join(units, same).select("unit", "side", "class", "n", "row"), halve, _UNIT_SCHEMA)
 
     def whole(units: DataFrame) -> DataFrame:
         def run(batches):
@@ -421,12 +441,12 @@ def _links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame
                     own = signatures(sets, size).view(np.int64) == np.asarray(part.column("class"))
                     blobs = [sets[e - n : e].tobytes() for e, n in zip(ends, size)]
                     out = pa.RecordBatch.from_arrays(
-                        [*(part.column(c) for c in ("unit", "side", "class", "n")), pa.array(blobs, pa.binary())], names=["unit", "side", "class", "n", "row"]
+                        [*(part.column(c) for c in _UNIT_COLUMNS[:4]), pa.array(blobs, pa.binary()), pa.array(np.zeros(part.num_rows, bool))], names=_UNIT_COLUMNS
                     )
                     yield out.filter(pa.array(own))
 
         texts = docs.select(F.col("doc_id").alias("d"), "text").join(units, F.col("d").eqNullSafe(F.col("doc_id")))
-        return map_batches(texts.select("unit", "side", "class", "n", "text"), run, "unit bigint, side int, class bigint, n bigint, row binary")
+        return map_batches(texts.select("unit", "side", "class", "n", "text"), run, _UNIT_SCHEMA)
 
     may = _connect(meetings, laid_out, possibly_linked_sets, settings.block_shingles * 4, settings)
     families = durable(components(may)).select(F.col("node").alias("class"), F.col("root").alias("group"))
