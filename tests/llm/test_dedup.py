@@ -11,6 +11,7 @@ import pytest
 from tidewire.llm import exact_dedup, ngram_join
 from tidewire.llm.components import components
 from tidewire.llm.queries import ORACLES, QUERIES
+from tidewire.llm.shingles import shingle_sets
 from tidewire.plans.durable import scratch_folder
 
 
@@ -114,6 +115,32 @@ def test_join_of_odd_rows(spark, odd, nothing):
     assert sorted(r["doc_id"] for r in left.collect() if r["doc_id"]) == [1, 2, 3, 4, 6, 8, 9, 10, 11]
 
 
+@pytest.mark.parametrize("words", [1, 2, 3, 4])
+def test_shingles_of_a_slice_of_few_words(words):
+    """A slice with fewer words than a shingle gives what its text gives beside others."""
+    short, long = b" ".join([b"Hello", b"big", b"wide", b"world"][:words]), b"one two three four five six"
+    alone, count = shingle_sets(np.frombuffer(short, np.uint8), np.array([0, len(short)]))
+    both, counts = shingle_sets(np.frombuffer(short + long, np.uint8), np.array([0, len(short), len(short + long)]))
+    assert count.tolist() == [1] and counts.tolist() == [1, 2]
+    assert alone.tolist() == both[:1].tolist()
+
+
+@pytest.mark.parametrize("words", [1, 2, 3, 4])
+def test_join_of_a_single_short_row(spark, words):
+    frame = spark.createDataFrame([(1, " ".join("abcd"[:words]))], "doc_id long, text string")
+    assert [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.similar_groups(frame).collect()] == [(1, 1, 1)]
+    assert ngram_join.one_of_each_group(frame).count() == 1
+
+
+def test_join_of_short_rows_behind_a_long_one(spark):
+    long = " ".join(f"word{i}" for i in range(120_000))
+    rows = [(1, long), (2, "Hello world"), (3, long), (4, "hello wide world"), (5, long), (6, "Hello  WORLD")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_groups(frame).collect()}
+    assert len(long) > 1 << 20
+    assert got == {i: (119_996, 1) for i in (1, 3, 5)} | {2: (1, 2), 4: (1, 4), 6: (1, 2)}
+
+
 def test_product_counts_every_pair():
     pick = np.random.default_rng(1)
     sets = [np.unique(pick.integers(0, 60, 25)).astype(np.uint64) for _ in range(30)]

@@ -73,7 +73,7 @@ def weighed_sets(raw: np.ndarray, offsets: np.ndarray, weigh) -> tuple[np.ndarra
     text = np.repeat(np.arange(len(count)), count)
     left = np.repeat(ends, count) - np.arange(len(words))  # words from here to the text's end
     total = np.zeros(len(words), np.uint64)
-    for k in range(WORDS):
+    for k in range(min(WORDS, len(words))):
         inside = left[: len(words) - k] > k
         total[: len(words) - k] += np.where(inside, words[k:] * _PLACE[k], np.uint64(0))
         weight[: len(words) - k] += np.where(inside, weights[k:], 0)
