@@ -66,6 +66,18 @@ def test_ids_of_odd_texts(tokenizer):
         assert ids.tolist() == ids_of(tokenizer, text) and count.tolist() == [len(ids)], repr(text)
 
 
+def test_ids_of_more_words_than_are_cached(tokenizer):
+    """New and known words that do not fit together: none of them loses its ids."""
+    encoder = packing.Encoder(packing.Settings(cached_words=8))
+    known = "one two 3x"
+    many = known + " " + " ".join(f"word{chr(97 + i)} {i}z" for i in range(20))
+    few = "one wordb four five six seven eight nine"
+    for texts in ([known], [many], [known], [few], [many, few, known, ""], [known, many]):
+        ids, count = encoder.encode([t.encode() for t in texts], 2)
+        want = [ids_of(tokenizer, t) for t in texts]
+        assert ids.tolist() == sum(want, []) and count.tolist() == [len(w) for w in want]
+
+
 def test_odd_rows(odd, nothing, tokenizer):
     rows = packing.placed_pieces(odd).collect()
     check_sequences(rows)

@@ -55,8 +55,9 @@ _TAIL = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{-~]+)(?=[ \t-\r]|\Z)")
 class Encoder:
     """Ids of texts, word by word: this tokenizer never joins what white space parts.
 
-    Ids of words seen are kept, as ranges of one pool, and forgotten all at once when there
-    are ``cached_words`` of them.
+    Ids of words seen are kept, as ranges of one pool, and forgotten all at once when more than
+    ``cached_words`` would be known. The words of one call are then learned together, so they
+    are all known at its end, however many they are.
     """
 
     def __init__(self, settings: Settings):
@@ -82,8 +83,6 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.number) + len(words) > self.limit:
-            self._forget()
         simple, others = [], []
         for word in words:
             (simple if _LETTERS.fullmatch(word) else others).append(word)
@@ -115,11 +114,13 @@ class Encoder:
         words = [w for s in split for w in s]
         which = self._look_up(words)
         if (new := np.flatnonzero(which < 0)).size:
-            self._learn(sorted({words[i] for i in new}))
+            unknown = {words[i] for i in new}
+            if len(self.number) + len(unknown) > self.limit:
+                self._forget()
+                unknown = set(words)
+            self._learn(sorted(unknown))
             which = self._look_up(words)
-            if (which < 0).any():  # all were forgotten to make room
-                self._learn(sorted({words[i] for i in np.flatnonzero(which < 0)}))
-                which = self._look_up(words)
+        assert (which >= 0).all(), "a word has no ids"
         begins = self.begins[which]
         lengths = self.begins[which + 1] - begins
         ends = np.concatenate([[0], np.cumsum(lengths)])
