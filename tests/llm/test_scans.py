@@ -96,6 +96,38 @@ def test_contained_detections_give_way(text, labels):
     assert [d[0] for d in license_scan.scan(text)["detections"]] == labels
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("CC-BY-SA 4.0", ["cc-by-sa-4.0"]),
+        ("Released under CC-BY-4.0", ["cc-by-4.0"]),
+        ("(CC) BY-NC-ND 3.0", ["cc-by-nc-nd-3.0"]),
+        ("a success by chance", []),
+        ("GPLv3", ["gpl-3"]),
+        ("LGPLv2.1", ["lgpl-2.1"]),
+        ("under the AGPLv3", ["agpl-3"]),
+        ("GNU GPLv2 or later; see LICENSE", ["gpl-2"]),
+        ("GPL3, then GPL-2.0", ["gpl-3", "gpl-2.0"]),
+        ("GPL v9 and GPLv9", ["gpl", "gpl"]),
+        ("GPLvx", []),
+    ],
+)
+def test_usual_spellings(text, labels):
+    assert [d[0] for d in license_scan.scan(text)["detections"]] == labels
+
+
+def test_usual_spellings_score(spark):
+    frame = spark.createDataFrame([(1, "Released under CC-BY-4.0"), (2, "GPLv3")], "doc_id long, text string")
+    found = {r["doc_id"]: [(d["label"], d["first"], d["end"], d["weight"]) for d in r["licenses"]["detections"]] for r in license_scan.licenses(frame).collect()}
+    assert found == {1: [("cc-by-4.0", 0, 5, 0.95)], 2: [("gpl-3", 0, 0, 0.6)]}
+
+
+def test_what_parts_words_decides_nothing():
+    want = license_scan.scan("CC BY-NC")
+    assert "cc-by-nc" in {d[0] for d in want["detections"]}
+    assert all(license_scan.scan(text) == want for text in ("CC-BY-NC", "CC\nBY-NC", "cc/by_nc", "(CC) BY NC!"))
+
+
 def test_rules_are_many_and_ordered():
     assert len(license_scan.RULES) > 300
     order = [r.priority for r in license_scan.RULES]

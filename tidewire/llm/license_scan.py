@@ -114,14 +114,21 @@ def _identifier(family: str, version: str) -> str:
     return f"{family}-{version.replace(' ', '.')}" if version else family
 
 
+def _any_of(names) -> str:
+    return "(?:" + "|".join(sorted(names, key=len, reverse=True)) + ")"
+
+
 def _make_rules() -> tuple[Rule, ...]:
     """Statements times names times versions, and the sentences; highest priority first."""
     rules = []
     for family, names, versions in _FAMILIES:
         for version in ("", *versions):
-            spelled = "(?:" + "|".join(sorted(names, key=len, reverse=True)) + ")"
+            spelled = _any_of(names)
             if version:
                 spelled += rf"(?: version| v)? v?{version}"
+            # A version may stand right behind a short name ("gplv3"), an unknown one counts as none.
+            if versions and (short := [n for n in names if n[-1].isalpha() and not n.endswith(("license", "licence"))]):
+                spelled = rf"(?:{spelled}|{_any_of(short)}v?{version or '[0-9]+'})"
             later = r"(?P<later> (?:or (?:any )?later(?: version)?|only))?" if version and family.endswith("gpl") else ""
             label = _identifier(family, version)
             for place, (form, weight, extra) in enumerate(_STATEMENTS):
@@ -142,6 +149,8 @@ RULES = _make_rules()
 _TRIGGERS = frozenset(("licen", "spdx", "gpl", "gfdl", "cddl", "eupl", "wtfpl", "cc0", "creative", "cc by", *(s[2].split()[0] for s in _SENTENCES)))
 _GATE = tuple(sorted(_TRIGGERS.union(*(r.keywords for r in RULES))))
 _TRIGGER = re.compile("|".join(sorted(_TRIGGERS)))
+# Triggers of two words as they may stand in the raw text, parted by whatever parts words.
+_APART = re.compile("|".join(t.replace(" ", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+") for t in sorted(_TRIGGERS) if " " in t))
 _REACH = 256
 _BASE_PATTERNS = tuple((re.compile(rf"(?<= ){phrase}(?= )"), label) for phrase, label in BASE.items())
 
@@ -182,7 +191,7 @@ def scan(text: str) -> dict:
     (label, first word, end word, weight), ``base`` (label, first word)."""
     low = ascii_lower(text)
     present = {word for _, word in _keywords().iter(low)} if low else set()
-    if not present & _TRIGGERS:
+    if not present & _TRIGGERS and not _APART.search(low):
         return {"base": [], "detections": []}
     joined = f" {' '.join(_WORD.findall(low))} "
 
