@@ -920,17 +920,6 @@ def log_records(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- models ----------------------------------------------------------------------------
 
-# A small forest: the query shows the operator, the contract's own size is for training.
-_SMALL = replace(
-    contract.DEFAULT_CONTRACT,
-    parameters={
-        "n_estimators": 20,
-        "max_depth": 5,
-        "min_samples_leaf": 1,
-        "max_features": "sqrt",
-    },
-)
-
 
 def _labelled_features(spark: SparkSession, folder: str) -> DataFrame:
     """Flows of forty captures with all features and a label the features can explain."""
@@ -957,14 +946,14 @@ def _feature_splits(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 @query
 def train_rf(spark: SparkSession, folder: str) -> DataFrame:
-    trained = model.train(_feature_splits(spark, folder)["train"], _SMALL)
+    trained = model.train(_feature_splits(spark, folder)["train"])
     return model.feature_importances(spark, trained)
 
 
 @query
 def score_flows(spark: SparkSession, folder: str) -> DataFrame:
     parts = _feature_splits(spark, folder)
-    trained = model.train(parts["train"], _SMALL)
+    trained = model.train(parts["train"])
     return model.score(parts["test"], trained).select("flow_id", "raw_label", "probability")
 
 
@@ -972,9 +961,10 @@ def score_flows(spark: SparkSession, folder: str) -> DataFrame:
 def model_eval(spark: SparkSession, folder: str) -> DataFrame:
     """A forest against a weaker baseline, on all three splits."""
     parts = _feature_splits(spark, folder)
-    stump = replace(_SMALL, parameters={**_SMALL.parameters, "n_estimators": 1, "max_depth": 1})
+    full = contract.DEFAULT_CONTRACT
+    stump = replace(full, parameters={**full.parameters, "n_estimators": 1, "max_depth": 1})
     models = {
-        "candidate": model.train(parts["train"], _SMALL),
+        "candidate": model.train(parts["train"], full),
         "baseline": model.train(parts["train"], stump),
     }
     return model.evaluate(models, parts, Settings.from_session(spark))
