@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidewire.llm.decontaminate import op8_decontaminate
+from tidewire.llm.divergence import OP12_SQL, op12_divergence
 from tidewire.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidewire.llm.language_id import op10_language_id
 from tidewire.llm.license_scan import op3_license_scan
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
+    "op12_divergence": op12_divergence,
 }
 
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
+    "op12_divergence": OP12_SQL,
 }
