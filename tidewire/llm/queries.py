@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewire.llm.conversations import OP11_SQL, op11_conversation_repair
 from tidewire.llm.decontaminate import op8_decontaminate
 from tidewire.llm.divergence import OP12_SQL, op12_divergence
 from tidewire.llm.exact_dedup import OP4_SQL, op4_exact_dedup
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_divergence": op12_divergence,
 }
 
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op12_divergence": OP12_SQL,
 }
