@@ -13,6 +13,7 @@ from tidewire.llm.packing import op7_packing
 from tidewire.llm.pii_scan import op6_pii_scan
 from tidewire.llm.quality import op1_quality
 from tidewire.llm.secret_scan import op9_secret_scan
+from tidewire.llm.simhash import op13_simhash
 from tidewire.llm.toxicity import op5_toxicity
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_divergence": op12_divergence,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLES = {
