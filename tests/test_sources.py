@@ -211,3 +211,45 @@ def test_misfits_by_campaign(spark):
     rows = spark.createDataFrame([("x", "1"), ("x", "b"), ("y", None)], "campaign string, port string")
     got = {(r["campaign"], r["row_count"], r["null_count"], r["misfit_count"]) for r in profile.type_misfits(rows, "campaign", {"port": "bigint"}).collect()}
     assert got == {("x", 2, 0, 1), ("y", 1, 1, 0)}
+
+
+def test_records_of_many_lines_and_cells(spark, tmp_path):
+    """Quoted line breaks, doubled quotes, blank lines, and 20 000 quoted cells in a record."""
+    many = ",".join(f'"{n}, ""{n}"""' for n in range(20_000))
+    names = ",".join(f"c{n}" for n in range(20_000))
+    (tmp_path / "a.csv").write_text(f'name,note,{names}\n\n"x ""y""","one\n\ntwo, three\n",{many}\nplain,,{many}\n   \n')
+    (tmp_path / "b.csv").write_text('note,name\n"a\n""b""",z\n')
+    got = tables.read_csv_by_header(spark, f"{tmp_path}/*.csv", ["name", "note", "c19999"]).orderBy("_position").drop("_position").collect()
+    last = '19999, "19999"'
+    assert [tuple(r) for r in got] == [('x "y"', "one\n\ntwo, three\n", last), ("plain", None, last), ("z", 'a\n"b"', None)]
+
+
+def test_records_across_blocks(spark, tmp_path):
+    """One file read in many blocks; its records are longer than a block."""
+    note = "\n".join(f"line {n}, of a note" for n in range(60))
+    (tmp_path / "a.csv").write_text("name,note\n" + "".join(f'{n},"{note}"\n' for n in range(50)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        rows = tables.read_csv_by_header(spark, f"{tmp_path}/a.csv", ["name", "note"]).orderBy("_position").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r["name"], r["note"]) for r in rows] == [(str(n), note) for n in range(50)]
+
+
+def test_campaigns_of_other_types(spark, tmp_path):
+    spark.createDataFrame([(1, 5, "a")], "id long, n long, only string").write.parquet(f"{tmp_path}/one/flows.parquet")
+    spark.createDataFrame([(2, 1.5)], "id int, n double").write.parquet(f"{tmp_path}/two/flows.parquet")
+    spark.createDataFrame([(3, "x")], "id long, n string").write.parquet(f"{tmp_path}/three/flows.parquet")
+    assert tables.common_type("bigint", "double") == "double" and tables.common_type("bigint", "float") == "double"
+    two = tables.read_flows(spark, f"{tmp_path}/t[w]*/flows.parquet")
+    assert two.schema["n"].dataType.simpleString() == "double"
+    rows = tables.read_flows(spark, f"{tmp_path}/*/flows.parquet").orderBy("id").collect()
+    assert [(r["id"], r["n"], r["only"]) for r in rows] == [(1, "5", "a"), (2, "1.5", None), (3, "x", None)]
+    with pytest.raises(FileNotFoundError):
+        tables.read_flows(spark, f"{tmp_path}/none/*.parquet")
+
+
+def test_blank_lines_are_short(spark):
+    lines = ["", "   ", ",".join([""] * 15), ",".join([""] * 14)]
+    assert [r["reject_reason"] for r in parse(spark, *lines)] == ["short_line", "short_line", "bad_time", "short_line"]

@@ -124,7 +124,8 @@ def packet_lines(spark: SparkSession, folder: str) -> DataFrame:
     quoted = ", ".join(f"concat('\"', {field}, '\"')" for field in fields)
     return events.selectExpr(
         "seq",
-        f"if(seq % 97 = 0, '\"1.0\",\"10.0.0.1\"', concat_ws(',', {quoted})) as value",
+        f"case when seq % 97 = 0 then '\"1.0\",\"10.0.0.1\"' when seq % 73 = 0 then ''"
+        f" when seq % 67 = 0 then '   ' else concat_ws(',', {quoted}) end as value",
     )
 
 

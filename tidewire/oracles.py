@@ -481,7 +481,7 @@ _WITH_VIEWS = _with(_CAPTURES, _CAPTURE_FLOWS, _SCORED, _DETECTED, _VIEWS)
 # Lines are spelled and then split again, so that the oracle really parses.
 _LINES = """
 lines AS (
-  SELECT seq, CASE WHEN seq % 97 = 0 THEN ['1.0', '10.0.0.1'] ELSE [
+  SELECT seq, CASE WHEN seq % 97 = 0 THEN ['1.0', '10.0.0.1'] WHEN seq % 73 = 0 THEN [''] WHEN seq % 67 = 0 THEN ['   '] ELSE [
     CASE WHEN seq % 83 = 0 THEN '-1.5' WHEN seq % 79 = 0 THEN 'n/a' WHEN seq % 101 = 0 THEN 'nan'
       WHEN seq % 103 = 0 THEN 'Infinity' WHEN seq % 107 = 0 THEN '1e300'
       ELSE (ts_us // 1000000) || '.' || lpad(CAST(ts_us % 1000000 AS VARCHAR), 6, '0') END,
@@ -565,6 +565,21 @@ ORACLES["wide_manifest"] = (
     row_number() OVER (PARTITION BY c_custkey - c_custkey % 3 ORDER BY c_custkey DESC) AS r
   FROM captures) WHERE r = 1"""
 )
+ORACLES["csv_records"] = (
+    _WITH_CAPTURES
+    + """SELECT 'run_' || lpad(CAST(c_custkey - c_custkey % 3 AS VARCHAR), 7, '0') || '.pcap' AS pcap_name,
+  'two' || chr(10) || 'lines, "' || c_custkey || '"' || chr(10) || ',' AS notes, '"59",' AS extra_59, status,
+  CAST(NULL AS VARCHAR) AS absent
+FROM captures"""
+)
+ORACLES["campaign_flows"] = (
+    _WITH_LABELED
+    + """SELECT flow_id, capture_id, campaign_id, start_us,
+  CAST(CASE WHEN o_custkey % 3 <> 1 OR p_milli % 7 <> 0 THEN p_milli END AS DOUBLE) AS p_milli,
+  CASE WHEN o_custkey % 3 <> 1 THEN protocol END AS protocol,
+  CASE WHEN o_custkey % 3 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey
+FROM labeled"""
+)
 _RAW = """
 raw AS (
   SELECT CASE WHEN l_linenumber = 7 THEN NULL WHEN l_returnflag = 'A' THEN 'TCP' ELSE 'UDP' END

@@ -167,6 +167,38 @@ def wide_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def csv_records(spark: SparkSession, folder: str) -> DataFrame:
+    """A manifest with line breaks, commas and doubled quotes in its cells, in long records."""
+    where = scratch_folder(spark, "records")
+    note = F.concat(F.lit('two\nlines, "'), F.col("position").cast("string"), F.lit('"\n,'))
+    rows = fx.manifest_rows(spark, folder).select(
+        "pcap_name", note.alias("notes"), *[F.lit(f'"{n}",').alias(f"extra_{n}") for n in range(60)], "campaign_id", "status"
+    )
+    rows.repartition(3, "pcap_name").write.option("escape", '"').csv(f"{where}/m", header=True)
+    found = tables.read_csv_by_header(spark, f"{where}/m/*.csv", ["pcap_name", "notes", "extra_59", "status", "absent"])
+    return found.drop("_position")
+
+
+@query
+def campaign_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """Three campaigns of flows: whole numbers, fractions, texts, and columns that only some have."""
+    where = scratch_folder(spark, "campaign-flows")
+    flows_ = fx.labeled_flows(spark, folder).select("flow_id", "capture_id", "campaign_id", "start_us", "p_milli", "protocol", "o_custkey")
+    group = F.col("o_custkey") % 3
+    parts = (
+        flows_.where(group == 0).drop("o_custkey"),
+        # As written by a tool that turns a column with a missing value into fractions.
+        flows_.where(group == 1).withColumn("p_milli", F.when(F.col("p_milli") % 7 != 0, F.col("p_milli")).cast("double")).drop("protocol"),
+        flows_.where(group == 2).withColumns({"p_milli": F.col("p_milli").cast("int"), "o_custkey": F.col("o_custkey").cast("string")}),
+    )
+    for number, part in enumerate(parts):
+        part.write.parquet(f"{where}/campaign_{number}/flows.parquet")
+    return tables.read_flows(spark, f"{where}/*/flows.parquet").select(
+        "flow_id", "capture_id", "campaign_id", "start_us", "p_milli", "protocol", "o_custkey"
+    )
+
+
 @query
 def contract_violations(spark: SparkSession, folder: str) -> DataFrame:
     return contract.contract_violations(fx.raw_feature_rows(spark, folder))

@@ -22,19 +22,22 @@ def parse_packet_lines(
 ) -> DataFrame:
     """Parse one packet per line; ``reject_reason`` is null for usable packets.
 
-    A line is rejected when it has fewer fields than expected, no usable time, or a
-    blank address. Everything else is read leniently, with defaults.
+    A line is rejected when it has fewer fields than expected (an empty one has none), no
+    usable time, or a blank address. Everything else is read leniently, with defaults.
     """
     rest = [c for c in lines.columns if c != column]
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
     fields = F.from_csv(F.col(column), F.lit(_CSV_SCHEMA), options)
     # A generator, because the optimizer would copy a plain parse into every use of it.
-    row = lines.select(*rest, F.inline(F.array(fields)))
+    # It gives nothing at all for a line without a field.
+    blank = F.trim(F.coalesce(F.col(column), F.lit(""))) == ""
+    row = lines.select(*rest, blank.alias("_blank"), F.inline(F.array(fields)))
     field = F.col
     # The parser gives null for a blank field and for an absent one, but hands back lines of
     # another number of fields; only in those are commas counted.
     outside_quotes = F.regexp_replace(field("_malformed"), '"[^"]*"', "")
     commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
+    short = F.col("_blank") | F.coalesce(commas < len(PACKET_LINE_FIELDS) - 1, F.lit(False))
 
     ports = {
         f"_{n}": lenient_int(field(n), 0)
@@ -53,7 +56,7 @@ def parse_packet_lines(
             for flag, source in _FLAG_FIELDS.items()
         ],
         lenient_int(field("icmp_type"), -1).alias("icmp_type"),
-        F.when(field("_malformed").isNotNull(), commas < len(PACKET_LINE_FIELDS) - 1).alias("_short"),
+        short.alias("_short"),
     ).withColumn(
         # No time at all, or none that fits, for "nan", "Infinity" and "1e300".
         "_micros", F.round(F.col("_seconds") * 1_000_000).try_cast("long")
