@@ -146,7 +146,8 @@ def test_product_counts_every_pair():
     sets = [np.unique(pick.integers(0, 60, 25)).astype(np.uint64) for _ in range(30)]
     settings, size = ngram_join.Settings(), np.array([len(s) for s in sets])
     linked = {(a, b) for a in range(30) for b in range(a) if settings.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))}
-    found = ngram_join.spanning_links(np.arange(30), sets, ngram_join.linked_sets(size, settings), 7)
+    narrow = ngram_join.Settings(columns_at_once=7)
+    found = ngram_join.forest(np.arange(30), ngram_join.linked_sets([x.tobytes() for x in sets], size, narrow))
     groups = [{i} for i in range(30)]
     for a, b in linked:
         one, two = next(g for g in groups if a in g), next(g for g in groups if b in g)
@@ -166,17 +167,31 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_bound_discards_no_link():
-    """Parts in the same order: what the bound discards is never linked."""
+def test_sketches_discard_no_link():
+    """What sketches discard is never linked, also where they have other numbers of bits."""
     pick = np.random.default_rng(4)
-    settings = ngram_join.Settings()
-    for _ in range(40):
-        base = pick.permutation(400)[: pick.integers(5, 120)]
-        sets = [np.sort(np.setdiff1d(np.union1d(base, pick.integers(0, 400, pick.integers(0, 30))), pick.integers(0, 400, 30))) for _ in range(8)]
+    settings, discarded = ngram_join.Settings(), 0
+    for _ in range(60):
+        base = pick.integers(0, 1 << 62, pick.integers(5, 200)).astype(np.uint64)
+        sets = []
+        for _ in range(8):
+            own = base[pick.random(len(base)) < pick.choice([0.5, 0.9, 1.0])]
+            sets.append(np.unique(np.concatenate([own, pick.integers(0, 1 << 62, pick.integers(0, 40)).astype(np.uint64)])))
         sets = [x for x in sets if len(x)]
         size = np.array([len(x) for x in sets])
-        first = [x[:k] for x, k in zip(sets, settings.first(size))]
-        parts = np.array([[len(np.intersect1d(a, b)) for b in first] for a in first])
-        whole = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
-        linked = ngram_join.linked_sets(size, settings)(whole)
-        assert not (linked & ~ngram_join.possibly_linked_sets(size, settings)(parts)).any()
+        whole = ngram_join.linked_sets([x.tobytes() for x in sets], size, settings)
+        may = ngram_join.possibly_linked(ngram_join.sketches(np.concatenate(sets), size), size, settings)
+        assert (may == may.T).all() and not (whole & ~may).any()
+        discarded += int((~may & ~whole).sum())
+    assert discarded
+
+
+def test_unrelated_rows_without_an_id_stay(spark):
+    """Rows with no id, or with the same, are told apart by their texts."""
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(None, a), (1, a), (None, b), (2, b + " x"), (2, a + " y z q"), (3, ""), (3, ""), (None, None)]
+    left = ngram_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([(1, a), (None, b), (2, b + " x"), (2, a + " y z q"), (3, ""), (3, ""), (None, None)], key=str)
+    same = [(None, a), (None, a), (5, a + " end"), (5, a + " end"), (None, b)]
+    left = ngram_join.one_of_each_group(spark.createDataFrame(same, "doc_id long, text string"))
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([(5, a + " end"), (None, b)], key=str)

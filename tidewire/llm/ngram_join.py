@@ -9,12 +9,15 @@ The incidence matrix of documents by shingles is never multiplied as a whole.
    only these columns are laid out, in blocks of columns. Within a column, classes whose sizes
    are too far apart to be linked, with nothing in between, part ways.
 3. The classes of a column meet at one of them, the pivot, the one whose shingles are the most
-   common; a large family of near copies so meets around its original, in most columns. The
-   laid-out rows of a pivot's classes are multiplied, which accumulates overlaps of all pairs.
-   What two sets share beyond is bounded by what is left of the set whose laid-out part ends
-   first, and pairs that stay below the bound from their sizes even so are discarded. What
-   remains connects classes to families.
-4. The whole sets of a family are multiplied, and pairs below the bound are discarded again.
+   common; a large family of near copies so meets around its original, in most columns. For
+   classes that only ever meet alone, the columns they share are counted; what two sets share
+   beyond them is bounded by what is left of the set whose laid-out part ends first, and pairs
+   below the bound from their sizes are discarded. The classes of a pivot then show their
+   sketches: about a bit per shingle, each the parity of the shingles that fall on it. Two
+   sketches differ in no more bits than their sets in shingles, so pairs that differ in too
+   many are discarded, and no other. What remains connects classes to families.
+4. The whole sets of a family are multiplied, which accumulates the overlaps of all pairs, and
+   those below the bound from their sizes are discarded.
 
 Products go block by block of classes and return a spanning forest, never a list of pairs. A
 pivot or family with more classes than a block holds is multiplied block against block, but
@@ -27,7 +30,8 @@ from sharing a column by chance. It comes from counts that leave out what is rar
 task; tables of common shingles and words have at most ``common_kept`` rows.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing;
-repeated rows are linked with each other; null ids take part and come back as null; columns
+repeated rows are linked with each other; null ids take part and come back as null, and come
+after all others where one row of a group is to stay; an empty table gives no rows; columns
 other than ``doc_id`` and ``text`` are ignored. Sets are told apart by 64-bit hashes.
 """
 
@@ -41,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import BROADCAST_ROWS, doc_columns, flat, map_batches, sent, slices, table, without
+from tidewire.llm.common import BROADCAST_ROWS, doc_columns, flat, free_name, map_batches, sent, slices, table, without
 from tidewire.llm.components import components
 from tidewire.llm.shingles import mix, shingle_sets, signatures, weighed_sets, word_hashes
 from tidewire.plans.durable import durable
@@ -142,9 +146,21 @@ def _frequencies(docs: DataFrame, settings: Settings) -> Frequencies:
     return Frequencies(*most(0), words, np.round(np.log2(np.maximum(counts, 1)) * 16).astype(np.int64))
 
 
+def sketches(sets: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """For every set the parities of its shingles over a power of two of bits, as many as it
+    has shingles or up to twice as many. Half as many bits are the two halves' difference."""
+    bits = np.int64(1) << np.ceil(np.log2(np.maximum(size, 64))).astype(np.int64)
+    begins = np.cumsum(bits) - bits
+    text = np.repeat(np.arange(len(size)), size)
+    place = begins[text] + (sets & (bits[text] - 1).astype(np.uint64)).astype(np.int64)
+    parity = (np.bincount(place, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    packed = np.packbits(parity, bitorder="little").tobytes()
+    return [packed[b // 8 : (b + n) // 8] for b, n in zip(begins.tolist(), bits.tolist())]
+
+
 def _classes(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Per row: doc_id, n_shingles, class (null for an empty set), and, once per task and
-    class, how common its shingles are and the ``first`` ones."""
+    """Per row: doc_id, mark, n_shingles, class (null for an empty set), and, once per task and
+    class, how common its shingles are, the ``first`` ones, and the sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, settings))
 
     def run(batches):
@@ -161,6 +177,7 @@ def _classes(docs: DataFrame, settings: Settings) -> DataFrame:
                 known = np.bincount(text, np.log1p(times), minlength=len(size)) / np.maximum(size, 1)
                 ranked, begins = sets[order], ends - size
                 take = settings.first(size)
+                drawn = sketches(sets, size)
                 blobs: list[bytes | None] = []
                 for i, name in enumerate(names.tolist()):
                     if size[i] and name not in seen:
@@ -168,12 +185,14 @@ def _classes(docs: DataFrame, settings: Settings) -> DataFrame:
                         blobs.append(ranked[begins[i] : begins[i] + take[i]].tobytes())
                     else:
                         blobs.append(None)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size), pa.array(names, mask=size == 0), pa.array(known.astype(np.float32)), pa.array(blobs, pa.binary())],
-                    names=["doc_id", "n_shingles", "class", "common", "first"],
-                )
+                        drawn[i] = None
+                columns = [pa.array(size), pa.array(names, mask=size == 0), pa.array(known.astype(np.float32)), pa.array(blobs, pa.binary()), pa.array(drawn, pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), *columns], names=_CLASS_COLUMNS)
+
+    return map_batches(docs, run, "doc_id bigint, mark bigint, n_shingles bigint, class bigint, common float, first binary, sketch binary")
 
-    return map_batches(docs, run, "doc_id bigint, n_shingles bigint, class bigint, common float, first binary")
+
+_CLASS_COLUMNS = ["doc_id", "mark", "n_shingles", "class", "common", "first", "sketch"]
 
 
 # --- columns --------------------------------------------------------------------------------
@@ -186,10 +205,10 @@ def _meetings(classes: DataFrame, settings: Settings) -> DataFrame:
     are discarded if it is below their bound. If they share another column with more classes
     as well, they meet at its pivot too.
     """
-    spark = classes.sparkSession
     laid = classes.where(F.col("first").isNotNull()).select("class", "n_shingles", "common", "first")
     postings = (laid.agg(F.sum(F.length("first"))).first()[0] or 0) // 8
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), postings // settings.block_postings + 1)
+    # Classes that share many columns meet once in every block: no more blocks than needed.
+    blocks = postings // settings.block_postings + 1
 
     def lay_out(batches):
         for batch in (b.slice(i, 1 << 15) for b in batches for i in range(0, b.num_rows, 1 << 15)):
@@ -260,27 +279,12 @@ def _meetings(classes: DataFrame, settings: Settings) -> DataFrame:
 # --- products -------------------------------------------------------------------------------
 
 
-def spanning_links(names: np.ndarray, rows: list[np.ndarray], judge, columns_at_once: int, split: int | None = None) -> list[tuple[int, int]]:
-    """A spanning forest over some sets, by a product over blocks of columns.
+def forest(names: np.ndarray, linked: np.ndarray, split: int | None = None) -> list[tuple[int, int]]:
+    """A spanning forest over sets, from the matrix that tells which pairs are to be connected.
 
-    ``judge`` says, for the matrix of overlaps, which pairs are to be connected. With
-    ``split``, only pairs of one of the first ``split`` sets and one of the others count.
+    With ``split``, only pairs of one of the first ``split`` sets and one of the others count.
     """
-    count = len(rows)
-    owner = np.repeat(np.arange(count), np.fromiter(map(len, rows), np.int64, count))
-    _, column, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    shared = times[column] > 1
-    owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
-    overlap = np.zeros((count, count), np.float32)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    cuts = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + columns_at_once, columns_at_once)) if len(column) else []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        part = np.zeros((count, int(column[b - 1] - column[a]) + 1), np.float32)
-        # Added, since half hashes of one set may be equal; that, too, only raises overlaps.
-        np.add.at(part, (owner[a:b], column[a:b] - column[a]), 1)
-        overlap += part @ part.T
-    linked = judge(overlap.astype(np.int64))
+    count = len(names)
     if split is not None:
         linked[:split, :split] = False
         linked[split:, split:] = False
@@ -298,20 +302,47 @@ def spanning_links(names: np.ndarray, rows: list[np.ndarray], judge, columns_at_
     return found
 
 
-def linked_sets(size: np.ndarray, settings: Settings):
-    """Judges overlaps of whole sets."""
-    return lambda overlap: settings.linked(overlap, size[:, None], size[None, :])
+def linked_sets(rows: list[bytes], size: np.ndarray, settings: Settings) -> np.ndarray:
+    """Which pairs of whole sets are linked: their product, over blocks of columns."""
+    sets = [np.frombuffer(x, "<u8") for x in rows]
+    count = len(sets)
+    owner = np.repeat(np.arange(count), np.fromiter(map(len, sets), np.int64, count))
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    overlap = np.zeros((count, count), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    wide = settings.columns_at_once
+    cuts = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + wide, wide)) if len(column) else []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        part = np.zeros((count, int(column[b - 1] - column[a]) + 1), np.float32)
+        part[owner[a:b], column[a:b] - column[a]] = 1
+        overlap += part @ part.T
+    return settings.linked(overlap.astype(np.int64), size[:, None], size[None, :])
 
 
-def possibly_linked_sets(size: np.ndarray, settings: Settings):
-    """Judges overlaps of laid-out parts: False only for pairs that cannot be linked."""
-    rest = size - settings.first(size)
+def possibly_linked(rows: list[bytes], size: np.ndarray, settings: Settings) -> np.ndarray:
+    """False only for pairs that cannot be linked: their sketches differ in too many bits."""
+    words = np.fromiter((len(x) // 8 for x in rows), np.int64, len(rows))
+    linked = np.zeros((len(rows), len(rows)), bool)
+    for wide in np.unique(words):
+        # Sizes that may be linked are at most a doubling of bits apart.
+        own, other = np.flatnonzero(words == wide), np.flatnonzero((words == wide) | (words == 2 * wide))
+        one = np.stack([np.frombuffer(rows[i], "<u8") for i in own])
+        two = np.stack([_halved(np.frombuffer(rows[i], "<u8"), int(wide)) for i in other])
+        for a in range(0, len(own), step := max(1, (1 << 22) // (len(other) * int(wide)))):
+            differ = np.bitwise_count(one[a : a + step, None, :] ^ two[None, :, :]).sum(2, dtype=np.int64)
+            n, m = size[own[a : a + step], None], size[None, other]
+            most = np.minimum((n + m - differ) // 2, np.minimum(n, m))
+            near = settings.linked(most, n, m)
+            linked[np.ix_(own[a : a + step], other)] = near
+            linked[np.ix_(other, own[a : a + step])] |= near.T
+    return linked
 
-    def judge(overlap: np.ndarray) -> np.ndarray:
-        most = np.minimum(overlap + np.maximum(rest[:, None], rest[None, :]), np.minimum(size[:, None], size[None, :]))
-        return (overlap > 0) & settings.linked(most, size[:, None], size[None, :])
 
-    return judge
+def _halved(sketch: np.ndarray, words: int) -> np.ndarray:
+    return sketch if len(sketch) == words else sketch[:words] ^ sketch[words:]
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -340,24 +371,18 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def _multiply(units: DataFrame, judge_of, settings: Settings) -> DataFrame:
-    """Links within each unit of (unit, side, class, n, row); with two sides, only across.
-
-    A row holds whole hashes, or halves of them, as its column ``half`` says.
-    """
+def _multiply(units: DataFrame, judge, settings: Settings) -> DataFrame:
+    """Links within each unit of (unit, side, class, n, row); with two sides, only across."""
 
     def run(batches):
         for part in _runs(batches, ["unit"]):
             side, names, size = (np.asarray(part.column(c).to_pylist(), np.int64) for c in ("side", "class", "n"))
-            kinds = ["<u4" if half else "<u8" for half in part.column("half").to_pylist()]
-            rows = [np.frombuffer(x, kind) for x, kind in zip(part.column("row").to_pylist(), kinds)]
             _, once = np.unique(np.stack([side, names], 1), axis=0, return_index=True)
             if len(once) < 2:
                 continue
+            rows = part.column("row").take(pa.array(once)).to_pylist()
             split = int((side[once] == 0).sum())
-            found = spanning_links(
-                names[once], [rows[i] for i in once], judge_of(size[once], settings), settings.columns_at_once, split if split < len(once) else None
-            )
+            found = forest(names[once], judge(rows, size[once], settings), split if split < len(once) else None)
             if found:
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -366,12 +391,12 @@ def _multiply(units: DataFrame, judge_of, settings: Settings) -> DataFrame:
     return map_batches(units.repartition(parts, "unit").sortWithinPartitions("unit"), run, "a bigint, b bigint")
 
 
-_UNIT_COLUMNS = ["unit", "side", "class", "n", "row", "half"]
-_UNIT_SCHEMA = "unit bigint, side int, class bigint, n bigint, row binary, half boolean"
+_UNIT_COLUMNS = ["unit", "side", "class", "n", "row"]
+_UNIT_SCHEMA = "unit bigint, side int, class bigint, n bigint, row binary"
 
 
-def _connect(members: DataFrame, fetch, judge_of, shingles_per_block: int, settings: Settings) -> DataFrame:
-    """Links that connect, within every group, whatever ``judge_of`` connects.
+def _connect(members: DataFrame, fetch, judge, shingles_per_block: int, settings: Settings) -> DataFrame:
+    """Links that connect, within every group, whatever ``judge`` connects.
 
     ``members``: group, class, doc_id (of one of its texts), n. ``fetch`` adds to rows with
     these the ``row`` of the class.
@@ -383,7 +408,7 @@ def _connect(members: DataFrame, fetch, judge_of, shingles_per_block: int, setti
     columns = ["unit", "side", "class", "doc_id", "n"]
 
     def product(units: DataFrame) -> DataFrame:
-        return durable(_multiply(fetch(sent(durable(units.select(*columns)), settings.broadcast_rows)), judge_of, settings))
+        return durable(_multiply(fetch(sent(durable(units.select(*columns)), settings.broadcast_rows)), judge, settings))
 
     inside = held.withColumns({"unit": F.xxhash64("group", "block"), "side": F.lit(0)})
     links = product(inside)
@@ -410,27 +435,14 @@ def _connect(members: DataFrame, fetch, judge_of, shingles_per_block: int, setti
 def _links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     """Enough links between classes to connect whatever links connect."""
     laid = classes.where(F.col("first").isNotNull())
-    known = durable(laid.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")))
+    known = durable(laid.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("row")))
     met = durable(_meetings(classes, settings))
     # A pivot is a member of its own group.
     met = met.select("pivot", "class").unionByName(met.select("pivot", F.col("pivot").alias("class"))).distinct()
-    meetings = durable(met.withColumnRenamed("pivot", "group").join(known, "class"))
+    meetings = durable(met.withColumnRenamed("pivot", "group").join(known.drop("row"), "class"))
 
-    def halve(batches):
-        # Taking two columns for one can only raise an overlap, and what is bounded here is
-        # the most that two sets may share.
-        for batch in batches:
-            raw, offsets = flat(batch.column("row"))
-            short = mix(raw.view(np.uint64)).astype("<u4") if len(raw) else np.zeros(0, "<u4")
-            blobs = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(offsets // 2), pa.py_buffer(short)])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], blobs.cast(pa.binary()), pa.array(np.ones(batch.num_rows, bool))], names=_UNIT_COLUMNS
-            )
-
-    def laid_out(units: DataFrame) -> DataFrame:
-        rows = laid.select(F.col("class").alias("c"), F.col("doc_id").alias("d"), F.col("first").alias("row"))
-        same = (F.col("c") == F.col("class")) & F.col("d").eqNullSafe(F.col("doc_id"))
-        return map_batches(rows.join(units, same).select("unit", "side", "class", "n", "row"), halve, _UNIT_SCHEMA)
+    def sketched(units: DataFrame) -> DataFrame:
+        return known.select("class", "row").join(units, "class").select(*_UNIT_COLUMNS)
 
     def whole(units: DataFrame) -> DataFrame:
         def run(batches):
@@ -440,22 +452,21 @@ def _links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame
                     ends = np.cumsum(size)
                     own = signatures(sets, size).view(np.int64) == np.asarray(part.column("class"))
                     blobs = [sets[e - n : e].tobytes() for e, n in zip(ends, size)]
-                    out = pa.RecordBatch.from_arrays(
-                        [*(part.column(c) for c in _UNIT_COLUMNS[:4]), pa.array(blobs, pa.binary()), pa.array(np.zeros(part.num_rows, bool))], names=_UNIT_COLUMNS
-                    )
+                    out = pa.RecordBatch.from_arrays([*(part.column(c) for c in _UNIT_COLUMNS[:4]), pa.array(blobs, pa.binary())], names=_UNIT_COLUMNS)
                     yield out.filter(pa.array(own))
 
         texts = docs.select(F.col("doc_id").alias("d"), "text").join(units, F.col("d").eqNullSafe(F.col("doc_id")))
         return map_batches(texts.select("unit", "side", "class", "n", "text"), run, _UNIT_SCHEMA)
 
-    may = _connect(meetings, laid_out, possibly_linked_sets, settings.block_shingles * 4, settings)
+    may = _connect(meetings, sketched, possibly_linked, settings.block_shingles * 32, settings)
     families = durable(components(may)).select(F.col("node").alias("class"), F.col("root").alias("group"))
-    return _connect(families.join(known, "class"), whole, linked_sets, settings.block_shingles, settings)
+    return _connect(families.join(known.drop("row"), "class"), whole, linked_sets, settings.block_shingles, settings)
 
 
-def similar_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
-    texts = doc_columns(docs)
+def _grouped(docs: DataFrame, settings: Settings) -> DataFrame:
+    """Per row: doc_id, mark (a hash of its text), n_shingles, class, and its component by a
+    class (root) and by its smallest doc_id; those of an empty set are null."""
+    texts = doc_columns(docs).withColumn("mark", F.xxhash64("text"))
     classes = durable(_classes(texts, settings))
     roots = components(_links(texts, classes, settings))
     smallest = classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("smallest"))
@@ -463,16 +474,35 @@ def similar_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFram
         smallest.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select("class", "smallest", F.coalesce("root", "class").alias("root"))
     )
     least = durable(rooted.groupBy("root").agg(F.min("smallest").alias("component_id")))
-    found = durable(rooted.join(least, "root").select("class", "component_id"))
-    return classes.select("doc_id", "n_shingles", "class").join(found, "class", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    found = durable(rooted.join(least, "root").select("class", "root", "component_id"))
+    return classes.select("doc_id", "mark", "n_shingles", "class").join(found, "class", "left")
+
+
+def similar_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return _grouped(docs, settings).select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def one_of_each_group(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Rows of ``docs`` with the smallest id of their group; rows of one id stay together."""
-    gone = similar_groups(docs, settings).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return without(docs, durable(gone.select("doc_id").distinct()), "doc_id")
+    """One row of ``docs`` for each group, that with the smallest id (of texts with the same
+    id, one), and all rows without words."""
+    grouped = durable(_grouped(docs, settings).where("root is not null").select("doc_id", "mark", "root"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first")
+    groups = durable(grouped.groupBy("root").agg(first, F.count(F.lit(1)).alias("rows")).where("rows > 1"))
+    members = grouped.join(sent(groups.select("root", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark")), settings.broadcast_rows), "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))
+    gone = durable(members.where(~stays).select("doc_id", "mark").distinct())
+    # The row that stays may stand several times.
+    often = durable(members.where(stays).groupBy("doc_id", "mark").count().where("count > 1").select("doc_id", "mark"))
+    mark = free_name(docs, "mark")
+    marked = docs.withColumn(mark, F.xxhash64(F.col("text").cast("string")))
+    keys = ["doc_id", mark]
+    gone, often = (x.withColumnRenamed("mark", mark) for x in (gone, often))
+    left = without(marked, gone, *keys)
+    once = without(left, often, *keys)
+    again = left.join(sent(often), left["doc_id"].eqNullSafe(often["doc_id"]) & (left[mark] == often[mark]), "left_semi").dropDuplicates(keys)
+    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
