@@ -58,6 +58,16 @@ def test_index_remembers(spark):
     assert again.rows().count() == 3
 
 
+def test_a_batch_added_again_keeps_its_rows(spark):
+    """As after a job that ended between the append and its answer."""
+    index = exact_dedup.DigestIndex(spark, scratch_folder(spark, "test-index"), 4)
+    rows = spark.createDataFrame([(1, "a b"), (2, "ab"), (3, "c")], "doc_id long, text string")
+    first = sorted(map(tuple, index.add(rows).collect()))
+    assert sorted(map(tuple, index.add(rows.repartition(3)).collect())) == first and index.rows().count() == 2
+    assert [r["kept"] for r in index.add(rows, "another").collect()] == [False] * 3
+    assert {r["kept"] for r in index.add(rows.where("doc_id = 3"), "third").collect()} == {False}
+
+
 def test_kept_documents(spark, odd):
     kept = exact_dedup.kept_documents(odd, exact_dedup.fresh_index(spark))
     assert kept.columns == odd.columns

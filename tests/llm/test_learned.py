@@ -95,3 +95,98 @@ def test_hashing_does_not_depend_on_company():
     one = hasher.sets(["a b c d e"])[0]
     both = hasher.sets(["a b c d e", "f g"])
     assert (both[0][: both[2][0]] == one).all()
+
+
+def test_numerals_are_no_letters():
+    model = language_id.Model({"de": b"ein Wort und noch ein Wort ", "en": b"a word and one more word "})
+    for text in ("½ ² ³", "Ⅷ ⅷ", "́́", "①②", "_ - 12"):
+        assert model.classify(text) == ("und", 0.0, True), text
+    assert language_id.letters("10½kg Été² été x") == "kg été x"
+
+
+def test_words_are_drawn_from_the_whole_text():
+    words = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100]}" for i in range(1000)]
+    drawn = language_id.drawn_words(" ".join(words), 1000).decode().split()
+    places = [words.index(w) for w in drawn]
+    assert places == sorted(places) and 150 < len(drawn) <= 200 and places[0] < 100 and places[-1] > 900
+    assert language_id.drawn_words("a b a", 100) == b"a b"
+
+
+def test_language_sizes_are_those_of_plain_compression():
+    """Every size against zstandard with a dictionary made here."""
+    import zstandard
+
+    raw = {"en": b"the words of a text and the next " * 9, "de": "die Wörter eines Textes und der nächste ".encode() * 9}
+    model = language_id.Model(raw)
+    for text in ("die Wörter eines Textes", "the next words " * 3, "Wort " * 50 + "x" * 4000):
+        plain = language_id.letters(text)
+        want = []
+        for lang in sorted(raw):
+            shared = zstandard.ZstdCompressionDict(raw[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            shared.precompute_compress(compression_params=zstandard.ZstdCompressionParameters(**language_id._PARAMETERS))
+            own = zstandard.ZstdCompressor(dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False)
+            blocks = [plain[i : i + 2000] for i in range(0, len(plain), 2000)]
+            want.append(sum(len(own.compress(b.encode() + b" " * 128)) for b in blocks))
+        assert model.sizes(plain).tolist() == want
+        best, other = sorted(want)
+        assert model.classify(text) == (sorted(raw)[want.index(best)], (other - best) / other, (other - best) / other < 0.02)
+
+
+def test_ftrl_is_that_of_a_plain_loop():
+    """Weights against one coordinate at a time, over dicts."""
+    settings = toxicity.Settings(bits=8, least_rows=1, epochs=1)
+    pick = np.random.default_rng(4)
+    rows = [(np.unique(pick.integers(0, 256, 6)), None) for _ in range(40)]
+    rows = [(at, np.ones(len(at))) for at, _ in rows]
+    labels = pick.integers(0, 2, 40)
+    own = toxicity.train_shard(rows, labels, settings)
+    rarer = min(max((40 - labels.sum()) / labels.sum(), 1.0), 50.0) ** 0.5
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0)) <= settings.l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return (sign * settings.l1 - z[i]) / ((settings.beta + n[i] ** 0.5) / settings.alpha + settings.l2)
+
+    for i in np.random.default_rng(7).permutation(40):
+        at = [*rows[i][0].tolist(), 256]
+        w = {a: weight(a) for a in at}
+        p = 1 / (1 + np.exp(-sum(w.values())))
+        g = (p - labels[i]) * (rarer if labels[i] else 1.0)
+        for a in at:
+            sigma = ((n.get(a, 0) + g * g) ** 0.5 - n.get(a, 0) ** 0.5) / settings.alpha
+            z[a] = z.get(a, 0) + g - sigma * w[a]
+            n[a] = n.get(a, 0) + g * g
+    for a in range(257):
+        assert own.z[a] == pytest.approx(z.get(a, 0)) and own.n[a] == pytest.approx(n.get(a, 0))
+
+
+def test_preference_weights_are_a_minimum():
+    """No step along any weight lowers the loss over all pairs."""
+    pick = np.random.default_rng(6)
+    good, bad = pick.normal(0.5, 1, (60, 4)), pick.normal(-0.5, 1, (30, 4))
+    settings = quality.Settings()
+    weights = quality.bradley_terry(good, bad, settings)
+    turns = range(60 * settings.pairs_per_row)
+    pairs = [good[t % 60] - bad[(t + t // 60 * 7919) % 30] for t in turns]
+
+    def loss(w):
+        return sum(np.log1p(np.exp(-(p @ w))) for p in pairs) / len(pairs) + settings.penalty * (w @ w) / 2
+
+    for i in range(4):
+        for step in (-1e-3, 1e-3):
+            assert loss(weights + step * np.eye(4)[i]) > loss(weights)
+
+
+def test_cut_is_the_quantile_of_all_labelled_rows(spark):
+    pick = np.random.default_rng(8)
+    values = np.round(pick.normal(size=700), 2)
+    frame = spark.createDataFrame([(float(v),) for v in values], "raw double")
+    ordered = np.sort(values)
+    for share in (0.0, 0.1, 0.5, 0.999, 1.0):
+        place = min(max(int(np.ceil(share * 700 - 1e-9)), 1), 699)
+        low = ordered[place - 1]
+        above = ordered[ordered > low]
+        assert quality.quantile(frame, share, bins=8) == pytest.approx((low + above[0]) / 2 if len(above) else low)
+    assert quality.quantile(frame.limit(0), 0.5) == 0.0

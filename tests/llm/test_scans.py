@@ -142,3 +142,24 @@ def test_odd_tables(odd, nothing):
         assert scan(nothing).count() == 0
     found = {r["doc_id"]: r["licenses"]["n_words"] for r in license_scan.licenses(odd).where("doc_id <> 7").collect()}
     assert (found[1], found[2], found[3], found[4], found[10]) == (0, 0, 0, 6, 1)
+
+
+def test_scans_of_long_repeated_texts_are_quick():
+    """Time in proportion to length: notices of a megabyte, and runs that open tokens without end."""
+    import time
+
+    def took(scan, text):
+        began = time.perf_counter()
+        scan(text)
+        return time.perf_counter() - began
+
+    for scan, text in ((license_scan.scan, "see the mit license and gpl v2 or so. " * 7_000), (secret_scan.scan, "eyJ" * 100_000), (secret_scan.scan, "eyJabcdefgh." * 40_000)):
+        assert took(scan, text * 4) < 8 * took(scan, text) + 0.5
+    found = license_scan.scan("see the mit license and gpl v2 or so. " * 300)
+    assert len(found["base"]) == 300 and len(found["detections"]) == 600
+
+
+def test_signed_tokens_behind_runs_that_fail():
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.SflKxwRJSMeKKF2QT4fw"
+    text = f"eyJeyJeyJ eyJshort. {token} eyJhbGciOiJIUzI1NiJ9.x"
+    assert [text[s:e] for k, s, e in secret_scan.scan(text) if k == "signed_token"] == [token]

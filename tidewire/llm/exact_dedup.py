@@ -59,17 +59,22 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def add(self, docs: DataFrame) -> DataFrame:
+    def add(self, docs: DataFrame, batch: str | None = None) -> DataFrame:
         """Append the batch's new texts; a decision for every row of the batch.
 
-        Returns doc_id, digest, chars, keep_id, group_size, kept. ``keep_id`` is the row that
+        ``batch`` names the batch; by default a hash of its rows does. Texts that the index
+        holds under the same name count as the batch's own, and are not appended again, so a
+        job that ended after the append may simply add the batch once more. Returns doc_id, digest, chars, keep_id, group_size, kept. ``keep_id`` is the row that
         stays, of this batch or of an earlier one; rows of a text that an earlier batch
         brought are all dropped, and ``group_size`` is then its size in that batch. A row that
         stands several times with the same id is ``kept`` each time.
         """
-        batch = uuid.uuid4().hex
         rows = durable(doc_columns(docs).select("doc_id", digest(F.col("text")).alias("digest"), chars(F.col("text")).alias("chars")))
         groups = durable(rows.groupBy("digest").agg(F.min(_rank()).alias("first"), F.count(F.lit(1)).alias("size")))
+        if batch is None:
+            # Whatever the order of rows: sums of their hashes, and how many there are.
+            sums = [F.sum(F.xxhash64(F.lit(seed), "doc_id", "digest", "chars").cast("decimal(20,0)")) for seed in (1, 2)]
+            batch = uuid.uuid5(uuid.NAMESPACE_OID, "|".join(map(str, rows.agg(F.count(F.lit(1)), *sums).first()))).hex
         fresh = groups.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         fresh.select(
             "digest",
@@ -97,6 +102,11 @@ class DigestIndex:
         )
 
 
+def drop_index(index: DigestIndex) -> None:
+    """Forget the index's table; its files stay where they are."""
+    index.spark.sql(f"DROP TABLE IF EXISTS {index.name}")
+
+
 def fresh_index(spark: SparkSession) -> DigestIndex:
     """An empty index in a new folder, with as many buckets as a shuffle has partitions."""
     return DigestIndex(spark, scratch_folder(spark, "digest-index"), int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -119,7 +129,9 @@ def kept_documents(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    decided = fresh_index(spark).add(table(spark, folder, "documents"))
+    index = fresh_index(spark)
+    decided = durable(index.add(table(spark, folder, "documents")))
+    drop_index(index)
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

@@ -8,6 +8,8 @@ as at its beginning. A run of blanks behind every block keeps zstandard from sto
 blocks raw, which would hide small differences. A text whose two best sizes are within
 ``min_margin`` of each other is rejected: the dictionaries do not tell.
 
+Letters are what Unicode calls so; numerals such as a half or a superscript two are none.
+
 Defined results: null, empty and letterless texts are ``und`` with score 0 and rejected;
 ties go to the first language in alphabetical order; without any learned language every
 text is ``und``; rows keep their place and other columns their values.
@@ -16,12 +18,13 @@ text is ``und``; rows keep their place and other columns their values.
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import appended, crc_of_id, doc_columns, free_name, map_batches, slices, strings, table
@@ -31,11 +34,12 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_slots`` rows per language, each of at most ``sample_chars`` code points, are
-    the bounded training sample; ``dictionary_bytes`` of it make a dictionary."""
+    """``sample_slots`` rows for each of at most ``languages`` values of lang, the most frequent
+    ones, are the bounded training sample; ``dictionary_bytes`` of a language's different words
+    make a dictionary."""
 
     sample_slots: int = 64
-    sample_chars: int = 20_000
+    languages: int = 200
     dictionary_bytes: int = 64_000
     block_chars: int = 2_000
     min_margin: float = 0.02
@@ -47,9 +51,34 @@ _PARAMETERS = {"strategy": zstandard.STRATEGY_LAZY, "min_match": 4, "window_log"
 _BLANKS = b" " * 128
 
 
-def letters(text: str) -> str:
+def different_words(text: str) -> list[str]:
     """The different words of letters, in lower case, in the order they first stand in."""
-    return " ".join(dict.fromkeys(_WORD.findall(text.lower())))
+    found = dict.fromkeys(_WORD.findall(text.lower()))
+    if all(map(str.isalpha, found)):
+        return list(found)
+    # The expression takes numerals that are no digits for letters.
+    parts = ("".join(c if c.isalpha() else " " for c in w).split() for w in found)
+    return list(dict.fromkeys(p for own in parts for p in own))
+
+
+def letters(text: str) -> str:
+    return " ".join(different_words(text))
+
+
+def drawn_words(text: str, limit: int) -> bytes:
+    """``letters`` of a text, or as many of its words, drawn by a hash from all of them and
+    left in their order, as have ``limit`` bytes."""
+    words = [w.encode("utf-8", "replace") for w in different_words(text)]
+    if sum(map(len, words)) + len(words) > limit:
+        order = sorted(range(len(words)), key=lambda i: (zlib.crc32(words[i]), i))
+        taken, room = set(), limit
+        for i in order:
+            room -= len(words[i]) + 1
+            if room < 0:
+                break
+            taken.add(i)
+        words = [w for i, w in enumerate(words) if i in taken]
+    return b" ".join(words)
 
 
 @dataclass
@@ -98,19 +127,33 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     """Dictionaries from rows with ``text`` and ``lang``; rows without either do not count.
 
     Per language and slot of the text's hash one text is taken, so that copies count once
-    and no language's rows meet in one place.
+    and no language's rows meet in one place. The task that holds a taken text reduces it to
+    words before it moves.
     """
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang", F.substring("text", 1, settings.sample_chars).alias("text"), F.xxhash64("text").alias("hash")
-    )
-    picked = rows.groupBy("lang", F.pmod("hash", F.lit(settings.sample_slots)).alias("slot")).agg(F.min("hash").alias("hash"))
-    chosen = rows.join(F.broadcast(picked.drop("slot")), ["lang", "hash"])
-    found: dict[str, dict[int, str]] = {}
-    for row in chosen.dropDuplicates(["lang", "hash"]).collect():
-        found.setdefault(row["lang"], {})[row["hash"]] = row["text"]
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("hash"))
+    slot = F.pmod("hash", F.lit(settings.sample_slots)).alias("slot")
+    slots = rows.groupBy("lang", slot).agg(F.min("hash").alias("hash"), F.count(F.lit(1)).alias("rows"))
+    often = F.sum("rows").over(Window.partitionBy("lang"))
+    place = F.dense_rank().over(Window.orderBy(F.desc("often"), "lang"))
+    # At most sample_slots rows for a language; there are languages, not rows, to be ranked.
+    picked = slots.withColumn("often", often).withColumn("place", place).where(F.col("place") <= settings.languages).select("lang", "hash")
+    chosen = rows.join(F.broadcast(picked), ["lang", "hash"])
+
+    def reduce(batches):
+        for batch in batches:
+            for part in slices(batch):
+                words = [drawn_words(t, settings.dictionary_bytes) for t in strings(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("hash"), pa.array(words, pa.binary())], names=["lang", "hash", "words"])
+
+    reduced = map_batches(chosen, reduce, "lang string, hash bigint, words binary").groupBy("lang", "hash").agg(F.min("words").alias("words"))
+    found: dict[str, dict[int, bytes]] = {}
+    for row in reduced.collect():
+        found.setdefault(row["lang"], {})[row["hash"]] = bytes(row["words"])
     dictionaries = {}
     for language, texts in found.items():
-        plain = [letters(texts[h]).encode("utf-8", "replace") for h in sorted(texts)]
+        plain = [texts[h] for h in sorted(texts) if texts[h]]
+        if not plain:
+            continue
         # Every sampled text gives the same share, and what is over goes round again.
         share, parts, left = max(64, settings.dictionary_bytes // len(plain)), [], plain
         while left and sum(map(len, parts)) < settings.dictionary_bytes:

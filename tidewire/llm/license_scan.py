@@ -14,6 +14,7 @@ values.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 import ahocorasick
@@ -152,6 +153,8 @@ _TRIGGER = re.compile("|".join(sorted(_TRIGGERS)))
 # Triggers of two words as they may stand in the raw text, parted by whatever parts words.
 _APART = re.compile("|".join(t.replace(" ", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+") for t in sorted(_TRIGGERS) if " " in t))
 _REACH = 256
+# No match is as long.
+_LONGEST = 4 * _REACH
 _BASE_PATTERNS = tuple((re.compile(rf"(?<= ){phrase}(?= )"), label) for phrase, label in BASE.items())
 
 _automaton = None
@@ -194,20 +197,26 @@ def scan(text: str) -> dict:
     if not present & _TRIGGERS and not _APART.search(low):
         return {"base": [], "detections": []}
     joined = f" {' '.join(_WORD.findall(low))} "
+    blanks = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4") == 0x20)
 
     def word_at(place: int) -> int:
-        return joined.count(" ", 0, place) - 1
+        return int(np.searchsorted(blanks, place)) - 1
 
     base = [(label, word_at(m.start())) for pattern, label in _BASE_PATTERNS for m in pattern.finditer(joined)]
     kept: list[tuple[int, int, Rule]] = []
+    # Detections by where they begin: what holds another begins in the same stretch or the one before.
+    nearby: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for begin, end in _windows(joined):
         near = {word for _, word in _keywords().iter(joined[begin:end])}
         for rule in RULES:
             if not near.issuperset(rule.keywords):
                 continue
             for match in rule.pattern.finditer(joined, begin, end):
-                if not any(s <= match.start() and match.end() <= e for s, e, _ in kept):
-                    kept.append((match.start(), match.end(), rule))
+                first, end = match.span()
+                stretch = first // _LONGEST
+                if not any(s <= first and end <= e for at in (stretch, stretch - 1) for s, e in nearby[at]):
+                    kept.append((first, end, rule))
+                    nearby[stretch].append((first, end))
     found = [(rule.label, word_at(s), word_at(e), rule.weight) for s, e, rule in sorted(kept, key=lambda k: k[:2])]
     return {"base": sorted(base, key=lambda b: b[1]), "detections": found}
 

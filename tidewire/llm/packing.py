@@ -314,7 +314,9 @@ def place(pieces: DataFrame, settings: Settings = Settings()) -> DataFrame:
     shared = spark.sparkContext.broadcast(slots(recipe(histogram, settings)))
     before = Window.partitionBy("_bin").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = counted.select("_bin", "_salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("_bin", "_salt").orderBy("doc_id", "start")
+    # Pieces of repeated ids come in one order, too, so that a retry numbers them alike.
+    order = [c for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens") if c in names]
+    inside = Window.partitionBy("_bin", "_salt").orderBy(*order)
     numbered = (
         binned.withColumn("_number", F.row_number().over(inside) - 1)
         .join(bases, ["_bin", "_salt"])

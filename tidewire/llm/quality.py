@@ -3,8 +3,9 @@
 Every document has a score linear in features of how it is written. Labels are read as
 preferences: a document marked good is preferred to one marked bad, with a probability that is
 the logistic function of their difference in score. The weights minimise the logistic loss on
-the differences of features over such pairs. The cut between good and bad is a quantile of
-the scores: the share of documents that the labels call bad.
+the differences of features over such pairs, made of a bounded sample. The cut between good and
+bad is a quantile of the scores of all documents whose labels may be learnt from: the share of
+them that the labels call bad.
 
 Scores are reported as probabilities, moved so that the cut is at ``threshold``.
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import appended, crc_of_id, doc_columns, map_batches, slices, strings, table
-from tidewire.llm.sampling import labelled_sample
+from tidewire.llm.sampling import labelled_sample, usable_labels
+from tidewire.plans.durable import durable
 
 _SIGNS = re.compile(r"[#$%&*!|~^<>=+\\{}\[\]@_`]")
 FEATURES = (
@@ -164,6 +166,55 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     )
 
 
+def raw_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, raw): what the weights give, before the cut is known."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                rows = np.array([features(t) for t in strings(part.column("text"))], float).reshape(-1, len(FEATURES))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(shared.value.raw(rows))], names=["doc_id", "raw"])
+
+    return map_batches(doc_columns(docs), run, "doc_id bigint, raw double")
+
+
+def quantile(scores: DataFrame, share: float, bins: int = 4096) -> float:
+    """Between the last of the least ``share`` of the rows of ``raw`` and the first of the rest.
+
+    Exact: rows are counted in ``bins`` stretches, and then in those of the stretch that holds
+    the place, until a stretch holds one value; what comes to the driver are counts.
+    """
+    low, high, rows = scores.agg(F.min("raw"), F.max("raw"), F.count("raw")).first()
+    if not rows:
+        return 0.0
+    place = min(max(math.ceil(share * rows - 1e-9), 1), max(rows - 1, 1))
+    below = 0  # rows under ``low``
+    while low < high:
+        step = (high - low) / bins
+        if not step:
+            break
+        inside = scores.where(F.col("raw").between(low, high))
+        at = F.least(F.floor((F.col("raw") - low) / step), F.lit(bins - 1))
+        counts = inside.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high"))
+        for row in sorted(counts.collect(), key=lambda r: r["at"]):
+            if below + row["n"] >= place:
+                low, high = row["low"], row["high"]
+                break
+            below += row["n"]
+    above = scores.where(F.col("raw") > low).agg(F.min("raw")).first()[0]
+    return low if above is None else (low + above) / 2
+
+
+def cut_by_labels(model: Model, scores: DataFrame, labels: DataFrame) -> Model:
+    """``model`` with its cut at the quantile of all of ``scores`` (a stored table) that have a
+    label to learn from; the share below it is that of the labels that say bad."""
+    own = usable_labels(labels, "quality", crc_of_id(5) != 0)
+    known = durable(scores.where("raw is not null").join(own, "doc_id").select("raw", "label"))
+    rows, bad = known.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 0)).first()
+    return replace(model, cut=quantile(known, bad / rows)) if rows and 0 < bad < rows else model
+
+
 def with_features(docs: DataFrame) -> DataFrame:
     """``docs`` with a column ``features``; its ``text`` is given up."""
     rest = [c for c in docs.columns if c != "text"]
@@ -192,12 +243,13 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     settings = Settings()
-    model = train(documents, table(spark, folder, "labels"), settings)
-    return scored(doc_columns(documents), model).select(
-        "doc_id",
-        F.coalesce(crc_of_id(5) == 0, F.lit(False)).alias("held_out"),
-        F.col("quality_score").alias("score"),
-        (F.col("quality_score") >= settings.threshold).cast("int").alias("predicted"),
+    model = train(documents, labels, settings)
+    scores = durable(raw_scores(documents, model))
+    model = cut_by_labels(model, scores, labels)
+    moved = model.slope * (F.col("raw") - model.cut) + math.log(model.threshold / (1 - model.threshold))
+    score = 1 / (1 + F.exp(-F.greatest(F.least(moved, F.lit(30.0)), F.lit(-30.0))))
+    return scores.select("doc_id", F.coalesce(crc_of_id(5) == 0, F.lit(False)).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= settings.threshold).cast("int")
     )

@@ -77,6 +77,9 @@ _RULES = {
     "service_token": (_SERVICE, lambda m: True),
 }
 _HEX_LETTERS = frozenset("0123456789abcdef")
+# A signed token that fails, fails from every later place of its first run of letters as well:
+# the run ends where it ended, and is shorter.
+_SIGNED_RUN = re.compile(r"[A-Za-z0-9_-]*")
 
 _automaton = None
 
@@ -115,6 +118,8 @@ def scan(text: str) -> list[tuple[str, int, int]]:
         rule, test = _RULES[kind]
         match = rule.match(text, start)
         if match is None:
+            if kind == "signed_token":
+                used[kind] = _SIGNED_RUN.match(text, start).end()
             continue
         used[kind] = match.end()
         if test(match):
