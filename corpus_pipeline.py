@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Defined results: null ids and repeated ids are rows like any other, told apart by their texts;
+null and empty texts have no language and end at the first stage; an empty table gives no
+rows; other columns go along to the stage before packing.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewire.llm.common import table
 from tidewire.llm.decontaminate import clean_documents
-from tidewire.llm.exact_dedup import fresh_index, kept_documents
+from tidewire.llm.exact_dedup import drop_index, fresh_index, kept_documents
 from tidewire.llm.language_id import identified_documents
 from tidewire.llm.ngram_join import one_of_each_group
 from tidewire.llm.packing import placed_pieces
@@ -22,7 +27,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each text."""
-    return kept_documents(docs, fresh_index(spark))
+    index = fresh_index(spark)
+    kept = kept_documents(docs, index)
+    drop_index(index)  # decisions are stored by now
+    return kept
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
