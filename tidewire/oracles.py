@@ -1315,10 +1315,31 @@ ORACLES["written_tables"] = (
 FROM (SELECT scenario_id, count(*) AS capture_count FROM captures GROUP BY scenario_id),
   (VALUES ('csv'), ('json'), ('history'), ('history')) AS sinks (sink)"""
 )
+ORACLES["stream_quiet"] = ORACLES["flow_table"]
+# Packets are late by buckets of a quarter of a second.
 ORACLES["stream_late_packets"] = (
     _WITH_PACKETS
-    + """SELECT seq, ts_us FROM packets
-WHERE seq % 50 = 0 AND ts_us <= (SELECT (max(ts_us) // 1000 - 5000) * 1000 FROM packets)"""
+    + """SELECT seq, ts_us, (SELECT count(*) + count(*) FILTER (seq % 50 = 0) FROM packets) AS packets_in_all
+FROM packets
+WHERE seq % 50 = 0 AND ts_us // 250000 < (SELECT (max(ts_us) // 1000 - 5000) * 1000 // 250000 FROM packets)"""
+)
+ORACLES["stream_windows"] = (
+    _WITH_PACKETS
+    + """, probes AS (SELECT * FROM packets WHERE protocol = 'TCP')
+SELECT a.seq, a.ts_us AS start_us, a.src_ip,
+  count(*) FILTER (a.ts_us - b.ts_us <= 1000000) AS connections_per_1s, count(*) AS connections_per_5s,
+  count(DISTINCT b.dst_port) AS distinct_dst_ports_per_5s, count(DISTINCT b.dst_ip) AS distinct_dst_ips_per_5s,
+  CAST(0 AS BIGINT) AS icmp_packets_per_1s, CAST(1.0 AS DOUBLE) AS failed_connection_ratio
+FROM probes a JOIN probes b ON a.src_ip = b.src_ip AND a.ts_us - b.ts_us BETWEEN 0 AND 5000000
+  AND (b.ts_us < a.ts_us OR b.seq <= a.seq)
+GROUP BY a.seq, a.ts_us, a.src_ip"""
+)
+ORACLES["stream_history"] = (
+    _WITH_FLOWS
+    + """SELECT count(*) AS finalized_flows, count(*) AS predictions, count(*) FILTER (m >= 950) AS alerts,
+  count(*) FILTER (m >= 990) AS block_decisions, CAST(0 AS BIGINT) AS late_packets,
+  CAST(5 AS BIGINT) AS newest, count(*) AS total_available, count(*) AS events, TRUE AS few_folders
+FROM (SELECT bytes % 1001 AS m FROM described)"""
 )
 ORACLES["stream_detection"] = (
     _WITH_FLOWS

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import replace
@@ -35,6 +36,7 @@ from tidewire.sources import contract, tables
 from tidewire.sources import packets as packet_source
 from tidewire.streaming import flows as stream_flows_
 from tidewire.streaming import live
+from tidewire.streaming.windows import with_stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1154,18 +1156,130 @@ def stream_detection(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_late_packets(spark: SparkSession, folder: str) -> DataFrame:
-    """Every fiftieth packet comes once more after all others; most of these are too late."""
+    """Every fiftieth packet comes once more after all others; most of these are too late.
+
+    Both what is cut and what is late come from one operator: the packets of all flows and the
+    late ones are those that were read.
+    """
     where = scratch_folder(spark, "stream-late")
     source = durable(fx.packets(spark, folder))
     last = source.agg(F.max("ts_us")).first()[0]
-    half = last // 2 + 1
-    for part in (0, 1):
-        source.where(F.expr(f"ts_us div {half}") == part).repartition(_FILES).write.mode("append").parquet(f"{where}/packets")
-    source.where("seq % 50 = 0").write.mode("append").parquet(f"{where}/packets")
-    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", _FILES).parquet(f"{where}/packets")
+    drain = source.orderBy("seq").limit(1).withColumns(
+        {"ts_us": F.lit(last + 600_000_000).cast("long"), "protocol": F.lit(stream_flows_.CONTROL)}
+    )
+    source.limit(0).write.parquet(f"{where}/packets")
+    stream = spark.readStream.schema(source.schema).parquet(f"{where}/packets")
+    cut = stream_flows_.cut_stream(stream, Settings.from_session(spark))
+    # Micro-batches of uneven size: a fifth, most of the rest, what comes again, the drain row.
+    fifth = source.where(F.col("ts_us") * 5 < last)
+    parts = (fifth, source.where(F.col("ts_us") * 5 >= last), source.where("seq % 50 = 0"), drain)
+    with _one_state_partition_per_core(spark):
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(f"{where}/packets")
+            writer = cut.writeStream.format("parquet").option("checkpointLocation", f"{where}/check")
+            writer.trigger(availableNow=True).start(f"{where}/cut").awaitTermination()
+    stored = spark.read.parquet(f"{where}/cut")
+    late = stream_flows_.late_packets(stored).select("seq", "ts_us")
+    in_flows = stored.where("not is_late").agg(F.sum("packet_count_total")).scalar()
+    return late.select(
+        "seq", "ts_us", (in_flows + late.agg(F.count(F.lit(1))).scalar()).alias("packets_in_all")
+    )
+
+
+@query
+def stream_quiet(spark: SparkSession, folder: str) -> DataFrame:
+    """A line that falls quiet: no packet and no drain row comes any more, only heartbeats."""
+    where = scratch_folder(spark, "stream-quiet")
+    source = durable(fx.packets(spark, folder))
+    source.repartition(_FILES).write.parquet(f"{where}/packets")
+    last = source.agg(F.max("ts_us")).first()[0]
+    packets = spark.readStream.schema(source.schema).parquet(f"{where}/packets")
+    # A clock that begins behind the packets and ticks half a minute per micro-batch.
+    beats = (
+        spark.readStream.format("rate-micro-batch")
+        .option("rowsPerBatch", 1)
+        .option("numPartitions", 1)
+        .option("startTimestamp", last // 1000 - 1000)
+        .option("advanceMillisPerBatch", 30_000)
+        .load()
+    )
+    finished = stream_flows_.flow_stream(stream_flows_.with_heartbeat(packets, beats), Settings.from_session(spark))
+    writer = finished.writeStream.format("parquet").option("checkpointLocation", f"{where}/check")
+    with _one_state_partition_per_core(spark):
+        running = writer.trigger(processingTime="0 seconds").start(f"{where}/flows")
+        # Six ticks lie behind every deadline and the watermark's delay.
+        while running.isActive and (running.lastProgress is None or running.lastProgress["batchId"] < 6):
+            time.sleep(0.2)
+        if running.exception() is not None:
+            raise running.exception()
+        running.stop()
+    return spark.read.parquet(f"{where}/flows").select(*FLOW_TABLE_COLUMNS)
+
+
+@query
+def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of flows that end with their first packet, so in the order in which they begin."""
+    where = scratch_folder(spark, "stream-windows")
+    source = durable(_one_packet_flows(spark, folder))
+    last = source.agg(F.max("ts_us")).first()[0]
+    # Files in the order of their packets, one per micro-batch.
+    for part in range(3):
+        source.where(F.expr(f"ts_us * 3 div {last + 1}") == part).coalesce(1).write.mode("append").parquet(f"{where}/packets")
+    drain = source.limit(1).withColumns(
+        {"ts_us": F.lit(last + 600_000_000).cast("long"), "protocol": F.lit(stream_flows_.CONTROL)}
+    )
+    drain.write.mode("append").parquet(f"{where}/packets")
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{where}/packets")
+    with _one_state_partition_per_core(spark):
+        live.run_live(stream, f"{where}/out", f"{where}/check", _by_size, Settings.from_session(spark), once=True).awaitTermination()
+    return live.read_history(spark, f"{where}/out", "flows").select(
+        F.col("flow_start_seq").alias("seq"), "start_us", "src_ip", *live.FEATURES, "failed_connection_ratio"
+    )
+
+
+def _one_packet_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """Packets of which each closes its flow, close together: a probing host's resets."""
+    packets = fx.packets(spark, folder).where("protocol = 'TCP'")
+    return packets.withColumns({"rst": F.lit(1), "ts_us": F.col("ts_us").cast("long")})
+
+
+@query
+def stream_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Micro-batches of records, joined into a few folders, and the counters over all of them."""
+    where = scratch_folder(spark, "stream-history")
+    source = durable(fx.packets(spark, folder))
+    last = source.agg(F.max("ts_us")).first()[0]
+    cut = durable(_cut_of_batch(spark, source, last, where))
+    settings = Settings.from_session(spark)
+    for batch in range(_HISTORY):
+        rows = cut.where(F.pmod(F.xxhash64("flow_start_seq"), F.lit(_HISTORY)) == batch)
+        live.process_batch(rows, batch, f"{where}/out", _by_size, settings)
+    folders = len(live._folders(spark, f"{where}/out", "events"))
+    totals = live.totals(spark, f"{where}/out")
+    newest = live.recent(spark, f"{where}/out", "events", 5).agg(
+        F.count(F.lit(1)).alias("newest"), F.max("total_available").cast("long").alias("total_available")
+    )
+    events = live.read_history(spark, f"{where}/out", "events").agg(F.countDistinct("event_id").alias("events"))
+    return totals.crossJoin(newest).crossJoin(events).withColumn("few_folders", F.lit(folders <= 3))
+
+
+_HISTORY = 18
+
+
+def _cut_of_batch(spark: SparkSession, source: DataFrame, last: int, where: str) -> DataFrame:
+    """What the stream's two operators give for all packets in one micro-batch."""
+    source.repartition(_FILES).write.parquet(f"{where}/packets")
+    drain = source.limit(1).withColumns(
+        {"ts_us": F.lit(last + 600_000_000).cast("long"), "protocol": F.lit(stream_flows_.CONTROL)}
+    )
+    drain.write.mode("append").parquet(f"{where}/packets")
+    stream = spark.readStream.schema(source.schema).parquet(f"{where}/packets")
     settings = Settings.from_session(spark)
-    live.write_late_packets(stream, f"{where}/out", f"{where}/check", settings, once=True).awaitTermination()
-    return live.read_history(spark, f"{where}/out", "late").select("seq", "ts_us")
+    rows = with_stream_windows(stream_flows_.cut_stream(stream, settings), settings)
+    with _one_state_partition_per_core(spark):
+        writer = rows.writeStream.format("parquet").option("checkpointLocation", f"{where}/check")
+        writer.trigger(availableNow=True).start(f"{where}/cut").awaitTermination()
+    return spark.read.parquet(f"{where}/cut")
 
 
 @query

@@ -1,7 +1,9 @@
 """From a packet stream to events, alerts, blocks and logs, one micro-batch at a time.
 
-Every micro-batch writes its own folder ``batch_id=N`` of each table and replaces it
-when the batch is run again, so a restart neither loses nor repeats records.
+One streaming query cuts flows, keeps late packets, and adds window features, in two stateful
+operators, one behind the other. Every micro-batch writes its own folder ``batch_id=N`` of each
+table and replaces it when the batch is run again, so a restart neither loses nor repeats
+records. ``compact`` joins the folders of finished micro-batches.
 """
 
 from __future__ import annotations
@@ -12,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewire.operators import behaviour, detect, views
+from tidewire.functions.network import failed_connection_ratio
+from tidewire.operators import detect, views
 from tidewire.settings import Settings
-from tidewire.streaming.flows import flow_stream
+from tidewire.streaming.flows import cut_stream, finished_flows, late_packets, with_heartbeat
+from tidewire.streaming.windows import FEATURES, with_stream_windows
 
-TABLES = ("flows", "events", "alerts", "blocks", "logs")
-_CONTEXT_US = 5_100_000
+TABLES = ("flows", "events", "alerts", "blocks", "logs", "late")
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -44,6 +47,13 @@ def _folder(path: str, table: str, batch_id: int) -> str:
     return f"{path}/{table}/batch_id={batch_id}"
 
 
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(place)] if system.exists(place) else []
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
@@ -51,54 +61,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(conf).exists(place)
 
 
-def with_batch_context(
-    new: DataFrame, context: DataFrame | None, settings: Settings
-) -> tuple[DataFrame, DataFrame]:
-    """Window features of the new flows, given the recent ones, and the next context.
-
-    The context is what a window can still reach: flows that started within 5.1 seconds
-    of the newest start of their own capture, since captures have clocks of their own.
-    """
-    order = F.struct("finalized_us", "start_us", "flow_start_seq")
-    rows = new.withColumn("_new", F.lit(True)).withColumn(
-        "flow_index", F.struct(F.lit(1).alias("late"), order.alias("at"))
-    )
-    columns = [c for c in rows.columns if c not in ("_new", "flow_index")]
-    if context is not None:
-        old = context.select(*columns, F.lit(False).alias("_new")).withColumn(
-            "flow_index", F.struct(F.lit(0).alias("late"), order.alias("at"))
-        )
-        rows = old.unionByName(rows)
-    described = behaviour.with_behaviour(rows, settings)
-    fresh = described.where("_new").drop("_new", "flow_index")
-    capture = ["session_id", "capture_id"]
-    newest = rows.groupBy(*capture).agg(F.max("start_us").alias("_newest"))
-    kept = rows.join(newest, capture).where(F.col("start_us") >= F.col("_newest") - _CONTEXT_US)
-    return fresh, kept.select(*columns)
+def described_flows(cut: DataFrame) -> DataFrame:
+    """All 31 features of the finished flows among the rows of one micro-batch."""
+    ratio = failed_connection_ratio(F.col("protocol"), F.col("syn_count"), F.col("ack_count"), F.col("rst_count"))
+    return finished_flows(cut, *FEATURES).withColumn("failed_connection_ratio", ratio)
 
 
 def process_batch(
-    flows: DataFrame, batch_id: int, path: str, scorer: Scorer, settings: Settings
+    cut: DataFrame, batch_id: int, path: str, scorer: Scorer, settings: Settings
 ) -> None:
     """Features, scores, decisions and records of one micro-batch of finished flows."""
-    spark = flows.sparkSession
-    # Written once and read back: the stateful stage must not run again per table.
-    flows.write.mode("overwrite").parquet(_folder(path, "finished", batch_id))
-    new = spark.read.parquet(_folder(path, "finished", batch_id))
-    if new.isEmpty():
-        # Hand the context on, so that the next batch finds it under its predecessor.
-        before = _folder(path, "context", batch_id - 1)
-        if _exists(spark, before):
-            spark.read.parquet(before).write.mode("overwrite").parquet(
-                _folder(path, "context", batch_id)
-            )
-        return
-    before = _folder(path, "context", batch_id - 1)
-    context = spark.read.parquet(before) if _exists(spark, before) else None
-    described, kept = with_batch_context(new, context, settings)
-    kept.write.mode("overwrite").parquet(_folder(path, "context", batch_id))
-
-    described.write.mode("overwrite").parquet(_folder(path, "flows", batch_id))
+    spark = cut.sparkSession
+    for name in TABLES:
+        compact(spark, path, name, batch_id)
+    # Written once and read back: the stateful stages must not run again per table.
+    cut.write.mode("overwrite").parquet(_folder(path, "finished", batch_id))
+    new = spark.read.schema(cut.schema).parquet(_folder(path, "finished", batch_id))
+    late_packets(new).write.mode("overwrite").parquet(_folder(path, "late", batch_id))
+    described_flows(new).write.mode("overwrite").parquet(_folder(path, "flows", batch_id))
     detected = detect.detect(
         scorer(spark.read.parquet(_folder(path, "flows", batch_id))),
         alert_threshold=settings.alert_confidence_threshold,
@@ -117,53 +97,41 @@ def process_batch(
     }
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(_folder(path, name, batch_id))
-    _add_to_totals(stored, batch_id, path)
+    _add_to_totals(stored, new.where("is_late"), batch_id, path)
+    # The micro-batch before this one is finished for good, and will not be run again.
+    _forget(spark, path, "finished", batch_id - 1)
+    _forget(spark, path, "totals", batch_id - 2)
+
+
+COUNTERS = ("finalized_flows", "predictions", "alerts", "block_decisions", "late_packets")
+
 
+def _add_to_totals(events: DataFrame, late: DataFrame, batch_id: int, path: str) -> None:
+    """Counters of the run up to this micro-batch: those of the one before, and its own.
 
-def _add_to_totals(events: DataFrame, batch_id: int, path: str) -> None:
-    """Running counters of the live run, one row per micro-batch that finished flows."""
+    Every micro-batch writes one, also without a flow; a repeated one finds the one before it
+    in its place and writes the same again.
+    """
+    spark = events.sparkSession
     counted = events.agg(
-        F.lit(batch_id).cast("long").alias("batch"),
         F.count(F.lit(1)).alias("finalized_flows"),
         F.count(F.lit(1)).alias("predictions"),
         F.count_if("alert_triggered").alias("alerts"),
         F.count_if("blocked").alias("block_decisions"),
-    )
+    ).crossJoin(late.agg(F.count(F.lit(1)).alias("late_packets")))
+    before = _folder(path, "totals", batch_id - 1)
+    if _exists(spark, before):
+        counted = counted.unionByName(spark.read.parquet(before)).agg(*[F.sum(c).alias(c) for c in COUNTERS])
     counted.write.mode("overwrite").parquet(_folder(path, "totals", batch_id))
 
 
 def totals(spark: SparkSession, path: str) -> DataFrame:
-    """Flows, predictions, alerts and block decisions of the run so far: one row."""
-    rows = read_history(spark, path, "totals").drop("batch")
-    return rows.agg(*[F.sum(c).alias(c) for c in rows.columns])
-
-
-def write_late_packets(
-    packets: DataFrame, path: str, checkpoint: str, settings: Settings, once: bool = False
-) -> StreamingQuery:
-    """Packets that come after the watermark has passed them, as a table of their own.
-
-    Flow cutting drops such packets. The watermark here follows the same rule: the newest
-    packet of all earlier micro-batches, less the delay. Each micro-batch leaves its newest
-    time in a folder of its own, so a repeated micro-batch gives the same rows again.
-    """
-    delay_ms = round(settings.watermark_seconds * 1000)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = _folder(path, "clock", batch_id - 1)
-        newest = batch.agg(F.max("ts_us").alias("newest_us"))
-        if _exists(spark, before):
-            earlier = spark.read.parquet(before)
-            passed = (F.floor(F.col("newest_us") / 1000) - delay_ms) * 1000
-            limit = earlier.select(passed.alias("limit")).scalar()
-            late = batch.where(F.col("ts_us") <= limit)
-            late.write.mode("overwrite").parquet(_folder(path, "late", batch_id))
-            newest = newest.unionByName(earlier).agg(F.max("newest_us").alias("newest_us"))
-        newest.write.mode("overwrite").parquet(_folder(path, "clock", batch_id))
-
-    writer = packets.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    """Flows, predictions, alerts, block decisions and late packets of the run so far: one row,
+    of zeros when there is none yet. Only the newest micro-batch is read."""
+    numbers = [int(name.rsplit("=", 1)[1]) for name in _listed(spark, f"{path}/totals") if "=" in name]
+    if not numbers:
+        return spark.range(1).select(*[F.lit(0).cast("bigint").alias(c) for c in COUNTERS])
+    return spark.read.parquet(_folder(path, "totals", max(numbers)))
 
 
 def run_live(
@@ -173,14 +141,23 @@ def run_live(
     scorer: Scorer,
     settings: Settings,
     once: bool = False,
+    wall_clock: bool = True,
 ) -> StreamingQuery:
-    """Start detection on a packet stream; ``once`` stops after what is available."""
+    """Start detection on a packet stream; ``once`` stops after what is available.
+
+    Without ``once`` the wall clock is joined in, so that flows of a line that has fallen quiet
+    are closed. Packets of a recording, whose clock is not the wall's, bring control rows of
+    their own (``flows.with_heartbeat``) or none: give ``wall_clock=False``.
+    """
+    if wall_clock and not once:
+        rate = packets.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+        packets = with_heartbeat(packets, rate)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, path, scorer, settings)
 
     writer = (
-        flow_stream(packets, settings)
+        with_stream_windows(cut_stream(packets, settings), settings)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
     )
@@ -192,16 +169,81 @@ def run_live(
     return writer.start()
 
 
+FAN_OUT = 16
+
+
+def _folders(spark: SparkSession, path: str, table: str) -> list[tuple[int, int, str]]:
+    """(first, last micro-batch, name) of a table's folders, without those that another holds."""
+    found = []
+    for name in _listed(spark, f"{path}/{table}"):
+        kind, _, numbers = name.partition("=")
+        if kind in ("batch_id", "batches"):
+            first, _, last = numbers.partition("-")
+            found.append((int(first), int(last or first), name))
+    kept: list[tuple[int, int, str]] = []
+    for first, last, name in sorted(found, key=lambda f: (f[0], -f[1])):
+        if not kept or first > kept[-1][1]:
+            kept.append((first, last, name))
+    return kept
+
+
+def compact(spark: SparkSession, path: str, table: str, batch_id: int) -> None:
+    """Join the folders of the micro-batches before ``batch_id``, sixteen at a time.
+
+    Sixteen micro-batches become one folder, sixteen of these one of the next size, so a
+    record is rewritten a logarithmic number of times and there are never more than sixteen
+    folders of a size. A joined folder appears by one renaming; readers then pass over what
+    it was made of, which is removed after that.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path}/{table}/{name}")
+    system = place("").getFileSystem(conf)
+    width = FAN_OUT
+    while batch_id and batch_id % width == 0:
+        first, last = batch_id - width, batch_id - 1
+        parts = [f for f in _folders(spark, path, table) if first <= f[0] and f[1] <= last]
+        if len(parts) > 1:
+            whole = spark.read.parquet(*[f"{path}/{table}/{name}" for _, _, name in parts])
+            whole.coalesce(1 + len(parts) // FAN_OUT).write.mode("overwrite").parquet(f"{path}/{table}/_joined")
+            system.rename(place("_joined"), place(f"batches={first}-{last}"))
+        width *= FAN_OUT
+    held = {name for _, _, name in _folders(spark, path, table)}
+    for name in _listed(spark, f"{path}/{table}"):
+        if name.startswith(("batch_id=", "batches=")) and name not in held:
+            system.delete(place(name), True)
+
+
+def _forget(spark: SparkSession, path: str, table: str, batch_id: int) -> None:
+    """Remove what a finished micro-batch needed for itself only."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(path, table, batch_id))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_history(spark: SparkSession, path: str, table: str) -> DataFrame:
     """One of the record tables, over all micro-batches."""
-    return spark.read.parquet(f"{path}/{table}").drop("batch_id")
+    return _read_folders(spark, path, table, _folders(spark, path, table))
+
+
+def _read_folders(spark: SparkSession, path: str, table: str, folders: list[tuple[int, int, str]]) -> DataFrame:
+    if not folders:
+        raise FileNotFoundError(f"no micro-batch has written {table} yet")
+    return spark.read.parquet(*[f"{path}/{table}/{name}" for _, _, name in folders])
 
 
 def recent(spark: SparkSession, path: str, table: str, n: int) -> DataFrame:
-    """Newest records of a table, with the number of all of them."""
+    """Newest records of a table, with the number of all of them.
+
+    Micro-batches are in the order of their decisions: folders are read from the newest on
+    until they hold enough. What all hold is told by the files' footers.
+    """
     ties = {"events": "event_id", "alerts": "alert_id", "blocks": "block_id", "logs": "message"}
-    history = read_history(spark, path, table)
-    return views.latest_with_total(history, n, ties[table])
+    folders, rows, at = _folders(spark, path, table), 0, 0
+    while at < len(folders) and rows < n:
+        at += 1
+        rows += _read_folders(spark, path, table, folders[-at : len(folders) - at + 1]).count()
+    total = rows + (_read_folders(spark, path, table, folders[:-at]).count() if at < len(folders) else 0)
+    newest = views.latest_with_total(_read_folders(spark, path, table, folders[-at:] if at else []), n, ties[table])
+    return newest.withColumn("total_available", F.lit(total).cast(newest.schema["total_available"].dataType))
 
 
 def replay_stream(
