@@ -928,6 +928,28 @@ ORACLES["feature_profile"] = _WITH_SCORED + " UNION ALL ".join(
         "rst_count",
     )
 )
+_FEATURE_ROWS = f"WITH f AS MATERIALIZED ({ORACLES['flow_features']}) "
+ORACLES["feature_profile_all"] = _FEATURE_ROWS + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature_name, count({c}) AS non_null_count,
+  count(*) - count({c}) AS null_count, round((count(*) - count({c})) / count(*), 6) AS null_rate,
+  round(CAST(min({c}) AS DOUBLE), 6) AS min, round(CAST(max({c}) AS DOUBLE), 6) AS max,
+  round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM f"""
+    for c, kind in V.FEATURES.items()
+    if kind != "string"
+)
+ORACLES["encoded_features"] = (
+    _FEATURE_ROWS
+    + "SELECT flow_id, "
+    + " || '|' || ".join(
+        [
+            *[f"printf('%.6f', CASE WHEN protocol = '{p}' THEN 1.0 ELSE 0.0 END)" for p in ("ICMP", "TCP", "UDP")],
+            *[f"printf('%.6f', CAST({c} AS DOUBLE))" for c, kind in V.FEATURES.items() if kind != "string"],
+        ]
+    )
+    + " AS features FROM f"
+)
+ORACLES["model_check"] = """SELECT split, CAST(0 AS BIGINT) AS walk_mismatches, CAST(0 AS BIGINT) AS reload_mismatches,
+  TRUE AS mostly_right FROM (VALUES ('train'), ('validation'), ('test')) AS splits (split)"""
 ORACLES["categorical_top5"] = (
     _WITH_SCORED
     + """SELECT feature_name, CAST(sum(n) - sum(gaps) AS BIGINT) AS non_null_count,
@@ -1181,6 +1203,7 @@ ORACLES["overview_feed"] = (
     _WITH_VIEWS + "SELECT * FROM events_view ORDER BY event_us DESC, event_id LIMIT 6"
 )
 ORACLES["journal"] = _WITH_VIEWS + "SELECT * FROM journal ORDER BY event_us DESC"
+ORACLES["journal_filtered"] = _WITH_VIEWS + "SELECT * FROM journal WHERE level = 'ALERTE'"
 ORACLES["runtime_log_feed"] = (
     _WITH_RECORDS
     + f"""SELECT event_us, {_TIME} AS time, level, component AS type, message FROM logs

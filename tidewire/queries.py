@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from dataclasses import replace
 from functools import reduce
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -500,6 +501,12 @@ def feature_profile(spark: SparkSession, folder: str) -> DataFrame:
     return profile.numeric_profile(fx.scored_flows(spark, folder), _PROFILED)
 
 
+@query
+def feature_profile_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Every numeric feature of the contract over the complete flow table."""
+    return profile.numeric_profile(_features(spark, folder), [c for c, kind in FEATURES.items() if kind != "string"])
+
+
 @query
 def categorical_top5(spark: SparkSession, folder: str) -> DataFrame:
     """One column holds nulls beside the text that stands for them."""
@@ -740,6 +747,11 @@ def journal(spark: SparkSession, folder: str) -> DataFrame:
     return _journal(spark, folder).orderBy(F.desc("event_us"))
 
 
+@query
+def journal_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    return views.filter_journal(_journal(spark, folder), "ALERTE")
+
+
 @query
 def runtime_log_feed(spark: SparkSession, folder: str) -> DataFrame:
     shown = views.logs_view(_logs(spark, folder), ["runtime", "blocking"])
@@ -991,6 +1003,36 @@ def score_flows(spark: SparkSession, folder: str) -> DataFrame:
     return model.score(parts["test"], trained).select("flow_id", "raw_label", "probability")
 
 
+@query
+def encoded_features(spark: SparkSession, folder: str) -> DataFrame:
+    """What the model sees of each flow: protocols as columns of zeros and ones, then numbers."""
+    rows = durable(_features(spark, folder))
+    stages = Pipeline(stages=model.feature_stages(contract.DEFAULT_CONTRACT)).fit(rows)
+    trained = model.TrainedModel(PipelineModel([*stages.stages, None]), contract.DEFAULT_CONTRACT, ())
+    found = model.encoded(rows, trained, "flow_id")
+    return found.select("flow_id", F.array_join(F.transform("features", lambda x: F.format_string("%.6f", x)), "|").alias("features"))
+
+
+@query
+def model_check(spark: SparkSession, folder: str) -> DataFrame:
+    """The trained forest against a walk over its stored nodes, and against itself reloaded."""
+    parts = _feature_splits(spark, folder)
+    trained = model.train(parts["train"])
+    where = scratch_folder(spark, "model")
+    model.save_model(spark, trained, where)
+    rows = durable(reduce(DataFrame.unionByName, [part.withColumn("split", F.lit(name)) for name, part in parts.items()]))
+    walked = model.walk_forest(model.encoded(rows, trained, "flow_id"), model.forest_table(spark, where), "flow_id")
+    own = F.transform(F.array(*map(F.lit, trained.labels)), lambda label: F.element_at("probability", label))
+    scored = durable(model.score(rows, trained).select("flow_id", "split", TARGET, "raw_label", own.alias("own")))
+    again = model.score(rows, model.load_model(spark, where)).select("flow_id", own.alias("again"))
+    both = scored.join(walked, "flow_id").join(again, "flow_id")
+    apart = lambda one, other: F.count_if(F.exists(F.zip_with(one, other, lambda a, b: F.abs(a - b) > 1e-9), lambda x: x))
+    right = F.count_if(F.col("raw_label") == F.col(TARGET)) / F.count(F.lit(1))
+    return both.groupBy("split").agg(
+        apart("own", "shares").alias("walk_mismatches"), apart("own", "again").alias("reload_mismatches"), (right > 0.5).alias("mostly_right")
+    )
+
+
 @query
 def model_eval(spark: SparkSession, folder: str) -> DataFrame:
     """A forest against a weaker baseline, on all three splits."""
