@@ -5,9 +5,11 @@ from dataclasses import replace
 
 import pytest
 from brute import packet, simulate, windows
+from pyspark.sql import functions as F
 
 from tidewire import Settings
 from tidewire.operators import behaviour, flows, numbering, packets, segments
+from tidewire.plans.blocks import with_look_back
 from tidewire.schemas import PACKETS
 
 SETTINGS = Settings()
@@ -23,7 +25,7 @@ def frame(spark, rows):
 def finished(spark, rows, settings=SETTINGS):
     source = frame(spark, rows)
     numbered = numbering.number_flows(flows.flow_table(source, settings), source, settings)
-    described = behaviour.with_behaviour(numbered, settings, source)
+    described = behaviour.with_behaviour(numbered)
     return [r.asDict() for r in described.orderBy("capture_id", "flow_index").collect()]
 
 
@@ -171,8 +173,7 @@ def test_flow_invariants(spark, folder):
     assert table.where("packet_count_fwd < 1").count() == 0
 
 
-@pytest.mark.parametrize("settings", [SETTINGS, SLICED], ids=["whole", "sliced"])
-def test_window_features_match_looking_back(spark, settings):
+def test_window_features_match_looking_back(spark):
     rng = random.Random(7)
     rows, at = [], 0
     for index in range(300):
@@ -197,6 +198,67 @@ def test_window_features_match_looking_back(spark, settings):
     )
     got = {
         r["flow_index"]: tuple(r[c] for c in behaviour.WINDOW_FEATURES)
-        for r in behaviour.with_window_features(table, settings).collect()
+        for r in behaviour.with_window_features(table).collect()
     }
     assert got == windows(rows)
+
+
+def test_blocks_of_time(spark):
+    """Every row is its own block's once, and stands in the next when that looks back on it."""
+    rows = spark.createDataFrame([(t,) for t in (-1, 0, 69, 70, 99, 100, None)], "at long")
+    placed = with_look_back(rows, F.col("at"), 100, 30)
+    got = sorted((tuple(r) for r in placed.collect()), key=str)
+    assert got == sorted(
+        [
+            (-1, -100, True),
+            (-1, 0, False),
+            (0, 0, True),
+            (69, 0, True),
+            (70, 0, True),
+            (70, 100, False),
+            (99, 0, True),
+            (99, 100, False),
+            (100, 100, True),
+            (None, None, True),
+        ],
+        key=str,
+    )
+
+
+def test_only_wanted_features(spark):
+    rows = [packet(n, n * 400_000, dport=p, syn=1, rst=1) for n, p in enumerate((22, 80, 22, 443))]
+    source = frame(spark, rows)
+    numbered = numbering.number_flows(flows.flow_table(source, SETTINGS), source, SETTINGS)
+    few = behaviour.with_window_features(numbered, ["distinct_dst_ports_per_5s", "connections_per_1s"])
+    assert few.columns == [*numbered.columns, "distinct_dst_ports_per_5s", "connections_per_1s"]
+    assert [tuple(r[-2:]) for r in few.orderBy("flow_index").collect()] == [(1, 1), (2, 2), (2, 3), (3, 3)]
+    assert behaviour.with_window_features(numbered, []) is numbered
+
+
+@pytest.mark.parametrize("session", ["S", None])
+def test_triggers_across_silent_blocks(spark, session):
+    """The packet that ends a flow may come many blocks after its deadline, or not at all."""
+    rows = [
+        packet(1, -2_500_000, "b", "c"),
+        packet(2, 0, protocol="UDP"),
+        packet(3, 15_000_000, "b", "c", protocol="UDP"),
+        packet(4, 3_600_000_000, "b", "d", protocol="UDP"),
+        packet(5, 3_600_000_000, "b", "e", protocol="UDP"),
+        packet(6, 3_600_000_001, "b", "f", fin=1),
+    ]
+    source = frame(spark, [{**r, "session_id": session} for r in rows])
+    found = numbering.number_flows(flows.flow_table(source, SETTINGS), source, SETTINGS)
+    got = [
+        (r["flow_start_seq"], r["trigger_seq"], r["trigger_phase"])
+        for r in found.orderBy("flow_index").collect()
+    ]
+    # A packet at the very deadline does not end a flow: 2 waits for 4.
+    assert got == [(1, 3, 0), (2, 4, 0), (3, 4, 0), (6, 6, 1), (4, None, 0), (5, None, 0)]
+    assert [r[0] for r in found.select("flow_index").orderBy("flow_index").collect()] == list(range(6))
+
+
+def test_no_packets_no_numbers(spark):
+    source = frame(spark, [])
+    assert finished(spark, []) == []
+    table = flows.flow_table(source, SETTINGS)
+    assert numbering.with_expiry_trigger(table, source, SETTINGS).collect() == []

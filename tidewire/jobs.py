@@ -59,7 +59,7 @@ def convert_campaign(
     # Text is parsed once; every later step reads the kept packets.
     kept = durable(packets.drop_control_plane(usable, manifest, settings))
     numbered = numbering.number_flows(flows.flow_table(kept, settings), kept, settings)
-    described = behaviour.with_behaviour(numbered, settings, kept)
+    described = behaviour.with_behaviour(numbered)
     target = f"{out}/{campaign_id}"
     labelled = labeling.label_flows(described, manifest).drop("flow_index")
     labelled.write.mode("overwrite").parquet(f"{target}/flows.parquet")

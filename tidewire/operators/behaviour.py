@@ -1,130 +1,117 @@
 """Sliding-window behaviour of a source host, exact and without window lists.
 
-Every flow becomes one arrival and two expiries (one and five seconds later, plus a
-microsecond, because the windows include both ends). Each event carries what it adds
-to or removes from the five features, and a running sum over the source's events is
-the answer. For distinct values a flow adds one only when the same value was not seen
-in the five seconds before, and removes one only when it is not seen in the five
-seconds after. Cost is one sort, whatever the windows hold; a frame of the source's
-flows would cost its size per row in exactly the floods these features are for.
+Every flow becomes one arrival and an expiry per window length (one and five seconds
+later, plus a microsecond, because the windows include both ends). Each event carries
+what it adds to or removes from the wanted features, and a running sum over the
+source's events is the answer. For distinct values a flow adds one only when the same
+value was not seen in the five seconds before, and removes one only when it is not
+seen in the five seconds after. Cost is one sort, whatever the windows hold; a frame
+of the source's flows would cost its size per row in exactly the floods these features
+are for.
+
+No window looks back further than five seconds, so a source is cut into blocks of
+twenty seconds that also get the last five of the block before: a source with half of
+all flows is spread over as many tasks as it has blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.network import failed_connection_ratio
-from tidewire.plans.ordered import (
-    by_group_size,
-    following,
-    lay_out,
-    previous,
-    running_sum,
-)
+from tidewire.plans.blocks import BLOCK, with_look_back
 from tidewire.schemas import CAPTURE, SESSION
-from tidewire.settings import Settings
 
-_SOURCE = [SESSION, CAPTURE, "src_ip"]
 _ONE = 1_000_000
 _FIVE = 5_000_000
+_WIDTH = 20_000_000
+_GROUP = [SESSION, CAPTURE, "src_ip", BLOCK]
 
+# Feature -> length of its window.
 WINDOW_FEATURES = {
-    "connections_per_1s": "_c1",
-    "connections_per_5s": "_c5",
-    "distinct_dst_ports_per_5s": "_ports",
-    "distinct_dst_ips_per_5s": "_ips",
-    "icmp_packets_per_1s": "_icmp",
+    "connections_per_1s": _ONE,
+    "connections_per_5s": _FIVE,
+    "distinct_dst_ports_per_5s": _FIVE,
+    "distinct_dst_ips_per_5s": _FIVE,
+    "icmp_packets_per_1s": _ONE,
 }
+_VALUES = {"distinct_dst_ports_per_5s": "dst_port", "distinct_dst_ips_per_5s": "dst_ip"}
+
+
+def _with_edges(df: DataFrame, feature: str) -> DataFrame:
+    """1 where a value enters its window, 1 where it leaves for good."""
+    order = Window.partitionBy(*_GROUP, _VALUES[feature]).orderBy("start_us", "flow_index")
+    at, span = F.col("start_us"), WINDOW_FEATURES[feature]
+    entered = F.coalesce(at - F.lag(at).over(order) > span, F.lit(True))
+    left = F.coalesce(F.lead(at).over(order) - at > span, F.lit(True))
+    return df.select(
+        "*",
+        entered.cast("long").alias(f"_enters_{feature}"),
+        left.cast("long").alias(f"_leaves_{feature}"),
+    )
 
 
-def _edges(df: DataFrame, value: str, enters: str, leaves: str, sliced: bool) -> DataFrame:
-    """1 where ``value`` enters the five-second window, 1 where it leaves for good."""
-    keys = [*_SOURCE, value]
-    order = ["start_us", "flow_index"]
-    at = F.col("start_us")
-    laid = lay_out(df, keys, order, sliced)
-    laid = previous(laid, keys, order, "_before", at, sliced)
-    laid = following(laid, keys, order, "_after", at, sliced)
-    return laid.select(
-        *df.columns,
-        F.coalesce(at - F.col("_before") > _FIVE, F.lit(True)).cast("int").alias(enters),
-        F.coalesce(F.col("_after") - at > _FIVE, F.lit(True)).cast("int").alias(leaves),
-    )
+def _change(feature: str, arrives: bool) -> Column:
+    """What a flow adds to the feature when it arrives or removes when it expires."""
+    if feature in _VALUES:
+        return F.col(f"_enters_{feature}") if arrives else -F.col(f"_leaves_{feature}")
+    amount = F.lit(1)
+    if feature == "icmp_packets_per_1s":
+        amount = F.when(F.col("protocol") == "ICMP", F.col("packet_count_total")).otherwise(0)
+    return (amount if arrives else -amount).cast("long")
 
 
 def with_window_features(
-    flows: DataFrame, settings: Settings, packets: DataFrame | None = None
+    flows: DataFrame, wanted: Sequence[str] = tuple(WINDOW_FEATURES)
 ) -> DataFrame:
-    """Add the five sliding-window counts. Equal start times count in flow-index order."""
-
-    def build(rows: DataFrame, sliced: bool) -> DataFrame:
-        if not sliced:
-            # One shuffle serves the per-value and the per-source windows alike.
-            rows = rows.repartition(*_SOURCE)
-        marked = _edges(rows, "dst_port", "_port_in", "_port_out", sliced)
-        marked = _edges(marked, "dst_ip", "_ip_in", "_ip_out", sliced)
-
-        icmp = F.when(F.col("protocol") == "ICMP", F.col("packet_count_total")).otherwise(0)
-        row = F.struct(*flows.columns)
-        none = F.lit(None).cast(flows.select(row).schema[0].dataType)
-
-        def event(
-            at: Column,
-            kind: int,
-            flow: Column,
-            c1: Column | int = 0,
-            c5: Column | int = 0,
-            ports: Column | int = 0,
-            ips: Column | int = 0,
-            packets: Column | int = 0,
-        ) -> Column:
-            def number(value: Column | int) -> Column:
-                return (F.lit(value) if isinstance(value, int) else value).cast("long")
-
-            return F.struct(
-                at.alias("_at"),
-                F.lit(kind).alias("_kind"),
-                F.col("flow_index").alias("_tie"),
-                number(c1).alias("_c1"),
-                number(c5).alias("_c5"),
-                number(ports).alias("_ports"),
-                number(ips).alias("_ips"),
-                number(packets).alias("_icmp"),
-                flow.alias("_flow"),
-            )
-
-        at = F.col("start_us")
-        events = F.array(
-            event(at, 2, row, 1, 1, F.col("_port_in"), F.col("_ip_in"), icmp),
-            event(at + _ONE + 1, 0, none, c1=-1, packets=-icmp),
-            event(
-                at + _FIVE + 1,
-                1,
-                none,
-                c5=-1,
-                ports=-F.col("_port_out"),
-                ips=-F.col("_ip_out"),
-            ),
-        )
-        stream = marked.select(*_SOURCE, F.inline(events))
-        order = ["_at", "_kind", "_tie"]
-        laid = lay_out(stream, _SOURCE, order, sliced)
-        sums = {name: F.col(delta) for name, delta in WINDOW_FEATURES.items()}
-        return (
-            running_sum(laid, _SOURCE, order, sums, sliced)
-            .where("_kind = 2")
-            .select("_flow.*", *WINDOW_FEATURES)
+    """Add the sliding-window counts named in ``wanted``.
+
+    Equal start times count in flow-index order. Without wanted features the flows come
+    back as they are; an empty table gives no rows.
+    """
+    if not wanted:
+        return flows
+    # One shuffle serves the per-value and the per-source windows alike.
+    marked = with_look_back(flows, F.col("start_us"), _WIDTH, _FIVE).repartition(*_GROUP)
+    for feature in wanted:
+        if feature in _VALUES:
+            marked = _with_edges(marked, feature)
+
+    row = F.struct(*[F.col(c) for c in flows.columns])
+    none = F.lit(None).cast(flows.select(row).schema[0].dataType)
+
+    def event(at: Column, kind: int, flow: Column, changes: dict[str, Column]) -> Column:
+        return F.struct(
+            at.alias("_at"),
+            F.lit(kind).alias("_kind"),
+            F.col("flow_index").alias("_tie"),
+            *[changes.get(f, F.lit(0).cast("long")).alias(f"_by_{f}") for f in wanted],
+            flow.alias("_flow"),
         )
 
-    return by_group_size(flows, _SOURCE, settings.max_group_rows, build, sizes=packets)
+    at = F.col("start_us")
+    arrival = event(at, 1, F.when(F.col("_own"), row), {f: _change(f, True) for f in wanted})
+    expiries = []
+    for span in sorted({WINDOW_FEATURES[f] for f in wanted}):
+        ending = [f for f in wanted if WINDOW_FEATURES[f] == span]
+        expiries.append(event(at + span + 1, 0, none, {f: _change(f, False) for f in ending}))
+    events = marked.select(*_GROUP, F.inline(F.array(arrival, *expiries)))
+
+    so_far = (
+        Window.partitionBy(*_GROUP)
+        .orderBy("_at", "_kind", "_tie")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    summed = events.select("_flow", *[F.sum(f"_by_{f}").over(so_far).alias(f) for f in wanted])
+    return summed.where(F.col("_flow").isNotNull()).select("_flow.*", *wanted)
 
 
-def with_behaviour(
-    flows: DataFrame, settings: Settings, packets: DataFrame | None = None
-) -> DataFrame:
+def with_behaviour(flows: DataFrame) -> DataFrame:
     """The five window counts and the failed-connection ratio."""
     ratio = failed_connection_ratio(
         F.col("protocol"), F.col("syn_count"), F.col("ack_count"), F.col("rst_count")
     )
-    return with_window_features(flows, settings, packets).withColumn("failed_connection_ratio", ratio)
+    return with_window_features(flows).withColumn("failed_connection_ratio", ratio)

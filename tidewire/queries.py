@@ -82,8 +82,12 @@ def _numbered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
-    source, settings = fx.packets(spark, folder), Settings.from_session(spark)
-    return behaviour.with_behaviour(_numbered(spark, folder), settings, source)
+    return behaviour.with_behaviour(_numbered(spark, folder))
+
+
+def _window(spark: SparkSession, folder: str, *features: str) -> DataFrame:
+    numbered = _numbered(spark, folder)
+    return behaviour.with_window_features(numbered, features).select("flow_id", *features)
 
 
 def _small_limits(spark: SparkSession) -> Settings:
@@ -672,22 +676,22 @@ def flow_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def conn_rate(spark: SparkSession, folder: str) -> DataFrame:
-    return _features(spark, folder).select("flow_id", "connections_per_1s", "connections_per_5s")
+    return _window(spark, folder, "connections_per_1s", "connections_per_5s")
 
 
 @query
 def distinct_ports_5s(spark: SparkSession, folder: str) -> DataFrame:
-    return _features(spark, folder).select("flow_id", "distinct_dst_ports_per_5s")
+    return _window(spark, folder, "distinct_dst_ports_per_5s")
 
 
 @query
 def distinct_ips_5s(spark: SparkSession, folder: str) -> DataFrame:
-    return _features(spark, folder).select("flow_id", "distinct_dst_ips_per_5s")
+    return _window(spark, folder, "distinct_dst_ips_per_5s")
 
 
 @query
 def icmp_rate(spark: SparkSession, folder: str) -> DataFrame:
-    return _features(spark, folder).select("flow_id", "icmp_packets_per_1s")
+    return _window(spark, folder, "icmp_packets_per_1s")
 
 
 @query
@@ -796,12 +800,11 @@ def flow_segments_sliced(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def flow_features_sliced(spark: SparkSession, folder: str) -> DataFrame:
-    """Numbering and sliding windows by slices; all packets are of one capture here."""
+    """Features of flows that were cut by pointers; all packets are of one capture here."""
     settings, source = _small_limits(spark), fx.packets(spark, folder)
     # Each step stands on a table, as in a job; one plan of all would only be hard to compile.
-    cut_flows = durable(flows.flow_table(source, settings))
-    numbered = durable(numbering.number_flows(cut_flows, source, settings))
-    found = behaviour.with_behaviour(numbered, settings, source)
+    numbered = durable(numbering.number_flows(flows.flow_table(source, settings), source, settings))
+    found = behaviour.with_behaviour(numbered)
     return found.select("flow_id", "src_ip", "dst_ip", "start_us", *FEATURES)
 
 
@@ -971,7 +974,7 @@ def _labelled_features(spark: SparkSession, folder: str) -> DataFrame:
     """Flows of forty captures with all features and a label the features can explain."""
     source, settings = fx.packets(spark, folder, captures=40), Settings.from_session(spark)
     numbered = numbering.number_flows(flows.flow_table(source, settings), source, settings)
-    features = behaviour.with_behaviour(numbered, settings, source)
+    features = behaviour.with_behaviour(numbered)
     suspicious = (F.col("dst_port") == 22) | (F.col("syn_count") >= 2)
     return durable(
         features.select(
