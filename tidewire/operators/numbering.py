@@ -21,6 +21,19 @@ from tidewire.settings import Settings
 _SCOPE = [SESSION, CAPTURE]
 _WIDTH = 1_000_000
 _ROW = "_row"
+# Columns of a flow that decide its number.
+INPUTS = [
+    *_SCOPE,
+    "flow_start_seq",
+    "flow_last_seq",
+    "protocol",
+    "start_us",
+    "end_us",
+    "packet_count_total",
+    "psh_count",
+    "fin_count",
+    "rst_count",
+]
 _TRIGGER = ["deadline_us", "trigger_us", "trigger_seq", "trigger_phase"]
 
 
@@ -41,7 +54,8 @@ def with_expiry_trigger(
 def number_flows(flows: DataFrame, packets: DataFrame, settings: Settings) -> DataFrame:
     """Add the finalising packet and number flows per capture in finalisation order.
 
-    Ids read ``<capture>__000000``.
+    Ids read ``<capture>__000000``. Flows are stored once, so a caller that wants few
+    columns passes those and ``INPUTS``.
     """
     stored = _with_rows(flows)
     # Counted and numbered from the same rows.

@@ -73,12 +73,17 @@ def _flows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _triggered(spark: SparkSession, folder: str) -> DataFrame:
     source, settings = fx.packets(spark, folder), Settings.from_session(spark)
-    return numbering.with_expiry_trigger(flows.flow_table(source, settings), source, settings)
+    wanted = flows.flow_table(source, settings).select(*numbering.INPUTS)
+    return numbering.with_expiry_trigger(wanted, source, settings)
 
 
-def _numbered(spark: SparkSession, folder: str) -> DataFrame:
+def _numbered(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
+    """Numbered flows, with all columns or with those named besides the ones that number them."""
     source, settings = fx.packets(spark, folder), Settings.from_session(spark)
-    return numbering.number_flows(flows.flow_table(source, settings), source, settings)
+    table = flows.flow_table(source, settings)
+    if columns is not None:
+        table = table.select(*numbering.INPUTS, *columns)
+    return numbering.number_flows(table, source, settings)
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,7 +91,7 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _window(spark: SparkSession, folder: str, *features: str) -> DataFrame:
-    numbered = _numbered(spark, folder)
+    numbered = _numbered(spark, folder, ["src_ip", "dst_ip", "dst_port"])
     return behaviour.with_window_features(numbered, features).select("flow_id", *features)
 
 
@@ -671,7 +676,7 @@ def flow_segments_by_capture(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def flow_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return _numbered(spark, folder).select("flow_id", "flow_index", "flow_start_seq")
+    return _numbered(spark, folder, []).select("flow_id", "flow_index", "flow_start_seq")
 
 
 @query
