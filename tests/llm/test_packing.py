@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -78,6 +79,38 @@ def test_ids_of_more_words_than_are_cached(tokenizer):
         assert ids.tolist() == sum(want, []) and count.tolist() == [len(w) for w in want]
 
 
+def test_words_are_those_of_single_texts():
+    tail = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{-~]+)(?=[ \t-\r]|\Z)")
+    pick = random.Random(5)
+    signs = list("abZ'.,!<|>_-é́ \n\t\x0b\x1c\x85 ßÉ0") + ["<|"]
+    for _ in range(2000):
+        texts = ["".join(pick.choices(signs, k=pick.randrange(12))).encode() for _ in range(pick.randrange(6))]
+        want = [t.split() if b"<|" in t else tail.sub(rb" \1", t.lower()).split() for t in texts]
+        words, counts = packing.words_of(texts)
+        assert words.to_pylist() == sum(want, []) and counts.tolist() == [len(w) for w in want], texts
+
+
+def test_a_word_is_looked_up_once_however_often_it_stands(tokenizer, monkeypatch):
+    encoder = packing.Encoder(packing.Settings())
+    asked = []
+    look_up = encoder._look_up
+    monkeypatch.setattr(encoder, "_look_up", lambda words: asked.extend(words) or look_up(words))
+    text = "One word, two words, 3x words! " * 500
+    ids, _ = encoder.encode([text.encode(), b"", text.encode()], 2)
+    assert ids.tolist() == [*ids_of(tokenizer, text), 2, *ids_of(tokenizer, text)]
+    # Once before and once after its ids are learned.
+    assert max(asked.count(w) for w in asked) <= 2
+
+
+def test_ids_of_words_of_letters(tokenizer):
+    encoder = packing.Encoder(packing.Settings())
+    pick = random.Random(6)
+    signs = [c for c in map(chr, range(0x41, 0x100)) if c.isalpha() and c not in "ªµº"]
+    for _ in range(300):
+        text = " ".join("".join(pick.choices(signs, k=pick.randrange(1, 12))) for _ in range(10))
+        assert encoder.encode([text.encode()], 2)[0].tolist() == ids_of(tokenizer, text), text
+
+
 def test_odd_rows(odd, nothing, tokenizer):
     rows = packing.placed_pieces(odd).collect()
     check_sequences(rows)

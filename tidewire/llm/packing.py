@@ -45,11 +45,46 @@ class Settings:
 # --- ids ------------------------------------------------------------------------------------
 
 
+# Texts are encoded in parts of about so many bytes; each word is looked up once in a part.
+_PART_BYTES = 1 << 22
+
 # Letters of ASCII and Latin-1, which make one word to this tokenizer.
 _LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 # Signs behind a letter up to white space are a word of their own to this tokenizer. An
 # apostrophe may be part of a short form, a bracket of a special token.
-_TAIL = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{-~]+)(?=[ \t-\r]|\Z)")
+_SPACE, _SMALL, _SIGN = 1, 2, 3
+_FORMS = {_SPACE: rb"[ \t-\r]", _SMALL: rb"[a-z]", _SIGN: rb"[!-&(-/:;=?@\[-`{-~]"}
+_KINDS = bytes(next((k for k, form in _FORMS.items() if re.match(form, bytes([b]))), 0) for b in range(256))
+
+
+def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one behind the other, and how many each text has."""
+    # Case does not matter to the ids, except in the names of special tokens.
+    named = np.array([b"<|" in t for t in texts], bool)
+    data = b"".join([t if n else t.lower() for t, n in zip(texts, named)]) + b" "
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    kind = np.frombuffer(data.translate(_KINDS), np.uint8)
+    edge = np.zeros(len(data), bool)
+    edge[at] = True
+
+    def goes_on(mask: np.ndarray) -> np.ndarray:
+        return mask[1:] & mask[:-1] & ~edge[1:]
+
+    inside, sign = kind != _SPACE, kind == _SIGN
+    opens = inside.copy()
+    opens[1:] &= ~goes_on(inside)
+    begin, last = sign.copy(), sign.copy()
+    begin[1:] &= ~goes_on(sign)
+    last[:-1] &= ~goes_on(sign)
+    begin, end = np.flatnonzero(begin), np.flatnonzero(last) + 1
+    tail = ~edge[begin] & (kind[begin - 1] == _SMALL) & (edge[end] | (kind[end] == _SPACE))
+    if named.any():
+        tail &= ~named[np.searchsorted(at, begin, side="right") - 1]
+    opens[begin[tail]] = True
+    letters = np.frombuffer(data, np.uint8)[inside]
+    offsets = np.append(np.flatnonzero(opens[inside]), len(letters))
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    return words, np.diff(np.searchsorted(np.flatnonzero(opens), at))
 
 
 class Encoder:
@@ -63,10 +98,17 @@ class Encoder:
     def __init__(self, settings: Settings):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         name = settings.tokenizer
-        self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        path = name if os.path.isabs(name) else public_tokenizers.path(name)
+        self.tokenizer = Tokenizer.from_file(path)
+        # Of the steps before the merges, only these do anything to words of letters.
+        self.of_letters = Tokenizer.from_file(path)
+        self.of_letters.normalizer = normalizers.Lowercase()
+        self.of_letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.is_last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.is_last[number] = token.endswith("</w>")
@@ -79,21 +121,22 @@ class Encoder:
         self.begins = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
         simple, others = [], []
         for word in words:
-            (simple if _LETTERS.fullmatch(word) else others).append(word)
+            (simple if word.isalpha() or _LETTERS.fullmatch(word) else others).append(word)
         words = simple + others
         # Words of letters are encoded as texts of many; the last id of a word is marked as such.
         texts = [b" ".join(simple[i : i + 200]).decode() for i in range(0, len(simple), 200)]
-        ids = np.fromiter((i for e in self._ids(texts) for i in e), np.uint32)
+        ids = np.fromiter(itertools.chain.from_iterable(self._ids(self.of_letters, texts)), np.uint32)
         ends = np.flatnonzero(self.is_last[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
-        found = self._ids([w.decode() for w in others])
+        found = self._ids(self.tokenizer, [w.decode() for w in others])
         lengths = np.concatenate([np.diff(ends, prepend=0), np.fromiter(map(len, found), np.int64, len(found))])
-        ids = np.concatenate([ids, np.fromiter((i for f in found for i in f), np.uint32)])
+        ids = np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(found), np.uint32)])
         first, stop = len(self.number), self.used + len(ids)
         while len(self.pool) < stop:
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -109,23 +152,26 @@ class Encoder:
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id behind every text, and the number of ids per text."""
-        # Case does not matter to the ids, except in the names of special tokens.
-        split = [t.split() if b"<|" in t else _TAIL.sub(rb" \1", t.lower()).split() for t in texts]
-        words = [w for s in split for w in s]
-        which = self._look_up(words)
+        words, counts = words_of(texts)
+        coded = words.dictionary_encode()
+        raw, at = flat(coded.dictionary)
+        data, at = raw.tobytes(), at.tolist()
+        different = [data[a:b] for a, b in zip(at, at[1:])]
+        which = self._look_up(different)
         if (new := np.flatnonzero(which < 0)).size:
-            unknown = {words[i] for i in new}
-            if len(self.number) + len(unknown) > self.limit:
+            if len(self.number) + len(new) > self.limit:
                 self._forget()
-                unknown = set(words)
-            self._learn(sorted(unknown))
-            which = self._look_up(words)
+                new = np.arange(len(different))
+            unknown = [different[i] for i in new]
+            self._learn(unknown)
+            which[new] = self._look_up(unknown)
         assert (which >= 0).all(), "a word has no ids"
+        which = which[coded.indices.to_numpy()]
         begins = self.begins[which]
         lengths = self.begins[which + 1] - begins
         ends = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.pool[np.arange(ends[-1]) + np.repeat(begins - ends[:-1], lengths)]
-        stops = ends[np.cumsum([0] + [len(s) for s in split])]
+        stops = ends[np.concatenate([[0], np.cumsum(counts)])]
         return np.insert(ids, stops[1:], end_id).astype("<u4"), np.diff(stops) + 1
 
 
@@ -141,7 +187,7 @@ def cut(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             _encoders[settings] = Encoder(settings)
         encoder = _encoders[settings]
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=_PART_BYTES):
                 raw, at = flat(part.column("text"))
                 data = raw.tobytes()
                 ids, tokens = encoder.encode([data[a:b] for a, b in zip(at[:-1], at[1:])], settings.end_id)
