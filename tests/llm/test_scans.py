@@ -128,6 +128,35 @@ def test_what_parts_words_decides_nothing():
     assert all(license_scan.scan(text) == want for text in ("CC-BY-NC", "CC\nBY-NC", "cc/by_nc", "(CC) BY NC!"))
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Under the Apache License, Version 2.0; parts: BSD license, Mozilla Public License.", ["apache-2.0", "bsd", "mpl"]),
+        ("GPLv3 for the code, CC BY 4.0 for the texts, ISC license for the rest", ["gpl-3", "cc-by-4.0", "isc"]),
+        ("CC BY-NC", ["cc-by-nc"]),
+        ("Creative Commons Attribution ShareAlike", ["cc-by-sa"]),
+    ],
+)
+def test_a_detection_hides_nothing_behind_it(text, labels):
+    assert [d[0] for d in license_scan.scan(text)["detections"]] == labels
+
+
+def test_detections_of_random_texts():
+    pick = random.Random(8)
+    parts = ["the", "MIT license", "licensed under", "Apache License", "2.0", "v3", "GPL", "GNU", "GPLv2", "or later", "CC", "BY", "NC", "SA", "4.0", "creative commons", "attribution", "BSD license", "all rights reserved", "SPDX-License-Identifier:", "MIT"]
+    for _ in range(300):
+        text = " ".join(pick.choices(parts, k=pick.randrange(40)))
+        # Every rule over the whole text, without keywords or windows.
+        joined = f" {' '.join(plain.LICENSE_WORD.findall(plain.lower(text)))} "
+        hits = [(m.span(), r) for r in license_scan.RULES for m in r.pattern.finditer(joined)]
+        kept = []
+        for (first, last), rule in sorted(hits, key=lambda h: (-h[1].priority, h[0][0] - h[0][1])):
+            if not any(f <= first and last <= e for f, e, _ in kept):
+                kept.append((first, last, rule.label))
+        want = [(label, joined.count(" ", 0, f) - 1, joined.count(" ", 0, e) - 1) for f, e, label in sorted(kept)]
+        assert [d[:3] for d in license_scan.scan(text)["detections"]] == want, text
+
+
 def test_rules_are_many_and_ordered():
     assert len(license_scan.RULES) > 300
     order = [r.priority for r in license_scan.RULES]

@@ -208,15 +208,13 @@ def scan(text: str) -> dict:
     nearby: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for begin, end in _windows(joined):
         near = {word for _, word in _keywords().iter(joined[begin:end])}
-        for rule in RULES:
-            if not near.issuperset(rule.keywords):
-                continue
-            for match in rule.pattern.finditer(joined, begin, end):
-                first, end = match.span()
-                stretch = first // _LONGEST
-                if not any(s <= first and end <= e for at in (stretch, stretch - 1) for s, e in nearby[at]):
-                    kept.append((first, end, rule))
-                    nearby[stretch].append((first, end))
+        matches = [(m.span(), rule) for rule in RULES if near.issuperset(rule.keywords) for m in rule.pattern.finditer(joined, begin, end)]
+        # What may hold another comes before it: higher priorities first, then longer detections.
+        for (first, last), rule in sorted(matches, key=lambda m: (-m[1].priority, m[0][0] - m[0][1])):
+            stretch = first // _LONGEST
+            if not any(s <= first and last <= e for at in (stretch, stretch - 1) for s, e in nearby[at]):
+                kept.append((first, last, rule))
+                nearby[stretch].append((first, last))
     found = [(rule.label, word_at(s), word_at(e), rule.weight) for s, e, rule in sorted(kept, key=lambda k: k[:2])]
     return {"base": sorted(base, key=lambda b: b[1]), "detections": found}
 
