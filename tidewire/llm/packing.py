@@ -45,9 +45,6 @@ class Settings:
 # --- ids ------------------------------------------------------------------------------------
 
 
-# Texts are encoded in parts of about so many bytes; each word is looked up once in a part.
-_PART_BYTES = 1 << 22
-
 # Letters of ASCII and Latin-1, which make one word to this tokenizer.
 _LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 # Signs behind a letter up to white space are a word of their own to this tokenizer. An
@@ -98,17 +95,10 @@ class Encoder:
     def __init__(self, settings: Settings):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         name = settings.tokenizer
-        path = name if os.path.isabs(name) else public_tokenizers.path(name)
-        self.tokenizer = Tokenizer.from_file(path)
-        # Of the steps before the merges, only these do anything to words of letters.
-        self.of_letters = Tokenizer.from_file(path)
-        self.of_letters.normalizer = normalizers.Lowercase()
-        self.of_letters.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
+        self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
         self.is_last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.is_last[number] = token.endswith("</w>")
@@ -121,9 +111,8 @@ class Encoder:
         self.begins = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    @staticmethod
-    def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
         simple, others = [], []
@@ -132,9 +121,9 @@ class Encoder:
         words = simple + others
         # Words of letters are encoded as texts of many; the last id of a word is marked as such.
         texts = [b" ".join(simple[i : i + 200]).decode() for i in range(0, len(simple), 200)]
-        ids = np.fromiter(itertools.chain.from_iterable(self._ids(self.of_letters, texts)), np.uint32)
+        ids = np.fromiter(itertools.chain.from_iterable(self._ids(texts)), np.uint32)
         ends = np.flatnonzero(self.is_last[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
-        found = self._ids(self.tokenizer, [w.decode() for w in others])
+        found = self._ids([w.decode() for w in others])
         lengths = np.concatenate([np.diff(ends, prepend=0), np.fromiter(map(len, found), np.int64, len(found))])
         ids = np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(found), np.uint32)])
         first, stop = len(self.number), self.used + len(ids)
@@ -187,7 +176,7 @@ def cut(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             _encoders[settings] = Encoder(settings)
         encoder = _encoders[settings]
         for batch in batches:
-            for part in slices(batch, limit=_PART_BYTES):
+            for part in slices(batch):
                 raw, at = flat(part.column("text"))
                 data = raw.tobytes()
                 ids, tokens = encoder.encode([data[a:b] for a, b in zip(at[:-1], at[1:])], settings.end_id)
