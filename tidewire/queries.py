@@ -1028,9 +1028,12 @@ def model_check(spark: SparkSession, folder: str) -> DataFrame:
     trained = model.train(parts["train"])
     where = scratch_folder(spark, "model")
     model.save_model(spark, trained, where)
-    rows = durable(reduce(DataFrame.unionByName, [part.withColumn("split", F.lit(name)) for name, part in parts.items()]))
+    rows = reduce(DataFrame.unionByName, [part.withColumn("split", F.lit(name)) for name, part in parts.items()])
+    # Dealt out evenly: a row costs three ways down all trees, and the splits differ in size.
+    rows = durable(rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "flow_id"))
     walked = model.walk_forest(model.encoded(rows, trained, "flow_id"), model.forest_table(spark, where), "flow_id")
-    own = F.transform(F.array(*map(F.lit, trained.labels)), lambda label: F.element_at("probability", label))
+    # Not a lambda over the labels, within which Spark would score the row again for each label.
+    own = F.array(*[F.element_at("probability", F.lit(label)) for label in trained.labels])
     scored = durable(model.score(rows, trained).select("flow_id", "split", TARGET, "raw_label", own.alias("own")))
     again = model.score(rows, model.load_model(spark, where)).select("flow_id", own.alias("again"))
     both = scored.join(walked, "flow_id").join(again, "flow_id")
